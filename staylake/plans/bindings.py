@@ -669,15 +669,15 @@ def geocode_fields_q(spark, sf):
 
 _ENRICH_SRC = [
     ("c_custkey", "c_custkey"),
-    ("latitude", "(c_nationkey - 12) * 1.5"),
-    ("longitude", "c_nationkey * 2.0"),
+    ("latitude", "CAST((c_nationkey - 12) * 1.5 AS DOUBLE)"),
+    ("longitude", "CAST(c_nationkey * 2 AS DOUBLE)"),
     ("address", "concat('Addr ', c_name)"),
     ("zone", "CAST(NULL AS STRING)"),
     ("city", "c_mktsegment"),
 ]
 _LOOKUP = [
-    ("latitude", "(n_nationkey - 12) * 1.5"),
-    ("longitude", "n_nationkey * 2.0"),
+    ("latitude", "CAST((n_nationkey - 12) * 1.5 AS DOUBLE)"),
+    ("longitude", "CAST(n_nationkey * 2 AS DOUBLE)"),
     ("address", "concat(n_name, ' Road')"),
     ("zone", "CASE WHEN n_regionkey = 0 THEN NULL ELSE concat('Z', CAST(n_regionkey AS STRING)) END"),
     ("city", "concat('City ', n_name)"),
