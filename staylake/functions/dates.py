@@ -22,18 +22,18 @@ def epoch_ms_to_timestamp(c: ColumnOrName) -> Column:
 
 
 def _add_ms(ms: Column) -> Column:
-    epoch = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_add("MILLISECOND", ms, epoch)
 
 
 def _add_us(us: Column) -> Column:
-    epoch = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", us, epoch)
 
 
 def timestamp_to_epoch_ms(c: ColumnOrName) -> Column:
     """timestamp_ntz -> milliseconds since epoch (UTC wall clock)."""
-    epoch = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_diff("MILLISECOND", epoch, _col(c))
 
 

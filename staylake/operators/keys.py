@@ -59,8 +59,9 @@ def assign_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
         if not bounds:
             bucket = F.lit(0)
         else:
-            lits = [F.struct(*[F.lit(v) for v in b]) if len(order_cols) > 1 else F.lit(b)
-                    for b in bounds]
+            key_type = df.select(key.alias("k")).schema["k"].dataType
+            lits = [(F.struct(*[F.lit(v) for v in b]) if len(order_cols) > 1 else F.lit(b))
+                    .cast(key_type) for b in bounds]
             arr = F.array(*lits)
             bucket = F.size(F.filter(arr, lambda b: b <= key))
 
