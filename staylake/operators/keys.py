@@ -32,20 +32,22 @@ def _key(cols: Sequence[str]) -> Column:
 
 def assign_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
                 start: int = 0, rows_per_bucket: int = ROWS_PER_BUCKET,
-                seed: int = 17) -> DataFrame:
+                seed: int = 17, total: int | None = None) -> DataFrame:
     """Add ``id_col`` = start + rank of the row by ``order_cols``.
 
     ``order_cols`` should be unique per row (a business key); ties still
     get distinct ids, in an unspecified order.  Callers that feed the result
-    of a costly plan should checkpoint it first, as this runs three small
-    jobs over it before the final one.
+    of a costly plan should checkpoint it first, as this runs up to three
+    small jobs over it before the final one (none beyond the row count when
+    everything fits one bucket; pass ``total`` when it is already known).
     """
     order_cols = list(order_cols)
     key = _key(order_cols)
-    total = df.count()
+    total = df.count() if total is None else total
     buckets = max(1, math.ceil(total / rows_per_bucket))
 
-    if buckets == 1:
+    single = buckets == 1
+    if single:
         bucket = F.lit(0)
     else:
         fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / max(total, 1))
@@ -57,7 +59,7 @@ def assign_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
         bounds = [keys[int(i * step)] for i in range(1, buckets)] if keys else []
         bounds = [b for j, b in enumerate(bounds) if j == 0 or b != bounds[j - 1]]
         if not bounds:
-            bucket = F.lit(0)
+            single, bucket = True, F.lit(0)
         else:
             key_type = df.select(key.alias("k")).schema["k"].dataType
             lits = [(F.struct(*[F.lit(v) for v in b]) if len(order_cols) > 1 else F.lit(b))
@@ -66,8 +68,11 @@ def assign_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
             bucket = F.size(F.filter(arr, lambda b: b <= key))
 
     staged = df.withColumn("__bucket", bucket)
-    counts = {r["__bucket"]: r["n"] for r in
-              staged.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if single:
+        counts = {0: total}
+    else:
+        counts = {r["__bucket"]: r["n"] for r in
+                  staged.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, running = [], 0
     for b in range(max(counts) + 1 if counts else 1):
         offsets.append(running)

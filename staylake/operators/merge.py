@@ -101,8 +101,9 @@ def insert_only_merge(source: DataFrame, target_path: str, keys: Sequence[str],
     if id_col:
         start = 0
         if target is not None:
+            # Answered from Parquet footers when aggregate pushdown is on.
             start = target.agg(F.max(id_col)).first()[0] or 0
-        new = assign_keys(new, list(order_cols or keys), id_col, start=start)
+        new = assign_keys(new, list(order_cols or keys), id_col, start=start, total=inserted)
     if schema is not None:
         new = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     new.write.mode("append").parquet(target_path)

@@ -43,8 +43,6 @@ def listing_rules(cfg: CleanConfig) -> "dict[str, Column]":
         "geo_valid": quality.geo_valid(),
         "price_valid": quality.price_valid(),
     }
-    if cfg.enforce_count_consistency:
-        rules["count_consistency"] = quality.counts_consistent()
     rules.update(cfg.extra_rules)
     return rules
 
@@ -63,6 +61,11 @@ def clean_listings(raw: DataFrame, cfg: CleanConfig | None = None) -> DataFrame:
     df = df.withColumn("city", metrics.override_when_contains("city", "address", cfg.city_rules))
     df = metrics.insert_after(df, cfg.insert_after, "weighted_avg",
                               metrics.weighted_avg(cfg.weight_pairs))
+    if cfg.enforce_count_consistency:
+        # Helper column for the check, dropped again right after it.
+        df = metrics.with_helper(
+            df, "count_sum", quality.count_sum([c for _, c in cfg.weight_pairs]),
+            lambda d: d.where(F.col("count_sum") == F.col(S.count_col(S.ALL_TYPE))))
     df = quality.nan_to_null(df)
     df = quality.apply_rules(df, listing_rules(cfg))
     return metrics.fill_missing(df, "zone", extract.zone_from_address(

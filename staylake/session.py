@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # min/max/count answered from Parquet footers (e.g. max surrogate id).
+    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
 }
 

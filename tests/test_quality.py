@@ -74,3 +74,14 @@ def test_clean_listings(spark):
 def test_clean_report(spark):
     row = clean_report(listings_df(spark)).first()
     assert row["total_rows"] == 12 and row["passed_all"] == 5
+
+
+def test_count_consistency_filter_is_optional(spark):
+    df = listings_df(spark)
+    bad = df.where(F.col("property_id") == "ok1").withColumn("property_id", F.lit("bad")) \
+        .withColumn("avg_review_score_all_count", F.lit(99).cast("long"))
+    both = df.unionByName(bad)
+    assert "bad" in {r[0] for r in clean_listings(both).select("property_id").collect()}
+    kept = clean_listings(both, CleanConfig(enforce_count_consistency=True))
+    assert "bad" not in {r[0] for r in kept.select("property_id").collect()}
+    assert "count_sum" not in kept.columns
