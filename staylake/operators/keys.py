@@ -1,17 +1,24 @@
 """Surrogate keys and row fingerprints.
 
-Dense, ordered ids (1, 2, 3, ... by a unique business key, continuing after
-the target's current maximum) without a global single-partition window:
-
-1. count the rows; pick B = ceil(rows / rows_per_bucket) buckets;
-2. take a small random sample of keys (about 64 per bucket), let Spark sort
-   it, and read B-1 boundary keys back to the driver;
-3. bucket = number of boundaries <= key (a deterministic expression);
-4. count rows per bucket (B numbers to the driver) -> cumulative offsets;
-5. id = start + offset[bucket] + row_number() within the bucket.
-
-Every window partition holds about ``rows_per_bucket`` rows whatever the
-table size, and the ids equal ``row_number() OVER (ORDER BY key)``.
+Dense, ordered ids (1, 2, 3, ... by a business key, continuing after the
+target's current maximum) without a global single-partition window:
+
+1. B = ceil(rows / rows_per_bucket) range partitions by the key
+   (``repartitionByRange``: Spark samples boundaries and places each row by
+   binary search), each partition sorted by the key;
+2. the position of a row inside its partition comes from
+   ``monotonically_increasing_id`` (partition index in the upper bits,
+   position in the lower 33 bits);
+3. one small aggregation returns the row count of each partition
+   (B numbers) -> cumulative offsets on the driver;
+4. id = start + offset[partition] + position + 1.
+
+Every partition holds about ``rows_per_bucket`` rows whatever the table
+size; no row is compared with more than log(B) boundaries; ids equal
+``row_number() OVER (ORDER BY key)``.  Range boundaries are sampled anew by
+every job, so the ranged rows are checkpointed once; the counting job and
+the final job then read identical partitions, also when lost tasks are
+recomputed.
 """
 
 from __future__ import annotations
@@ -19,71 +26,39 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
-SAMPLES_PER_BUCKET = 64
-
-
-def _key(cols: Sequence[str]) -> Column:
-    return F.col(cols[0]) if len(cols) == 1 else F.struct(*[F.col(c) for c in cols])
+_POS_BITS = 33
 
 
 def assign_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
                 start: int = 0, rows_per_bucket: int = ROWS_PER_BUCKET,
-                seed: int = 17, total: int | None = None) -> DataFrame:
-    """Add ``id_col`` = start + rank of the row by ``order_cols``.
-
-    ``order_cols`` should be unique per row (a business key); ties still
-    get distinct ids, in an unspecified order.  Callers that feed the result
-    of a costly plan should checkpoint it first, as this runs up to three
-    small jobs over it before the final one (none beyond the row count when
-    everything fits one bucket; pass ``total`` when it is already known).
-    """
-    order_cols = list(order_cols)
-    key = _key(order_cols)
+                total: int | None = None) -> DataFrame:
+    """Add ``id_col`` = start + rank of the row by ``order_cols`` (NULLs
+    first).  Ties get distinct ids in an unspecified order."""
     total = df.count() if total is None else total
     buckets = max(1, math.ceil(total / rows_per_bucket))
-
-    single = buckets == 1
-    if single:
-        bucket = F.lit(0)
-    else:
-        fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / max(total, 1))
-        sample = (df.select(key.alias("k")).where(F.col("k").isNotNull())
-                  .sample(withReplacement=False, fraction=fraction, seed=seed)
-                  .orderBy("k").collect())
-        keys = [r["k"] for r in sample]
-        step = len(keys) / buckets
-        bounds = [keys[int(i * step)] for i in range(1, buckets)] if keys else []
-        bounds = [b for j, b in enumerate(bounds) if j == 0 or b != bounds[j - 1]]
-        if not bounds:
-            single, bucket = True, F.lit(0)
-        else:
-            key_type = df.select(key.alias("k")).schema["k"].dataType
-            lits = [(F.struct(*[F.lit(v) for v in b]) if len(order_cols) > 1 else F.lit(b))
-                    .cast(key_type) for b in bounds]
-            arr = F.array(*lits)
-            bucket = F.size(F.filter(arr, lambda b: b <= key))
-
-    staged = df.withColumn("__bucket", bucket)
-    if single:
-        counts = {0: total}
-    else:
-        counts = {r["__bucket"]: r["n"] for r in
-                  staged.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    # Range boundaries are sampled per job, so the ranged rows are written
+    # once (reliable checkpoint in the shared folder): the count and the
+    # numbering below then read the very same partitions.
+    ranged = (df.repartitionByRange(buckets, *order)
+              .sortWithinPartitions(*order)
+              .withColumn("__pos", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    part = F.shiftright("__pos", _POS_BITS)
+    counts = {r["b"]: r["n"] for r in
+              ranged.groupBy(part.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, running = [], 0
     for b in range(max(counts) + 1 if counts else 1):
         offsets.append(running)
         running += counts.get(b, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
-                          (F.col("__bucket") + 1).cast("int"))
-
-    w = Window.partitionBy("__bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    return (staged.withColumn(id_col, (F.lit(start).cast("long") + offset
-                                       + F.row_number().over(w)).cast("long"))
-            .drop("__bucket"))
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (part + 1).cast("int"))
+    local = F.col("__pos").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+    return (ranged.withColumn(id_col, (F.lit(start).cast("long") + offset + local + 1).cast("long"))
+            .drop("__pos"))
 
 
 def row_fingerprint(cols: Sequence[str], sep: str = "|") -> Column:

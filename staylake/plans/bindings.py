@@ -944,12 +944,12 @@ WITH st AS (SELECT l_shipdate AS scrape_timestamp, l_orderkey, l_linenumber, l_q
                    p_type AS category FROM lineitem JOIN part ON l_partkey = p_partkey),
 dim AS ({_category_dim_sql('st')}),
 src AS (SELECT st.*, dim.category_id FROM st JOIN dim ON st.category = dim.category),
-t0 AS (SELECT row_number() OVER (ORDER BY scrape_timestamp, l_orderkey, l_linenumber) AS fact_id,
+t0 AS (SELECT row_number() OVER (ORDER BY scrape_timestamp, l_orderkey, l_linenumber, category_id, l_quantity) AS fact_id,
               scrape_timestamp, category_id, l_orderkey, l_linenumber, l_quantity FROM src WHERE l_returnflag = 'R'),
 new AS (SELECT * FROM src WHERE NOT EXISTS (SELECT 1 FROM t0 WHERE t0.scrape_timestamp = src.scrape_timestamp))
 SELECT * FROM t0
 UNION ALL
-SELECT (SELECT max(fact_id) FROM t0) + row_number() OVER (ORDER BY scrape_timestamp, l_orderkey, l_linenumber),
+SELECT (SELECT max(fact_id) FROM t0) + row_number() OVER (ORDER BY scrape_timestamp, l_orderkey, l_linenumber, category_id, l_quantity),
        scrape_timestamp, category_id, l_orderkey, l_linenumber, l_quantity FROM new""")
 def fact_merge(spark, sf):
     li, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
@@ -961,7 +961,9 @@ def fact_merge(spark, sf):
                             schema=S.DIM_CATEGORY, id_col="category_id")
     dim = merge.sized_broadcast(spark.read.schema(S.DIM_CATEGORY).parquet(f"{d}/dim_category"))
     src = st.join(dim, "category")
-    order = ["scrape_timestamp", "l_orderkey", "l_linenumber"]
+    # (order, line) pairs repeat in the test data, so the id order covers
+    # every output column: tied rows are then identical.
+    order = ["scrape_timestamp", "l_orderkey", "l_linenumber", "category_id", "l_quantity"]
     merge.insert_only_merge(src.where(F.col("l_returnflag") == "R"), f"{d}/fact", ["scrape_timestamp"],
                             schema=_FACT, id_col="fact_id", order_cols=order)
     merge.insert_only_merge(src, f"{d}/fact", ["scrape_timestamp"], schema=_FACT, id_col="fact_id",

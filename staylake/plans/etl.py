@@ -41,8 +41,13 @@ def stage_listings(spark: SparkSession, raw: DataFrame, cfg: RunConfig) -> DataF
 
 
 def run_etl(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
-    raw = read_csv_by_name(spark, cfg.raw_dir, S.LISTING_SCHEMA)
     rid = run_id(cfg.now or _dt.datetime.now())
-    snapshot_csv(raw, f"{cfg.out_dir.rstrip('/')}/raw_snapshot", rid)
+    base = cfg.out_dir.rstrip("/")
+    # The CSV folder is parsed once into typed Parquet for this run; the raw
+    # snapshot and the cleaning both read that columnar copy.
+    raw_dir = write_parquet(read_csv_by_name(spark, cfg.raw_dir, S.LISTING_SCHEMA),
+                            f"{base}/raw/run={rid}")
+    raw = spark.read.parquet(raw_dir)
+    snapshot_csv(raw, f"{base}/raw_snapshot", rid)
     staging = stage_listings(spark, raw, cfg)
-    return build_star(staging, f"{cfg.out_dir.rstrip('/')}/warehouse", cfg.star)
+    return build_star(staging, f"{base}/warehouse", cfg.star)

@@ -49,18 +49,45 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, l
     return out
 
 
+_NATIVE = (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DoubleType, T.FloatType)
+
+
+def _read_schema(header: Sequence[str], schema: T.StructType | None) -> T.StructType:
+    """Per-file-group read schema in the file's column order.
+
+    Integer and floating columns are parsed by the CSV reader itself (a
+    malformed cell becomes NULL in PERMISSIVE mode); text and date/time
+    columns are read as text and finished in ``_typed``.
+    """
+    declared = {f.name: f.dataType for f in schema.fields} if schema else {}
+    return T.StructType([T.StructField(h, declared[h] if isinstance(declared.get(h), _NATIVE)
+                                       else T.StringType()) for h in header])
+
+
 def _typed(df: DataFrame, schema: T.StructType | None,
            null_tokens: Sequence[str]) -> DataFrame:
-    """Missing tokens -> NULL, then cast by name to the declared types."""
+    """Missing tokens -> NULL, then cast by name to the declared types.
+
+    Numeric columns arrive parsed; NaN becomes NULL for floating columns.
+    Date/time columns are cast with ``try_cast`` (every token gives NULL).
+    Only text columns compare against the token list.
+    """
     declared = {f.name: f.dataType for f in schema.fields} if schema else {}
+    tokens = [t for t in null_tokens if t.strip()]
     cols = []
-    for name in df.columns:
+    for field in df.schema.fields:
+        name = field.name
         raw = F.col(f"`{name}`")
-        clean = F.when(raw.isin(list(null_tokens)) | F.trim(raw).eqNullSafe(F.lit("")),
-                       F.lit(None).cast("string")).otherwise(raw)
         dtype = declared.get(name)
-        if dtype is not None and not isinstance(dtype, T.StringType):
-            clean = clean.try_cast(dtype)
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            clean = F.nanvl(raw, F.lit(None).cast(field.dataType))
+        elif isinstance(field.dataType, _NATIVE):
+            clean = raw
+        elif dtype is None or isinstance(dtype, T.StringType):
+            blank = F.trim(raw) == ""
+            clean = F.when(blank | raw.isin(tokens), F.lit(None).cast("string")).otherwise(raw)
+        else:
+            clean = raw.try_cast(dtype)
         cols.append(clean.alias(name))
     return df.select(*cols)
 
@@ -73,8 +100,9 @@ def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str],
 
     Columns of ``schema`` come first in its order and type (absent ones are
     NULL); columns not in the schema follow as text in first-seen order when
-    ``keep_extra``.  Values are read as text and cast with ``try_cast`` so a
-    malformed cell becomes NULL instead of failing the job.
+    ``keep_extra``.  A malformed cell becomes NULL instead of failing the
+    job (numbers are parsed by the CSV reader in PERMISSIVE mode, date/time
+    text with ``try_cast``).
     """
     headers = file_headers(spark, paths)
     groups: "OrderedDict[tuple[str, ...], list[str]]" = OrderedDict()
@@ -85,8 +113,7 @@ def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str],
     for header, files in groups.items():
         if not header:
             continue
-        text_schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
-        part = (spark.read.schema(text_schema)
+        part = (spark.read.schema(_read_schema(header, schema))
                 .option("header", "true")
                 .option("enforceSchema", "true")
                 .option("mode", "PERMISSIVE")
