@@ -896,6 +896,46 @@ def merge_twice(spark, sf):
     return spark.table(name)
 
 
+_PROP_COLS = ["property_url", "address", "wifi_speed", "latitude", "longitude"]
+_PROP_ORDER = ", ".join(_PROP_COLS)
+
+
+@query("dim_property_merge", f"""
+WITH {LISTINGS_CTE},
+s1 AS (SELECT DISTINCT {_PROP_ORDER} FROM listings WHERE category = 'Hotel'),
+s2 AS (SELECT DISTINCT {_PROP_ORDER} FROM listings),
+t0 AS (SELECT row_number() OVER (ORDER BY {_PROP_ORDER}) AS property_id, {_PROP_ORDER} FROM s1),
+new AS (SELECT * FROM s2 WHERE NOT EXISTS (SELECT 1 FROM t0 WHERE t0.property_url = s2.property_url))
+SELECT * FROM t0
+UNION ALL
+SELECT (SELECT max(property_id) FROM t0) + row_number() OVER (ORDER BY {_PROP_ORDER}), {_PROP_ORDER} FROM new""")
+def dim_property_merge(spark, sf):
+    """Distinct on five columns, matched on the URL only: one URL can hold
+    several rows after the first load, later loads add only unseen URLs."""
+    lst = listings(spark, sf)
+    target = f"{run_dir(spark, 'dim_property')}/dim_property"
+    for src in (lst.where(F.col("category") == "Hotel"), lst):
+        merge.insert_only_merge(src.select(*_PROP_COLS).distinct(), target, ["property_url"],
+                                schema=S.DIM_PROPERTY, id_col="property_id", order_cols=_PROP_COLS)
+    return spark.read.schema(S.DIM_PROPERTY).parquet(target)
+
+
+@query("dim_property_by_url", f"""
+WITH {LISTINGS_CTE},
+d AS (SELECT DISTINCT {_PROP_ORDER} FROM listings),
+f AS (SELECT *, row_number() OVER (PARTITION BY property_url ORDER BY address, wifi_speed, latitude, longitude) AS rn
+      FROM d)
+SELECT row_number() OVER (ORDER BY {_PROP_ORDER}) AS property_id, {_PROP_ORDER} FROM f WHERE rn = 1""")
+def dim_property_by_url(spark, sf):
+    """The same dimension with one row per URL (the smallest by the other
+    columns), the opt-in fix for URLs seen with several addresses."""
+    target = f"{run_dir(spark, 'dim_property_url')}/dim_property"
+    merge.insert_only_merge(listings(spark, sf).select(*_PROP_COLS).distinct(), target, ["property_url"],
+                            schema=S.DIM_PROPERTY, id_col="property_id", order_cols=_PROP_COLS,
+                            dedupe_on_key=True)
+    return spark.read.schema(S.DIM_PROPERTY).parquet(target)
+
+
 def _category_dim_sql(src: str) -> str:
     return f"SELECT row_number() OVER (ORDER BY category) AS category_id, category FROM (SELECT DISTINCT category FROM {src}) d"
 

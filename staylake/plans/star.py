@@ -8,6 +8,7 @@ re-running a load adds nothing new.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,34 +56,38 @@ def build_star(staging: DataFrame, warehouse: str,
                opts: StarOptions | None = None) -> dict[str, int]:
     """Merge the staged listings into the four dimensions and the fact.
 
-    Returns rows appended per table.
+    The four dimension merges are independent, so they are submitted to
+    Spark concurrently (one driver thread each; the cluster runs their
+    small jobs side by side); the fact follows once the category dimension
+    is complete.  Returns rows appended per table.
     """
     opts = opts or StarOptions()
     paths = star_paths(warehouse)
     spark = staging.sparkSession
-    added: dict[str, int] = {}
 
     prop_cols = ["property_url", "address", "wifi_speed", "latitude", "longitude"]
-    added["dim_property"] = insert_only_merge(
-        _cast_to(staging.select(*prop_cols).distinct(), S.DIM_PROPERTY), paths["dim_property"],
-        keys=["property_url"], schema=S.DIM_PROPERTY, id_col="property_id",
-        order_cols=prop_cols, dedupe_on_key=opts.dedupe_property_on_url)
-
-    added["dim_category"] = insert_only_merge(
-        staging.select("category").distinct(), paths["dim_category"],
-        keys=["category"], schema=S.DIM_CATEGORY, id_col="category_id")
-
     ts = F.col("normalized_timestamp")
-    dates = staging.select(ts.alias("scrape_timestamp"), *date_parts(ts))
-    added["dim_date"] = insert_only_merge(
-        dates, paths["dim_date"], keys=["scrape_timestamp"], schema=S.DIM_DATE,
-        id_col="date_id", order_cols=["scrape_timestamp", "day", "month", "year", "weekday"],
-        distinct_source=opts.distinct_dates)
-
-    added["dim_location"] = insert_only_merge(
-        staging.select("city", "zone").distinct(), paths["dim_location"],
-        keys=["city", "zone"], schema=S.DIM_LOCATION, id_col="location_id",
-        null_safe=opts.null_safe_location)
+    dims = {
+        "dim_property": lambda: insert_only_merge(
+            _cast_to(staging.select(*prop_cols).distinct(), S.DIM_PROPERTY), paths["dim_property"],
+            keys=["property_url"], schema=S.DIM_PROPERTY, id_col="property_id",
+            order_cols=prop_cols, dedupe_on_key=opts.dedupe_property_on_url),
+        "dim_category": lambda: insert_only_merge(
+            staging.select("category").distinct(), paths["dim_category"],
+            keys=["category"], schema=S.DIM_CATEGORY, id_col="category_id"),
+        "dim_date": lambda: insert_only_merge(
+            staging.select(ts.alias("scrape_timestamp"), *date_parts(ts)), paths["dim_date"],
+            keys=["scrape_timestamp"], schema=S.DIM_DATE, id_col="date_id",
+            order_cols=["scrape_timestamp", "day", "month", "year", "weekday"],
+            distinct_source=opts.distinct_dates),
+        "dim_location": lambda: insert_only_merge(
+            staging.select("city", "zone").distinct(), paths["dim_location"],
+            keys=["city", "zone"], schema=S.DIM_LOCATION, id_col="location_id",
+            null_safe=opts.null_safe_location),
+    }
+    with ThreadPoolExecutor(max_workers=len(dims)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in dims.items()}
+        added = {name: f.result() for name, f in futures.items()}
 
     categories = spark.read.schema(S.DIM_CATEGORY).parquet(paths["dim_category"])
     added["fact_property_reviews"] = insert_only_merge(
