@@ -1,11 +1,18 @@
 """Incremental loads with Structured Streaming.
 
-A file-source stream over a CSV landing folder; each micro-batch is merged
-into a Parquet target with the insert-only merge.  ``availableNow`` processes
-everything that has landed and stops, so the same code serves scheduled
-batch runs and continuous runs.  The source checkpoint records which files
-were processed; a replayed batch inserts nothing twice because the merge
-skips keys already present (NULL keys need ``null_safe=True`` for that).
+The stream tracks files landing in a folder; every micro-batch reads its
+new CSV files *by header name* (files from different producer versions may
+order or extend their columns differently) and merges them into a Parquet
+target with the insert-only merge.
+
+File tracking uses the ``binaryFile`` source with only the ``path`` column
+selected, so the stream itself never reads file contents; a micro-batch
+carries at most ``max_files_per_trigger`` paths, and only those paths come
+back to the driver.  ``availableNow`` processes everything that has landed
+and stops, so the same code serves scheduled and continuous runs.  The
+source checkpoint records processed files; a replayed batch inserts nothing
+twice because the merge skips keys already present (NULL keys need
+``null_safe=True`` for that).
 """
 
 from __future__ import annotations
@@ -16,6 +23,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.merge import insert_only_merge
+from ..sources.csv import read_csv_by_name
+
+MAX_FILES_PER_TRIGGER = 1000
+# The binaryFile source's fixed columns; only ``path`` is selected.
+BINARY_FILE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType(), False),
+    T.StructField("modificationTime", T.TimestampType(), False),
+    T.StructField("length", T.LongType(), False),
+    T.StructField("content", T.BinaryType(), True),
+])
 
 
 def incremental_merge(spark: SparkSession, landing_dir: str, schema: T.StructType,
@@ -23,22 +40,27 @@ def incremental_merge(spark: SparkSession, landing_dir: str, schema: T.StructTyp
                       transform: Callable[[DataFrame], DataFrame] | None = None,
                       target_schema: T.StructType | None = None,
                       id_col: str | None = None, null_safe: bool = True,
-                      max_files_per_trigger: int | None = None,
+                      max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
                       available_now: bool = True):
     """Start the stream; returns the ``StreamingQuery`` (already finished
     when ``available_now``)."""
-    reader = (spark.readStream.schema(schema).option("header", "true")
-              .option("pathGlobFilter", "*.csv"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    stream = reader.csv(landing_dir)
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+             .option("pathGlobFilter", "*.csv")
+             .option("recursiveFileLookup", "true")
+             .option("maxFilesPerTrigger", int(max_files_per_trigger))
+             .load(landing_dir)
+             .select("path"))
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch) if transform else batch
+        paths = [r["path"] for r in batch.collect()]      # <= max_files_per_trigger rows
+        if not paths:
+            return
+        rows = read_csv_by_name(batch.sparkSession, paths, schema, keep_extra=False)
+        rows = transform(rows) if transform else rows
         insert_only_merge(rows, target_path, keys, schema=target_schema, id_col=id_col,
                           null_safe=null_safe, distinct_source=True)
 
-    writer = (stream.writeStream.foreachBatch(merge_batch)
+    writer = (files.writeStream.foreachBatch(merge_batch)
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer
     query = writer.start()

@@ -38,7 +38,7 @@ def listing_rows() -> list[dict]:
         listing("zero", avg_review_score_families=0.0,
                 avg_review_score_families_count=0),                    # fails score and count
         listing("nullscore", avg_review_score_solo_travelers=None),    # NULL fails
-        listing("nan", avg_review_score_groups_friends=math.nan),      # NaN fails
+        listing("nanscore", avg_review_score_groups_friends=math.nan), # NaN fails
         listing("lat90", latitude=90.0),                               # open bound fails
         listing("lonneg", longitude=-180.0),                           # open bound fails
         listing("price", min_price=100.0, max_price=90.0),             # max < min fails

@@ -13,7 +13,7 @@ def test_rules_reject_edges(spark):
 
 
 def test_nan_counts_as_missing(spark):
-    df = listings_df(spark).where(F.col("property_id") == "nan")
+    df = listings_df(spark).where(F.col("property_id") == "nanscore")
     raw = df.where(quality.scores_in_range()).count()
     fixed = quality.nan_to_null(df).where(quality.scores_in_range()).count()
     assert raw == 0 and fixed == 0
