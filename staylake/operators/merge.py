@@ -53,7 +53,9 @@ def anti_join(source: DataFrame, target: DataFrame | None, keys: Sequence[str],
     if target is None:
         return source
     renamed = [f"__t{i}" for i in range(len(keys))]
-    tkeys = target.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)])
+    # Only distinct target keys matter: a key repeated in the target (e.g. a
+    # timestamp shared by many facts) ships one row to the join.
+    tkeys = target.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)]).distinct()
     cond = [(F.col(k).eqNullSafe(F.col(r)) if null_safe else F.col(k) == F.col(r))
             for k, r in zip(keys, renamed)]
     return source.join(tkeys, on=all_of(cond), how="left_anti")

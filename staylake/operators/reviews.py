@@ -62,15 +62,24 @@ def parse_cards(cards: DataFrame, score_text: str = "score_text",
             .where(F.col("score").isNotNull() & (F.col("traveler_label") != UNKNOWN_TYPE)))
 
 
-def cap_pages(cards: DataFrame, listing: str, page: str, max_pages: int) -> DataFrame:
+def cap_pages(cards: DataFrame, listing: str, page: str, max_pages: int,
+              broadcast_max_rows: int = 1_000_000) -> DataFrame:
     """Keep the cards of the first ``max_pages`` pages of every listing.
 
-    ``dense_rank() <= n`` is planned with a partial window-group limit ahead
-    of the shuffle, so each map task forwards at most n pages per listing.
+    Pages are ranked over the distinct (listing, page) pairs (a partial
+    aggregation), with ``row_number() <= n`` planned as a partial
+    window-group limit ahead of the shuffle, so no task ever holds more
+    than n pages per listing from each map task.  Cards are then kept by a
+    semi join on the kept pairs: broadcast when the pair set is proven
+    small, otherwise a sort-merge join whose hot keys AQE splits.
     """
+    from .merge import sized_broadcast
+    pages = cards.select(listing, page).distinct()
     w = Window.partitionBy(listing).orderBy(F.col(page).asc())
-    return (cards.withColumn("__page_rank", F.dense_rank().over(w))
+    kept = (pages.withColumn("__page_rank", F.row_number().over(w))
             .where(F.col("__page_rank") <= max_pages).drop("__page_rank"))
+    kept = sized_broadcast(kept, broadcast_max_rows)
+    return cards.join(kept, on=[listing, page], how="left_semi")
 
 
 def union_passes(first: DataFrame, second: DataFrame) -> DataFrame:
