@@ -1,5 +1,7 @@
 """Every bound query against its SQL on DuckDB, over the smallest test tables."""
 
+import contextlib
+import io
 import math
 import os
 
@@ -47,6 +49,14 @@ def test_query_matches_sql(spark, duck, name):
     assert sorted(df.columns) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert _canon(df.columns, s_rows) == _canon(d_cols, d_rows)
+    # The work stays on the JVM: no Python evaluation node in the plan.
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    plan = buf.getvalue()
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                 "PythonUDF"):
+        assert node not in plan
 
 
 def test_every_query_has_sql():
