@@ -41,6 +41,10 @@ class StarOptions:
     null_safe_location: bool = False     # a NULL zone never matches by default
     distinct_dates: bool = True          # a MERGE would insert equal timestamps twice
     dedupe_property_on_url: bool = False
+    # The fact's merge key (fact columns).  The source load matches facts on
+    # the timestamp only, so another listing scraped in the same second of a
+    # later run is skipped; adding e.g. "category_id" narrows the match.
+    fact_keys: tuple[str, ...] = ("scrape_timestamp",)
 
 
 def star_paths(warehouse: str) -> dict[str, str]:
@@ -92,7 +96,7 @@ def build_star(staging: DataFrame, warehouse: str,
     categories = spark.read.schema(S.DIM_CATEGORY).parquet(paths["dim_category"])
     added["fact_property_reviews"] = insert_only_merge(
         fact_source(staging, categories), paths["fact_property_reviews"],
-        keys=["scrape_timestamp"], schema=S.FACT_REVIEWS, id_col="fact_id",
+        keys=list(opts.fact_keys), schema=S.FACT_REVIEWS, id_col="fact_id",
         order_cols=["scrape_timestamp", "__row"])
     return added
 

@@ -58,3 +58,13 @@ def test_stream_batches_and_replay(spark, scratch):
     assert got.exceptAll(quality.nan_to_null(df)).count() == 0
     assert got.count() == df.count()
     assert got.select("property_id").distinct().count() == df.count()
+
+
+def test_fact_key_option(spark, scratch):
+    from staylake.plans.star import StarOptions, build_star, load_staging
+    from staylake.plans.clean import clean_listings
+    staging = load_staging(clean_listings(listings_df(spark)), f"{scratch}/stage")
+    opts = StarOptions(fact_keys=("scrape_timestamp", "category_id"), null_safe_location=True)
+    first = build_star(staging, f"{scratch}/wh", opts)
+    again = build_star(staging, f"{scratch}/wh", opts)
+    assert first["fact_property_reviews"] == 5 and sum(again.values()) == 0
