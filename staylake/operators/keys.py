@@ -13,6 +13,8 @@ target's current maximum) without a global single-partition window:
    (B numbers) -> cumulative offsets on the driver;
 4. id = start + offset[partition] + position + 1.
 
+When the rows fit one partition (at most ``rows_per_bucket``) they are
+numbered by one bounded ``row_number()`` in the consuming job instead.
 Every partition holds about ``rows_per_bucket`` rows whatever the table
 size; no row is compared with more than log(B) boundaries; ids equal
 ``row_number() OVER (ORDER BY key)``.  Range boundaries are sampled anew by
@@ -26,7 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
@@ -41,6 +43,11 @@ def assign_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
     total = df.count() if total is None else total
     buckets = max(1, math.ceil(total / rows_per_bucket))
     order = [F.col(c).asc_nulls_first() for c in order_cols]
+    if buckets == 1:
+        # Proven to fit one partition (<= rows_per_bucket rows): number the
+        # rows inside the consuming job, no extra materialisation.
+        w = Window.orderBy(*order)
+        return df.withColumn(id_col, (F.lit(start).cast("long") + F.row_number().over(w)).cast("long"))
     # Range boundaries are sampled per job, so the ranged rows are written
     # once (reliable checkpoint in the shared folder): the count and the
     # numbering below then read the very same partitions.
