@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     # min/max/count answered from Parquet footers (e.g. max surrogate id).
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
+    # Checkpoint files of unreachable DataFrames are removed by the cleaner.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
