@@ -78,7 +78,9 @@ def cap_pages(cards: DataFrame, listing: str, page: str, max_pages: int,
     w = Window.partitionBy(listing).orderBy(F.col(page).asc())
     kept = (pages.withColumn("__page_rank", F.row_number().over(w))
             .where(F.col("__page_rank") <= max_pages).drop("__page_rank"))
-    kept = sized_broadcast(kept, broadcast_max_rows)
+    # At most n rows per listing: written once, so the size check and the
+    # join read it instead of ranking the pages twice.
+    kept = sized_broadcast(kept.checkpoint(eager=True), broadcast_max_rows)
     return cards.join(kept, on=[listing, page], how="left_semi")
 
 

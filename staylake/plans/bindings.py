@@ -217,11 +217,11 @@ def append_with_new_fields(spark, sf):
     d = run_dir(spark, "append_fields")
     base = ["key", "name"]
     r = table(spark, sf, "region").select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"))
-    csvio.append_records(spark, r, d, base)
+    first = csvio.append_records(r, d, base)
     n = table(spark, sf, "nation").select(
         F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"),
         F.col("n_regionkey").alias("regionkey"), F.length("n_name").alias("name_length"))
-    csvio.append_records(spark, n, d, base, batch_size=10)
+    csvio.append_records(n, d, base, existing_fields=first, batch_size=10)
     schema = T.StructType([T.StructField("key", T.IntegerType()), T.StructField("name", T.StringType()),
                            T.StructField("name_length", T.IntegerType()),
                            T.StructField("regionkey", T.IntegerType())])

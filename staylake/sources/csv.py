@@ -191,25 +191,18 @@ def fill_defaults(df: DataFrame, text_fields: Sequence[str],
     return df.select(*cols)
 
 
-def append_records(spark: SparkSession, df: DataFrame, folder: str,
-                   base_fields: Sequence[str], text_fields: Sequence[str] = (),
+def append_records(df: DataFrame, folder: str, base_fields: Sequence[str],
+                   existing_fields: Sequence[str] = (), text_fields: Sequence[str] = (),
                    batch_size: int | None = None, fill: bool = False) -> list[str]:
-    """Append rows to a CSV folder, widening the header by name.
+    """Append rows to a CSV folder as new self-describing files.
 
-    New files carry the merged header (existing + base + sorted new fields),
-    so every file stays self-describing and ``read_csv_by_name`` aligns them.
-    Returns the header used.
+    The header is the known existing fields, then base fields not yet
+    present, then the remaining new fields sorted by name.  Earlier files
+    keep their own headers; ``read_csv_by_name`` aligns all of them, so no
+    existing data has to be read or rewritten.  ``batch_size`` caps rows per
+    file.  Returns the header used.
     """
-    try:
-        seen = file_headers(spark, folder)
-    except Exception:                       # folder does not exist yet
-        seen = {}
-    existing: list[str] = []
-    for header in (seen[p] for p in sorted(seen)):
-        for h in header:
-            if h not in existing:
-                existing.append(h)
-    order = merged_field_order(existing, base_fields, df.columns)
+    order = merged_field_order(existing_fields, base_fields, df.columns)
     present = set(df.columns)
     aligned = df.select(*[(F.col(f"`{c}`") if c in present else F.lit(None).cast("string")).alias(c)
                           for c in order])

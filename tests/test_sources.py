@@ -41,10 +41,11 @@ def test_header_of_every_file(spark, scratch):
 
 def test_append_widens_header_by_name(spark, scratch):
     a = spark.createDataFrame([(1, "x")], "property_id int, category string")
-    order1 = csvio.append_records(spark, a, scratch, ["property_id", "category", "city"])
+    order1 = csvio.append_records(a, scratch, ["property_id", "category", "city"])
     b = spark.createDataFrame([(2, "y", "z", 3, 4)], "property_id int, category string, city string, "
                                                       "zeta int, alpha int")
-    order2 = csvio.append_records(spark, b, scratch, ["property_id", "category", "city"], batch_size=1)
+    order2 = csvio.append_records(b, scratch, ["property_id", "category", "city"],
+                                  existing_fields=order1, batch_size=1)
     assert order1 == ["property_id", "category", "city"]
     assert order2 == ["property_id", "category", "city", "alpha", "zeta"]
     got = csvio.read_csv_by_name(spark, scratch).orderBy("property_id").collect()
