@@ -195,6 +195,7 @@ def nth_number(text: str | Column, pattern: str, n: int) -> Column:
 GEOCODER_SCHEMA = T.StructType([
     T.StructField("display_name", T.StringType()),
     T.StructField("address", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 
 
@@ -208,8 +209,10 @@ def geocode_fields(payload: str | Column) -> Column:
     city fields, stripped but not cleaned.  Malformed JSON gives NULLs.
     """
     raw = F.col(payload) if isinstance(payload, str) else payload
-    valid = F.try_parse_json(raw).isNotNull()
-    doc = F.from_json(raw, GEOCODER_SCHEMA)
+    # One parse: input that is not a JSON object of this shape fills the
+    # corrupt-record field instead of failing.
+    doc = F.from_json(raw, GEOCODER_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    valid = doc.isNotNull() & doc["_corrupt_record"].isNull()
     parts = doc["address"]
 
     address = trim_ws(latin_only(F.coalesce(doc["display_name"], F.lit(""))))

@@ -77,6 +77,7 @@ def test_geocode_fields(spark):
         ('{"address": {"neighbourhood": "###"}}',),
         ('{"display_name": "Y"}',),
         ("not json",),
+        ("[1, 2]",),
     ]
     df = spark.createDataFrame(rows, "v string")
     g = extract.geocode_fields("v")
@@ -85,6 +86,7 @@ def test_geocode_fields(spark):
                    ("X", "D2", "Town"),
                    ("", "", None),
                    ("Y", None, None),
+                   (None, None, None),
                    (None, None, None)]
 
 
