@@ -138,3 +138,10 @@ def any_contains(c: ColumnOrName, needles: Iterable[str]) -> Column:
     for n in needles:
         out = out | F.coalesce(col.contains(n), F.lit(False))
     return out
+
+
+def json_field(c: ColumnOrName, path: str, as_type: str = "string", default=None) -> Column:
+    """A JSON path's value cast to ``as_type`` (NULL when absent, malformed
+    or not castable), or ``default`` when given."""
+    value = F.get_json_object(_col(c), path).try_cast(as_type)
+    return value if default is None else F.coalesce(value, F.lit(default).cast(as_type))

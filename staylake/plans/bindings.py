@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions.dates import (date_parts, epoch_ms_to_timestamp, normalize_timestamp,
                                parse_timestamp, timestamp_to_epoch_ms)
+from ..functions.text import json_field
 from ..operators import extract, keys, merge, metrics, quality, reviews
 from ..session import run_dir
 from ..sources import csv as csvio
@@ -669,6 +670,16 @@ def geocode_fields_q(spark, sf):
     return g.select("c_custkey", *[fields[f].alias(f) for f in ("address", "zone", "city")])
 
 
+@query("json_props", """
+SELECT event_id, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), -1) AS k,
+       json_extract_string(props, '$.missing') AS missing
+FROM events""")
+def json_props(spark, sf):
+    e = table(spark, sf, "events")
+    return e.select("event_id", json_field("props", "$.k", "bigint", default=-1).alias("k"),
+                    json_field("props", "$.missing").alias("missing"))
+
+
 _ENRICH_SRC = [
     ("c_custkey", "c_custkey"),
     ("latitude", "CAST((c_nationkey - 12) * 1.5 AS DOUBLE)"),
