@@ -33,6 +33,9 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, l
 
     Only the split that starts at offset 0 of a file can hold its header;
     ``min_by`` over the scan position picks the first line of that split.
+    The driver receives each distinct header once and, per file, only its
+    path and a 64-bit hash of its header (Spark's driver lists those paths
+    for any scan of the folder anyway).
     """
     lines = _csv_text(spark, paths).select(
         F.col("_metadata.file_path").alias("file"),
@@ -41,12 +44,15 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, l
         "value")
     firsts = (lines.where(F.col("block") == 0)
               .groupBy("file")
-              .agg(F.min_by("value", "pos").alias("header")))
-    out: dict[str, list[str]] = {}
-    for row in firsts.collect():          # one row per file, never per record
-        header = (row["header"] or "").lstrip("﻿")
-        out[row["file"]] = next(_csv.reader([header])) if header else []
-    return out
+              .agg(F.min_by("value", "pos").alias("header"))
+              .withColumn("hid", F.xxhash64("header"))
+              .checkpoint(eager=True))          # one scan feeds both small results
+    texts = {r["hid"]: r["header"] for r in firsts.select("hid", "header").distinct().collect()}
+    parsed = {}
+    for hid, header in texts.items():
+        header = (header or "").lstrip("\ufeff")
+        parsed[hid] = next(_csv.reader([header])) if header else []
+    return {r["file"]: parsed[r["hid"]] for r in firsts.select("file", "hid").collect()}
 
 
 _NATIVE = (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DoubleType, T.FloatType)

@@ -83,3 +83,9 @@ def test_tables(spark, scratch):
     files.save_table(spark.range(4).withColumnRenamed("id", "a"), f"{db}.u", "overwrite", f"{scratch}/db/u")
     files.save_table(spark.range(2).withColumnRenamed("id", "a"), f"{db}.u", "append")
     assert spark.table(f"{db}.u").count() == 6
+
+
+def test_header_with_byte_order_mark(spark, scratch):
+    _write(f"{scratch}/bom.csv", "\ufeffid,name\n7,q\n")
+    df = csvio.read_csv_by_name(spark, scratch, SCHEMA)
+    assert [tuple(r) for r in df.select("id", "name").collect()] == [(7, "q")]
