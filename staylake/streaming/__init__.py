@@ -1,3 +1,3 @@
 """Structured Streaming: incremental file loads merged insert-only."""
 
-from .incremental import incremental_merge  # noqa: F401
+from .incremental import incremental_merge, incremental_star  # noqa: F401
