@@ -1051,11 +1051,11 @@ FROM cleaned c JOIN dim ON c.category = dim.category
 GROUP BY dim.category_id, dim.category""")
 def star_load(spark, sf):
     d = run_dir(spark, "star")
+    db = f"staylake_star_{d.rsplit('-', 1)[-1]}"
     staged = files.write_parquet(clean_listings(listings(spark, sf)), f"{d}/staged")
-    staging = load_staging(spark.read.parquet(staged), f"{d}/stage")
-    build_star(staging, f"{d}/warehouse")
-    star = read_star(spark, f"{d}/warehouse")
-    fact, cat = star["fact_property_reviews"], star["dim_category"]
+    staging = load_staging(spark.read.parquet(staged), f"{d}/stage", table=f"{db}.booking_properties")
+    build_star(staging, f"{d}/warehouse", database=db)
+    fact, cat = spark.table(f"{db}.fact_property_reviews"), spark.table(f"{db}.dim_category")
     return (fact.join(merge.sized_broadcast(cat), "category_id")
             .groupBy("category_id", "category")
             .agg(F.count(F.lit(1)).alias("fact_rows"),

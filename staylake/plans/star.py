@@ -18,14 +18,17 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions.dates import date_parts, epoch_ms_to_timestamp
 from ..operators.merge import insert_only_merge, sized_broadcast
-from ..sources.files import read_stage, replace_stage, with_computed_column
+from ..sources.files import (ensure_database, ensure_table, read_stage, replace_stage,
+                             with_computed_column)
 
 
-def load_staging(df: DataFrame, stage_dir: str) -> DataFrame:
+def load_staging(df: DataFrame, stage_dir: str, table: str | None = None) -> DataFrame:
     """Add ``normalized_timestamp``, replace the staging folder, read it back.
 
     The computed column is added before the single write (a table cannot be
-    replaced by a query over itself).  Errors propagate to the caller.
+    replaced by a query over itself).  With ``table`` ("db.name"), the
+    database is created if absent and the staging table is replaced in the
+    catalog at the staging folder.  Errors propagate to the caller.
     """
     ts = df.schema["scrape_timestamp"].dataType
     if isinstance(ts, (T.TimestampNTZType, T.TimestampType)):
@@ -33,7 +36,13 @@ def load_staging(df: DataFrame, stage_dir: str) -> DataFrame:
     else:
         norm = epoch_ms_to_timestamp("scrape_timestamp")
     replace_stage(with_computed_column(df, "normalized_timestamp", norm), stage_dir)
-    return read_stage(df.sparkSession, stage_dir)
+    spark = df.sparkSession
+    if table:
+        if "." in table:
+            ensure_database(spark, table.split(".", 1)[0])
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{stage_dir}'")
+    return read_stage(spark, stage_dir)
 
 
 @dataclass
@@ -56,8 +65,16 @@ def _cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
                        if f.name in df.columns])
 
 
+def register_star(spark: SparkSession, warehouse: str, database: str) -> list[str]:
+    """Create the database and the five star tables (empty, typed) at their
+    folders if absent, so the catalog shows what the merges write."""
+    ensure_database(spark, database)
+    return [ensure_table(spark, f"{database}.{name}", S.STAR_SCHEMAS[name], path)
+            for name, path in star_paths(warehouse).items()]
+
+
 def build_star(staging: DataFrame, warehouse: str,
-               opts: StarOptions | None = None) -> dict[str, int]:
+               opts: StarOptions | None = None, database: str | None = None) -> dict[str, int]:
     """Merge the staged listings into the four dimensions and the fact.
 
     The four dimension merges are independent, so they are submitted to
@@ -68,6 +85,8 @@ def build_star(staging: DataFrame, warehouse: str,
     opts = opts or StarOptions()
     paths = star_paths(warehouse)
     spark = staging.sparkSession
+    if database:
+        register_star(spark, warehouse, database)
 
     prop_cols = ["property_url", "address", "wifi_speed", "latitude", "longitude"]
     ts = F.col("normalized_timestamp")
@@ -98,6 +117,9 @@ def build_star(staging: DataFrame, warehouse: str,
         fact_source(staging, categories), paths["fact_property_reviews"],
         keys=list(opts.fact_keys), schema=S.FACT_REVIEWS, id_col="fact_id",
         order_cols=["scrape_timestamp", "__row"])
+    if database:
+        for name in paths:
+            spark.catalog.refreshTable(f"{database}.{name}")
     return added
 
 
