@@ -1036,19 +1036,32 @@ v AS (SELECT * FROM w WHERE coalesce({SQL_SCORE_RANGE}, false) AND coalesce({SQL
 cleaned AS (SELECT {', '.join(c if c != 'zone' else 'coalesce(zone, ' + _sql_zone('address') + ') AS zone' for c in _CLEAN_COLS)} FROM v)"""
 
 
-@query("clean_listings", f"WITH {CLEAN_SQL} SELECT * FROM cleaned")
-def clean_listings_q(spark, sf):
-    return clean_listings(listings(spark, sf), CleanConfig())
-
-
-@query("star_load", f"""
+# Report over a loaded star schema: facts per category with review totals
+# and distinct scrape times (shared by the three end-to-end queries).
+STAR_REPORT_SQL = f"""
 WITH {CLEAN_SQL},
 dim AS ({_category_dim_sql('cleaned')})
 SELECT dim.category_id, dim.category, count(*) AS fact_rows,
        CAST(sum(CAST(c.general_review_count AS DECIMAL(18,0))) AS DOUBLE) AS total_reviews,
        count(DISTINCT c.scrape_timestamp) AS dates
 FROM cleaned c JOIN dim ON c.category = dim.category
-GROUP BY dim.category_id, dim.category""")
+GROUP BY dim.category_id, dim.category"""
+
+
+def star_report(fact: DataFrame, categories: DataFrame) -> DataFrame:
+    return (fact.join(merge.sized_broadcast(categories), "category_id")
+            .groupBy("category_id", "category")
+            .agg(F.count(F.lit(1)).alias("fact_rows"),
+                 F.sum(F.col("general_review_count").cast("decimal(18,0)")).cast("double").alias("total_reviews"),
+                 F.countDistinct("scrape_timestamp").alias("dates")))
+
+
+@query("clean_listings", f"WITH {CLEAN_SQL} SELECT * FROM cleaned")
+def clean_listings_q(spark, sf):
+    return clean_listings(listings(spark, sf), CleanConfig())
+
+
+@query("star_load", STAR_REPORT_SQL)
 def star_load(spark, sf):
     d = run_dir(spark, "star")
     db = f"staylake_star_{d.rsplit('-', 1)[-1]}"
@@ -1056,21 +1069,10 @@ def star_load(spark, sf):
     staging = load_staging(spark.read.parquet(staged), f"{d}/stage", table=f"{db}.booking_properties")
     build_star(staging, f"{d}/warehouse", database=db)
     fact, cat = spark.table(f"{db}.fact_property_reviews"), spark.table(f"{db}.dim_category")
-    return (fact.join(merge.sized_broadcast(cat), "category_id")
-            .groupBy("category_id", "category")
-            .agg(F.count(F.lit(1)).alias("fact_rows"),
-                 F.sum(F.col("general_review_count").cast("decimal(18,0)")).cast("double").alias("total_reviews"),
-                 F.countDistinct("scrape_timestamp").alias("dates")))
+    return star_report(fact, cat)
 
 
-@query("etl_run", f"""
-WITH {CLEAN_SQL},
-dim AS ({_category_dim_sql('cleaned')})
-SELECT dim.category_id, dim.category, count(*) AS fact_rows,
-       CAST(sum(CAST(c.general_review_count AS DECIMAL(18,0))) AS DOUBLE) AS total_reviews,
-       count(DISTINCT c.scrape_timestamp) AS dates
-FROM cleaned c JOIN dim ON c.category = dim.category
-GROUP BY dim.category_id, dim.category""")
+@query("etl_run", STAR_REPORT_SQL)
 def etl_run(spark, sf):
     d = run_dir(spark, "etl")
     lst = listings(spark, sf)
@@ -1080,21 +1082,10 @@ def etl_run(spark, sf):
     run_etl(spark, RunConfig(raw_dir=f"{d}/raw", out_dir=f"{d}/out", now=_dt.datetime(2025, 9, 4, 9)))
     star = read_star(spark, f"{d}/out/warehouse")
     fact, cat = star["fact_property_reviews"], star["dim_category"]
-    return (fact.join(merge.sized_broadcast(cat), "category_id")
-            .groupBy("category_id", "category")
-            .agg(F.count(F.lit(1)).alias("fact_rows"),
-                 F.sum(F.col("general_review_count").cast("decimal(18,0)")).cast("double").alias("total_reviews"),
-                 F.countDistinct("scrape_timestamp").alias("dates")))
+    return star_report(fact, cat)
 
 
-@query("incremental_star", f"""
-WITH {CLEAN_SQL},
-dim AS ({_category_dim_sql('cleaned')})
-SELECT dim.category_id, dim.category, count(*) AS fact_rows,
-       CAST(sum(CAST(c.general_review_count AS DECIMAL(18,0))) AS DOUBLE) AS total_reviews,
-       count(DISTINCT c.scrape_timestamp) AS dates
-FROM cleaned c JOIN dim ON c.category = dim.category
-GROUP BY dim.category_id, dim.category""")
+@query("incremental_star", STAR_REPORT_SQL)
 def incremental_star_q(spark, sf):
     """The listing view lands as two CSV batches split by ship date (so the
     timestamp-keyed fact merge sees disjoint keys) and streams into the star
@@ -1108,11 +1099,7 @@ def incremental_star_q(spark, sf):
     incremental_star(spark, f"{d}/landing", f"{d}/warehouse", f"{d}/checkpoint", max_files_per_trigger=4)
     star = read_star(spark, f"{d}/warehouse")
     fact, cat = star["fact_property_reviews"], star["dim_category"]
-    return (fact.join(merge.sized_broadcast(cat), "category_id")
-            .groupBy("category_id", "category")
-            .agg(F.count(F.lit(1)).alias("fact_rows"),
-                 F.sum(F.col("general_review_count").cast("decimal(18,0)")).cast("double").alias("total_reviews"),
-                 F.countDistinct("scrape_timestamp").alias("dates")))
+    return star_report(fact, cat)
 
 
 _INC_SCHEMA = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
