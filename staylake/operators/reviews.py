@@ -3,9 +3,10 @@
 Cards are rows (listing, page, score text, traveller label).  Scores are
 parsed and labels normalised with column expressions; summaries are hash
 aggregations with map-side partial sums, so a listing with a huge number of
-reviews is pre-aggregated in every map task before the shuffle.  Sums are
-taken over decimals of the scores' fixed precision, which makes them exact
-and independent of partitioning and retries.
+reviews is pre-aggregated in every map task before the shuffle.  With
+``scale`` (the scores' number of decimals, one for "Scored 8.5") sums are
+taken over decimals, which makes them exact and independent of
+partitioning and retries; without it they are double sums.
 """
 
 from __future__ import annotations
@@ -89,7 +90,11 @@ def union_passes(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.unionByName(second, allowMissingColumns=True)
 
 
-def _exact_sum(score: Column, scale: int) -> Column:
+def _exact_sum(score: Column, scale: int | None) -> Column:
+    """Sum of scores: as decimals of ``scale`` digits when the scores' precision
+    is known (exact and independent of partitioning), else as doubles."""
+    if scale is None:
+        return F.sum(score.cast("double"))
     return F.sum(score.cast(f"decimal(18,{scale})"))
 
 
@@ -98,7 +103,7 @@ def _mean(total: Column, n: Column) -> Column:
 
 
 def summarize(cards: DataFrame, listing: str, kind: str = "kind",
-              score: str = "score", scale: int = 1) -> DataFrame:
+              score: str = "score", scale: int | None = None) -> DataFrame:
     """Mean and count per (listing, type) plus an 'all' row per listing,
     in one aggregation over grouping sets."""
     agg = (cards.rollup(listing, kind)
@@ -116,7 +121,7 @@ def summarize(cards: DataFrame, listing: str, kind: str = "kind",
 
 def summarize_wide(cards: DataFrame, listing: str, kind: str = "kind",
                    score: str = "score", types: Sequence[str] = S.TRAVELER_TYPES,
-                   scale: int = 1) -> DataFrame:
+                   scale: int | None = None) -> DataFrame:
     """One row per listing with ``avg_review_score_<type>`` and
     ``avg_review_score_<type>_count`` for each known type and for 'all'.
 

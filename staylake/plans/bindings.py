@@ -802,7 +802,7 @@ SELECT user_id, CASE WHEN grouping(kind) = 1 THEN 'all' ELSE kind END AS kind,
        {_EXACT_AVG} AS avg_score, count(*) AS review_count
 FROM typed GROUP BY GROUPING SETS ((user_id, kind), (user_id))""")
 def review_summary(spark, sf):
-    return reviews.summarize(review_cards(spark, sf), "user_id", "kind")
+    return reviews.summarize(review_cards(spark, sf), "user_id", "kind", scale=1)
 
 
 def _pivot_sql() -> str:
@@ -821,7 +821,7 @@ SELECT user_id,
   {_pivot_sql()}
 FROM typed GROUP BY user_id""")
 def review_pivot(spark, sf):
-    return reviews.summarize_wide(review_cards(spark, sf), "user_id", "kind")
+    return reviews.summarize_wide(review_cards(spark, sf), "user_id", "kind", scale=1)
 
 
 # ---------------------------------------------------------------------------

@@ -87,3 +87,12 @@ def test_second_pass_union(spark):
     lists = {(r["listing"], r["kind"]): sorted(r["scores"])
              for r in reviews.collect_scores(both, "listing", "kind").collect()}
     assert lists[("L2", "business_travellers")] == [6.5, 7.5]
+
+
+def test_decimal_sums_only_on_request(spark):
+    cards = spark.createDataFrame([("L", "couples", 7.25), ("L", "couples", 7.25)],
+                                  "listing string, kind string, score double")
+    plain = {r["kind"]: r["avg_score"] for r in reviews.summarize(cards, "listing", "kind").collect()}
+    assert plain["couples"] == 7.25
+    exact = {r["kind"]: r["avg_score"] for r in reviews.summarize(cards, "listing", "kind", scale=2).collect()}
+    assert exact["couples"] == 7.25
