@@ -80,3 +80,11 @@ def test_run_id_and_stay_dates(spark):
     assert dates.run_id(dt.datetime(2025, 9, 4, 8, 17, 19)) == "20250904_071719"
     ci, co = dates.stay_dates(dt.date(2025, 12, 31))
     assert tuple(spark.range(1).select(ci, co).first()) == ("2025-12-31", "2026-01-01")
+
+
+def test_json_field(spark):
+    rows = [('{"k": 12, "s": "x"}',), ('{"k": "oops"}',), ("not json",), (None,)]
+    df = spark.createDataFrame(rows, "v string")
+    out = [tuple(r) for r in df.select(text.json_field("v", "$.k", "bigint", default=-1),
+                                       text.json_field("v", "$.s")).collect()]
+    assert out == [(12, "x"), (-1, None), (-1, None), (-1, None)]

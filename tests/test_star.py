@@ -80,3 +80,17 @@ def test_catalog_registration(spark, scratch):
     build_star(staging, f"{scratch}/wh", database="staylake_cat_test")
     assert spark.table("staylake_cat_test.fact_property_reviews").count() == 5
     assert spark.table("staylake_cat_test.dim_category").count() == 1
+
+
+def test_null_zone_location_reinserts_unless_null_safe(spark, scratch):
+    from staylake.plans.star import StarOptions, build_star, load_staging
+    from staylake.plans.clean import clean_listings
+    df = listings_df(spark).where(F.col("property_id") == "ok1") \
+        .withColumn("zone", F.lit(None).cast("string")) \
+        .withColumn("address", F.lit("Plain street  Morocco"))      # no zone can be inferred
+    staging = load_staging(clean_listings(df), f"{scratch}/stage")
+    assert staging.first()["zone"] is None
+    plain = [build_star(staging, f"{scratch}/wh1")["dim_location"] for _ in range(2)]
+    safe = [build_star(staging, f"{scratch}/wh2", StarOptions(null_safe_location=True))["dim_location"]
+            for _ in range(2)]
+    assert plain == [1, 1] and safe == [1, 0]
