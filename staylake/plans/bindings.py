@@ -1066,7 +1066,7 @@ def star_load(spark, sf):
     d = run_dir(spark, "star")
     db = f"staylake_star_{d.rsplit('-', 1)[-1]}"
     staged = files.write_parquet(clean_listings(listings(spark, sf)), f"{d}/staged")
-    staging = load_staging(spark.read.parquet(staged), f"{d}/stage", table=f"{db}.booking_properties")
+    staging = load_staging(spark.read.parquet(staged), f"{d}/stage", table=f"{db}.listing_stage")
     build_star(staging, f"{d}/warehouse", database=db)
     fact, cat = spark.table(f"{db}.fact_property_reviews"), spark.table(f"{db}.dim_category")
     return star_report(fact, cat)

@@ -74,9 +74,9 @@ def test_catalog_registration(spark, scratch):
     from staylake.plans.star import build_star, load_staging
     from staylake.plans.clean import clean_listings
     staging = load_staging(clean_listings(listings_df(spark)), f"{scratch}/stage",
-                           table="staylake_cat_test.booking_properties")
-    assert spark.table("staylake_cat_test.booking_properties").count() == 5
-    assert "normalized_timestamp" in spark.table("staylake_cat_test.booking_properties").columns
+                           table="staylake_cat_test.listing_stage")
+    assert spark.table("staylake_cat_test.listing_stage").count() == 5
+    assert "normalized_timestamp" in spark.table("staylake_cat_test.listing_stage").columns
     build_star(staging, f"{scratch}/wh", database="staylake_cat_test")
     assert spark.table("staylake_cat_test.fact_property_reviews").count() == 5
     assert spark.table("staylake_cat_test.dim_category").count() == 1
