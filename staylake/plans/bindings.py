@@ -1096,7 +1096,12 @@ def incremental_star_q(spark, sf):
     csvio.write_csv(lst.where(F.col("scrape_timestamp") < cut), f"{d}/landing/early")
     csvio.write_csv(lst.where(F.col("scrape_timestamp") >= cut).select(*reversed(lst.columns)),
                     f"{d}/landing/late")
-    incremental_star(spark, f"{d}/landing", f"{d}/warehouse", f"{d}/checkpoint", max_files_per_trigger=4)
+    # One micro-batch per landed batch: the trigger takes as many files as the
+    # first batch wrote (the file listing reads no contents).
+    early_files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+                   .load(f"{d}/landing/early").select("path").count())
+    incremental_star(spark, f"{d}/landing", f"{d}/warehouse", f"{d}/checkpoint",
+                     max_files_per_trigger=max(1, early_files))
     star = read_star(spark, f"{d}/warehouse")
     fact, cat = star["fact_property_reviews"], star["dim_category"]
     return star_report(fact, cat)
