@@ -37,3 +37,19 @@ def test_keys_equal_row_number(spark, values, per_bucket):
     got = keys.assign_keys(df, ["k"], "sk", start=5, rows_per_bucket=per_bucket)
     expected = df.withColumn("sk", (F.row_number().over(Window.orderBy("k")) + 5).cast("long"))
     assert got.exceptAll(expected).count() == 0
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="abc ", max_size=8)), min_size=1, max_size=40),
+       st.lists(st.tuples(st.text(alphabet="abc", min_size=1, max_size=2), st.sampled_from(["X", "Y", "Z"])),
+                min_size=1, max_size=4))
+def test_override_later_rule_wins_matches_brute_force(spark, texts, rules):
+    from staylake.operators.metrics import override_when_contains
+    df = spark.createDataFrame([(i, t, "orig") for i, t in enumerate(texts)], "i int, address string, city string")
+    got = {r["i"]: r["c"] for r in df.select("i", override_when_contains("city", "address", rules).alias("c")).collect()}
+    for i, t in enumerate(texts):
+        want = "orig"
+        for needle, value in rules:
+            if t is not None and needle in t:
+                want = value
+        assert got[i] == want
