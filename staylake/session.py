@@ -50,19 +50,23 @@ def get_spark(master: str = "local[*]", app: str = "staylake",
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables and checkpoints.
 
-    Read from the session; set our own only when nothing is configured.
+    Read from ``spark.checkpoint.dir``, else from the checkpoint folder the
+    context already has.  A folder of our own is set only on a local master:
+    on a cluster it would be a different disk on every machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = (spark.conf.get("spark.checkpoint.dir", None)
+                  or context.getCheckpointDir())
     if not configured:
-        configured = _LOCAL_FALLBACK.setdefault(
-            "dir", tempfile.mkdtemp(prefix="staylake-"))
-        spark.sparkContext.setCheckpointDir(configured)
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="staylake-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
-_LOCAL_FALLBACK: dict[str, str] = {}
-
-
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the work folder for one run of one job."""
     return f"{work_dir(spark)}/staylake/{name}-{uuid.uuid4().hex[:12]}"
