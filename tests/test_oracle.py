@@ -39,11 +39,11 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry.ORACLE))
 def test_query_matches_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = entry.QUERIES[name](spark, SF)
     s_rows = [tuple(r) for r in df.collect()]
-    res = duck.execute(entry.oracle_sql()[name])
+    res = duck.execute(entry.ORACLE[name])
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
@@ -60,7 +60,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLE)
 
 
 def test_entry_smoke(spark):
