@@ -40,7 +40,8 @@ WORD_END = "</w>"
 # --- end of fixed values ---
 
 END = " "  # stands for the word-end mark; byte characters never include it
-CACHE_ENTRIES = 200_000
+MARKS = ".,;:!?"
+CACHE_ENTRIES = 400_000
 CACHE_CHARS = 64
 DECODE_IDS = 1 << 16
 
@@ -93,7 +94,7 @@ class WordBpe:
         for surface in self.ids:
             self.automaton.add_word(surface, len(surface))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}
         self.whole: dict[str, bool] = {}
         self.shorter: dict[str, str | None] = {}
         self.young: dict[str, tuple[int, ...]] = {}
@@ -134,9 +135,10 @@ class WordBpe:
         return known
 
     def _compatible(self, left: str, right: str) -> bool:
-        known = self.pairs.get((left, right))
+        row = self.pairs.setdefault(left, {})
+        known = row.get(right)
         if known is None:
-            known = self.pairs[left, right] = self._merge(
+            known = row[right] = self._merge(
                 self._symbols(left) + self._symbols(right)) == [left, right]
         return known
 
@@ -149,41 +151,55 @@ class WordBpe:
 
     def encode_word(self, surface: str) -> list[int]:
         """Ids of one word given in byte characters with the end mark."""
+        whole, pairs, shorter = self.whole, self.pairs, self.shorter
         if surface in self.ids and self._stands_alone(surface):
             return [self.ids[surface]]
-        longest: dict[int, int] = {}
-        for end, length in self.automaton.iter(surface):
-            start = end - length + 1
-            if length > longest.get(start, 0):
-                longest[start] = length
-        taken: list[tuple[int, str]] = []
+        # Matches come by their end, so the longest of a start comes last.
+        longest = {end - length: length for end, length in self.automaton.iter(surface)}
+        taken: list[str] = []
+        starts: list[int] = []
         dead: set[int] = set()
-        at, size = 0, len(surface)
-        token = surface[:longest[0]]
+        at, size, before = 0, len(surface), None
+        token = surface[:longest[-1]]
         while True:
             while token is not None:
                 end = at + len(token)
-                if (end not in dead and self._stands_alone(token)
-                        and (not taken or self._compatible(taken[-1][1], token))):
-                    break
-                token = self._next_shorter(token)
+                if end not in dead:
+                    fits = whole.get(token)
+                    if fits is None:
+                        fits = self._stands_alone(token)
+                    if fits and before is not None:
+                        row = pairs.get(before)
+                        fits = row.get(token) if row is not None else None
+                        if fits is None:
+                            fits = self._compatible(before, token)
+                    if fits:
+                        break
+                token = shorter[token] if token in shorter else self._next_shorter(token)
             if token is None:
                 if not taken:
                     raise ValueError(f"no encoding for {surface!r}")
                 dead.add(at)
-                at, token = taken.pop()
+                at, token = starts.pop(), taken.pop()
+                before = taken[-1] if taken else None
                 token = self._next_shorter(token)
                 continue
-            taken.append((at, token))
-            at = end
+            taken.append(token)
+            starts.append(at)
+            before, at = token, end
             if at == size:
-                return [self.ids[t] for _, t in taken]
-            token = surface[at:at + longest[at]] if at in longest else None
+                return [self.ids[t] for t in taken]
+            length = longest.get(at - 1)
+            token = surface[at:at + length] if length else None
 
     def _encode_chunk(self, chunk: str) -> tuple[int, ...]:
         """A run without white space, already normalised."""
         found = self.old.get(chunk)
         if found is None:
+            if len(chunk) > 1 and chunk[-1] in MARKS and chunk[-2].isalnum():
+                # the mark is a word of its own; only the word is worth caching
+                return ((self.young.get(chunk[:-1]) or self._encode_chunk(chunk[:-1]))
+                        + (self.young.get(chunk[-1]) or self._encode_chunk(chunk[-1])))
             out: list[int] = []
             pattern = (self.words if chunk.isascii() or self.newer.isdisjoint(chunk)
                        else self.words_newer)
