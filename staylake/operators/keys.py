@@ -1,79 +1,64 @@
 """Surrogate keys and row fingerprints.
 
 Dense, ordered ids (1, 2, 3, ... by a business key, continuing after the
-target's current maximum) without a global single-partition window:
+target's current maximum) without a global single-partition window, in one
+way for every size:
 
-1. B = ceil(rows / rows_per_bucket) range partitions by the key
-   (``repartitionByRange``: Spark samples boundaries and places each row by
-   binary search), each partition sorted by the key;
+1. the rows are range-partitioned by the key (``repartitionByRange``: Spark
+   samples boundaries; adaptive execution sizes the partitions) and sorted
+   inside each partition; a hash of the whole row breaks ties, so a key that
+   holds many rows spreads over several partitions;
 2. the position of a row inside its partition comes from
    ``monotonically_increasing_id`` (partition index in the upper bits,
    position in the lower 33 bits);
-3. one small aggregation returns the row count of each partition
-   (B numbers) -> cumulative offsets on the driver;
-4. id = start + offset[partition] + position + 1.
+3. rows and positions are written once as Parquet in the shared folder:
+   boundaries are sampled anew by every job, so counting and numbering must
+   read the very same partitions, also when lost tasks are recomputed;
+4. the row counts of the partitions (one row each) become running offsets,
+   which are joined back: id = start + offset[partition] + position + 1.
 
-When the rows fit one partition (at most ``rows_per_bucket``) they are
-numbered by one bounded ``row_number()`` in the consuming job instead.
-Every partition holds about ``rows_per_bucket`` rows whatever the table
-size; no row is compared with more than log(B) boundaries; ids equal
-``row_number() OVER (ORDER BY key)``.  Range boundaries are sampled anew by
-every job, so the ranged rows are checkpointed once; the counting job and
-the final job then read identical partitions, also when lost tasks are
-recomputed.
+Ids equal ``row_number() OVER (ORDER BY key)``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 2_000_000
+from ..session import run_dir
+
 _POS_BITS = 33
 
 
 def assign_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
-                start: int = 0, rows_per_bucket: int = ROWS_PER_BUCKET,
-                total: int | None = None) -> DataFrame:
+                start: int = 0, buckets: int | None = None) -> DataFrame:
     """Add ``id_col`` = start + rank of the row by ``order_cols`` (NULLs
-    first).  Ties get distinct ids in an unspecified order."""
-    total = df.count() if total is None else total
-    buckets = max(1, math.ceil(total / rows_per_bucket))
-    order = [F.col(c).asc_nulls_first() for c in order_cols]
-    if buckets == 1:
-        # Proven to fit one partition (<= rows_per_bucket rows): number the
-        # rows inside the consuming job, no extra materialisation.
-        w = Window.orderBy(*order)
-        return df.withColumn(id_col, (F.lit(start).cast("long") + F.row_number().over(w)).cast("long"))
-    # Range boundaries are sampled per job, so the ranged rows are written
-    # once (reliable checkpoint in the shared folder): the count and the
-    # numbering below then read the very same partitions.
-    ranged = (df.repartitionByRange(buckets, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("__pos", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    part = F.shiftright("__pos", _POS_BITS)
-    counts = {r["b"]: r["n"] for r in
-              ranged.groupBy(part.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, running = [], 0
-    for b in range(max(counts) + 1 if counts else 1):
-        offsets.append(running)
-        running += counts.get(b, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (part + 1).cast("int"))
+    first).  Ties get distinct ids by a hash of the row.  ``buckets`` fixes
+    the number of partitions; by default Spark sizes them."""
+    spark = df.sparkSession
+    order = [F.col(c).asc_nulls_first() for c in order_cols] + [F.col("__tie").asc()]
+    tied = df.withColumn("__tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    ranged = (tied.repartitionByRange(buckets, *order) if buckets
+              else tied.repartitionByRange(*order))
+    stage = run_dir(spark, "numbered")
+    (ranged.sortWithinPartitions(*order).drop("__tie")
+     .withColumn("__pos", F.monotonically_increasing_id()).write.parquet(stage))
+    rows = spark.read.parquet(stage).withColumn("__part", F.shiftright("__pos", _POS_BITS))
+    # One row per partition: small enough for one window and one broadcast.
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+               .select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset")))
     local = F.col("__pos").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    return (ranged.withColumn(id_col, (F.lit(start).cast("long") + offset + local + 1).cast("long"))
-            .drop("__pos"))
+    new_id = (F.lit(start).cast("long") + F.col("__offset") + local + 1).cast("long")
+    return (rows.join(F.broadcast(offsets), "__part").withColumn(id_col, new_id)
+            .select(*df.columns, id_col))
 
 
-def row_fingerprint(cols: Sequence[str], sep: str = "|") -> Column:
+def row_fingerprint(cols: Sequence[str]) -> Column:
     """Deterministic SHA-256 hex id of a row's values (repeatable across
-    runs, unlike a random UUID)."""
-    return F.sha2(F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]), 256)
-
-
-def random_id() -> Column:
-    """A random UUID per row (not repeatable)."""
-    return F.expr("uuid()")
+    runs, unlike a random UUID).  The values are encoded as a JSON array of
+    text, NULLs kept, so different rows never share an encoding."""
+    values = F.array(*[F.col(c).cast("string") for c in cols])
+    return F.sha2(F.to_json(values), 256)

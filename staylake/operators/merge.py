@@ -1,10 +1,11 @@
-"""Insert-only merges into Parquet targets, and size-checked broadcasts.
+"""Insert-only merges into Parquet targets.
 
 ``WHEN NOT MATCHED THEN INSERT`` with no update branch is a left-anti join
-of the source against the target's key columns followed by an append.  A
-rerun after a failure is safe: rows already present are skipped.  The
-target is read through the *source's* session every time, so a stale file
-listing (e.g. inside ``foreachBatch``) is never used.
+of the source against the target's key columns followed by an append.  The
+new rows are written once below ``<target>/_pending`` (which readers skip)
+and their finished files are then moved into the target.  A merge that finds
+a finished pending load publishes the rest of it first; an unfinished one is
+discarded.  So a failed load is completed or repeated, never half-counted.
 """
 
 from __future__ import annotations
@@ -15,20 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.files import path_exists, publish_files, remove_path
 from .keys import assign_keys
 from .quality import all_of
 
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the frame is proven small.
-
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed;
-    above it the frame is returned as is and the join shuffles instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+_ORDERED = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -36,11 +28,22 @@ def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def read_target(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.parquet(path)
-    except Exception:                              # nothing written yet
+    """The target table, or None if nothing was written yet.  Any other
+    problem (permissions, a broken file, an unknown file system) propagates."""
+    if not path_exists(spark, path):
         return None
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
+
+
+def in_key_range(target: DataFrame, source: DataFrame, key: str, null_safe: bool) -> DataFrame:
+    """Target rows whose ``key`` lies in the source's range: a filter that
+    Parquet answers from row-group statistics.  Others cannot match."""
+    if not isinstance(source.schema[key].dataType, _ORDERED):
+        return target
+    low, high = source.agg(F.min(key), F.max(key)).first()
+    inside = F.lit(False) if low is None else F.col(key).between(low, high)
+    return target.where(inside | F.col(key).isNull() if null_safe else inside)
 
 
 def anti_join(source: DataFrame, target: DataFrame | None, keys: Sequence[str],
@@ -71,6 +74,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str])
             .select(*df.columns))
 
 
+def finish_pending(spark: SparkSession, target_path: str) -> None:
+    """Publish what a stopped run had finished; discard what it had not."""
+    pending = f"{target_path.rstrip('/')}/_pending"
+    if path_exists(spark, f"{pending}/_SUCCESS"):
+        publish_files(spark, pending, target_path)
+    elif path_exists(spark, pending):
+        remove_path(spark, pending)
+
+
 def insert_only_merge(source: DataFrame, target_path: str, keys: Sequence[str],
                       schema: T.StructType | None = None, id_col: str | None = None,
                       order_cols: Sequence[str] | None = None, null_safe: bool = False,
@@ -81,32 +93,30 @@ def insert_only_merge(source: DataFrame, target_path: str, keys: Sequence[str],
     by ``order_cols`` (default: the keys).  ``distinct_source`` removes
     duplicate source rows first (a MERGE inserts them all);
     ``dedupe_on_key`` keeps one source row per key.  Returns the number of
-    rows appended.
+    rows appended.  One merge at a time may write to a target.
     """
     spark = source.sparkSession
+    finish_pending(spark, target_path)
     target = read_target(spark, target_path, schema)
     src = source.distinct() if distinct_source else source
     if dedupe_on_key:
         src = first_per_key(src, keys, order_cols or keys)
-    new = anti_join(src, target, keys, null_safe)
-
-    # The rows to insert are materialised once in the shared checkpoint
-    # folder: key assignment and the write then read them instead of
-    # re-running the anti-join, and a lost executor cannot change them.
-    new = new.checkpoint(eager=True)
-    inserted = new.count()
-    if inserted == 0:
-        if target is None and schema is not None:
-            spark.createDataFrame([], schema).write.mode("append").parquet(target_path)
-        return 0
-
+    if target is None:
+        new = src
+    else:
+        held = in_key_range(target.select(*keys), source, keys[0], null_safe)
+        new = anti_join(src, held, keys, null_safe)
     if id_col:
-        start = 0
-        if target is not None:
-            # Answered from Parquet footers when aggregate pushdown is on.
-            start = target.agg(F.max(id_col)).first()[0] or 0
-        new = assign_keys(new, list(order_cols or keys), id_col, start=start, total=inserted)
+        # Answered from Parquet footers when aggregate pushdown is on.
+        start = 0 if target is None else target.agg(F.max(id_col)).first()[0] or 0
+        new = assign_keys(new, list(order_cols or keys), id_col, start=start)
     if schema is not None:
         new = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    new.write.mode("append").parquet(target_path)
+    pending = f"{target_path.rstrip('/')}/_pending"
+    new.write.mode("overwrite").parquet(pending)
+    inserted = spark.read.schema(new.schema).parquet(pending).count()     # from the footers
+    if inserted == 0 and target is not None:
+        remove_path(spark, pending)
+    else:
+        publish_files(spark, pending, target_path)
     return inserted

@@ -63,25 +63,20 @@ def parse_cards(cards: DataFrame, score_text: str = "score_text",
             .where(F.col("score").isNotNull() & (F.col("traveler_label") != UNKNOWN_TYPE)))
 
 
-def cap_pages(cards: DataFrame, listing: str, page: str, max_pages: int,
-              broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def cap_pages(cards: DataFrame, listing: str, page: str, max_pages: int) -> DataFrame:
     """Keep the cards of the first ``max_pages`` pages of every listing.
 
     Pages are ranked over the distinct (listing, page) pairs (a partial
     aggregation), with ``row_number() <= n`` planned as a partial
     window-group limit ahead of the shuffle, so no task ever holds more
     than n pages per listing from each map task.  Cards are then kept by a
-    semi join on the kept pairs: broadcast when the pair set is proven
-    small, otherwise a sort-merge join whose hot keys AQE splits.
+    semi join on the kept pairs; Spark picks the join by their measured size
+    and splits hot keys.
     """
-    from .merge import sized_broadcast
     pages = cards.select(listing, page).distinct()
     w = Window.partitionBy(listing).orderBy(F.col(page).asc())
     kept = (pages.withColumn("__page_rank", F.row_number().over(w))
             .where(F.col("__page_rank") <= max_pages).drop("__page_rank"))
-    # At most n rows per listing: written once, so the size check and the
-    # join read it instead of ranking the pages twice.
-    kept = sized_broadcast(kept.checkpoint(eager=True), broadcast_max_rows)
     return cards.join(kept, on=[listing, page], how="left_semi")
 
 
@@ -90,6 +85,9 @@ def union_passes(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.unionByName(second, allowMissingColumns=True)
 
 
+OTHER_TYPE = "other"
+
+
 def _exact_sum(score: Column, scale: int | None) -> Column:
     """Sum of scores: as decimals of ``scale`` digits when the scores' precision
     is known (exact and independent of partitioning), else as doubles."""
@@ -104,15 +102,19 @@ def _mean(total: Column, n: Column) -> Column:
 
 def summarize(cards: DataFrame, listing: str, kind: str = "kind",
               score: str = "score", scale: int | None = None) -> DataFrame:
-    """Mean and count per (listing, type) plus an 'all' row per listing,
-    in one aggregation over grouping sets."""
-    agg = (cards.rollup(listing, kind)
-           .agg(_exact_sum(F.col(score), scale).alias("__sum"),
-                F.count(F.lit(1)).alias("review_count"),
-                F.grouping(listing).alias("__gl"),
-                F.grouping(kind).alias("__gk"))
-           .where(F.col("__gl") == 0))
-    return agg.select(
+    """Mean and count per (listing, type) plus an 'all' row per listing.
+
+    Reviews are summed once per (listing, type); the 'all' rows add up those
+    few sums, so no review row is duplicated.
+    """
+    per_type = cards.groupBy(listing, kind).agg(
+        _exact_sum(F.col(score), scale).alias("__sum"),
+        F.count(F.lit(1)).alias("review_count"))
+    rolled = (per_type.rollup(listing, kind)
+              .agg(F.sum("__sum").alias("__sum"), F.sum("review_count").alias("review_count"),
+                   F.grouping(listing).alias("__gl"), F.grouping(kind).alias("__gk"))
+              .where(F.col("__gl") == 0))
+    return rolled.select(
         listing,
         F.when(F.col("__gk") == 1, F.lit(S.ALL_TYPE)).otherwise(F.col(kind)).alias(kind),
         _mean(F.col("__sum"), F.col("review_count")).alias("avg_score"),
@@ -126,11 +128,13 @@ def summarize_wide(cards: DataFrame, listing: str, kind: str = "kind",
     ``avg_review_score_<type>_count`` for each known type and for 'all'.
 
     A single grouped aggregation with conditional sums (what a pivot with
-    an explicit value list plans to); absent types give NULL.
+    an explicit value list plans to); absent types give NULL.  Types that
+    are not listed share the columns of ``OTHER_TYPE``, so the typed counts
+    always add up to that of 'all'.
     """
     aggs = []
-    for t in types:
-        hit = F.col(kind) == t
+    listed = F.coalesce(F.col(kind).isin(*types), F.lit(False))
+    for t, hit in [*((t, F.col(kind) == t) for t in types), (OTHER_TYPE, ~listed)]:
         s = _exact_sum(F.when(hit, F.col(score)), scale)
         n = F.count(F.when(hit, F.lit(1)))
         aggs += [F.when(n > 0, _mean(s, n)).alias(S.score_col(t)),
@@ -142,14 +146,15 @@ def summarize_wide(cards: DataFrame, listing: str, kind: str = "kind",
     return cards.groupBy(listing).agg(*aggs)
 
 
-def discover_types(cards: DataFrame, kind: str = "kind") -> list[str]:
-    """Distinct normalised types present (a small aggregation), for callers
-    that want unseen types to become columns too."""
-    return sorted(r[0] for r in cards.select(kind).distinct().collect() if r[0] is not None)
+MAX_TYPES = 200
 
 
-def collect_scores(cards: DataFrame, listing: str, kind: str = "kind",
-                   score: str = "score") -> DataFrame:
-    """Score list per (listing, type).  Only for bounded groups (e.g. one
-    listing's capped review pages); the summaries above never need it."""
-    return cards.groupBy(listing, kind).agg(F.collect_list(score).alias("scores"))
+def discover_types(cards: DataFrame, kind: str = "kind") -> list[str]:
+    """Distinct normalised types present (a small aggregation), for callers
+    that want unseen types to become columns too.  More than ``MAX_TYPES``
+    types are no column list; the caller then keeps the 'other' column."""
+    found = [r[0] for r in cards.where(F.col(kind).isNotNull()).select(kind).distinct()
+             .limit(MAX_TYPES + 1).collect()]
+    if len(found) > MAX_TYPES:
+        raise ValueError(f"more than {MAX_TYPES} reviewer types")
+    return sorted(found)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from .. import schemas as S
 from ..functions.dates import run_id
@@ -26,18 +26,7 @@ class RunConfig:
     clean: CleanConfig = field(default_factory=CleanConfig)
     star: StarOptions = field(default_factory=StarOptions)
     now: _dt.datetime | None = None
-
-
-def stage_listings(spark: SparkSession, raw: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Clean, write the staged CSV and Parquet under the run id, load the
-    staging area; returns the staging frame."""
-    rid = run_id(cfg.now or _dt.datetime.now())
-    staged = clean_listings(raw, cfg.clean)
-    base = cfg.out_dir.rstrip("/")
-    parquet_dir = write_parquet(staged, f"{base}/staged/run={rid}")
-    staged = spark.read.parquet(parquet_dir)
-    snapshot_csv(staged, f"{base}/staged_csv", rid)
-    return load_staging(staged, f"{base}/stage")
+    snapshots: bool = True             # CSV copies of the raw and the cleaned rows
 
 
 def run_etl(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
@@ -48,6 +37,9 @@ def run_etl(spark: SparkSession, cfg: RunConfig) -> dict[str, int]:
     raw_dir = write_parquet(read_csv_by_name(spark, cfg.raw_dir, S.LISTING_SCHEMA),
                             f"{base}/raw/run={rid}")
     raw = spark.read.parquet(raw_dir)
-    snapshot_csv(raw, f"{base}/raw_snapshot", rid)
-    staging = stage_listings(spark, raw, cfg)
+    # The cleaned rows are written once: the run's stage is what the star reads.
+    staging = load_staging(clean_listings(raw, cfg.clean), f"{base}/staged/run={rid}")
+    if cfg.snapshots:
+        snapshot_csv(raw, f"{base}/raw_snapshot", rid)
+        snapshot_csv(staging, f"{base}/staged_csv", rid)
     return build_star(staging, f"{base}/warehouse", cfg.star)

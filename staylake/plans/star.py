@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.dates import date_parts, epoch_ms_to_timestamp
-from ..operators.merge import insert_only_merge, sized_broadcast
+from ..operators.merge import insert_only_merge
 from ..sources.files import (ensure_database, ensure_table, read_stage, replace_stage,
                              with_computed_column)
 
@@ -45,15 +45,34 @@ def load_staging(df: DataFrame, stage_dir: str, table: str | None = None) -> Dat
     return read_stage(spark, stage_dir)
 
 
+_PROPERTY_COLS = ("property_url", "address", "wifi_speed", "latitude", "longitude")
+
+
 @dataclass
 class StarOptions:
     null_safe_location: bool = False     # a NULL zone never matches by default
+    null_safe: bool = False              # NULL matches NULL in every merge
     distinct_dates: bool = True          # a MERGE would insert equal timestamps twice
     dedupe_property_on_url: bool = False
-    # The fact's merge key (fact columns).  The source load matches facts on
-    # the timestamp only, so another listing scraped in the same second of a
-    # later run is skipped; adding e.g. "category_id" narrows the match.
-    fact_keys: tuple[str, ...] = ("scrape_timestamp",)
+    # Columns a property is matched on: one URL may hold several rows of one
+    # load, later loads add only unseen URLs.
+    property_keys: tuple[str, ...] = ("property_url",)
+    # The fact's merge key (fact columns).  MATCH_TIMESTAMP is the source
+    # load's match: another listing scraped in the same second of a later run
+    # is then skipped, and so is the rest of a load whose first rows exist.
+    fact_keys: tuple[str, ...] = ("scrape_timestamp", "listing_key")
+    distinct_facts: bool = False
+
+
+MATCH_TIMESTAMP = ("scrape_timestamp",)
+
+
+def streaming_options() -> StarOptions:
+    """Whole-row, NULL-safe matching: the star is the same set of rows however
+    the landing files are cut into micro-batches, and replays add nothing."""
+    return StarOptions(
+        null_safe_location=True, null_safe=True, property_keys=_PROPERTY_COLS, distinct_facts=True,
+        fact_keys=("scrape_timestamp", "listing_key", "category_id", *S.FACT_MEASURES))
 
 
 def star_paths(warehouse: str) -> dict[str, str]:
@@ -88,25 +107,27 @@ def build_star(staging: DataFrame, warehouse: str,
     if database:
         register_star(spark, warehouse, database)
 
-    prop_cols = ["property_url", "address", "wifi_speed", "latitude", "longitude"]
+    prop_cols = list(_PROPERTY_COLS)
     ts = F.col("normalized_timestamp")
     dims = {
         "dim_property": lambda: insert_only_merge(
             _cast_to(staging.select(*prop_cols).distinct(), S.DIM_PROPERTY), paths["dim_property"],
-            keys=["property_url"], schema=S.DIM_PROPERTY, id_col="property_id",
-            order_cols=prop_cols, dedupe_on_key=opts.dedupe_property_on_url),
+            keys=list(opts.property_keys), schema=S.DIM_PROPERTY, id_col="property_id",
+            order_cols=prop_cols, dedupe_on_key=opts.dedupe_property_on_url,
+            null_safe=opts.null_safe),
         "dim_category": lambda: insert_only_merge(
             staging.select("category").distinct(), paths["dim_category"],
-            keys=["category"], schema=S.DIM_CATEGORY, id_col="category_id"),
+            keys=["category"], schema=S.DIM_CATEGORY, id_col="category_id",
+            null_safe=opts.null_safe),
         "dim_date": lambda: insert_only_merge(
             staging.select(ts.alias("scrape_timestamp"), *date_parts(ts)), paths["dim_date"],
             keys=["scrape_timestamp"], schema=S.DIM_DATE, id_col="date_id",
             order_cols=["scrape_timestamp", "day", "month", "year", "weekday"],
-            distinct_source=opts.distinct_dates),
+            distinct_source=opts.distinct_dates, null_safe=opts.null_safe),
         "dim_location": lambda: insert_only_merge(
             staging.select("city", "zone").distinct(), paths["dim_location"],
             keys=["city", "zone"], schema=S.DIM_LOCATION, id_col="location_id",
-            null_safe=opts.null_safe_location),
+            null_safe=opts.null_safe_location or opts.null_safe),
     }
     with ThreadPoolExecutor(max_workers=len(dims)) as pool:
         futures = {name: pool.submit(fn) for name, fn in dims.items()}
@@ -116,7 +137,8 @@ def build_star(staging: DataFrame, warehouse: str,
     added["fact_property_reviews"] = insert_only_merge(
         fact_source(staging, categories), paths["fact_property_reviews"],
         keys=list(opts.fact_keys), schema=S.FACT_REVIEWS, id_col="fact_id",
-        order_cols=["scrape_timestamp", "__row"])
+        order_cols=["scrape_timestamp", "listing_key"], null_safe=opts.null_safe,
+        distinct_source=opts.distinct_facts)
     if database:
         for name in paths:
             spark.catalog.refreshTable(f"{database}.{name}")
@@ -125,14 +147,12 @@ def build_star(staging: DataFrame, warehouse: str,
 
 def fact_source(staging: DataFrame, categories: DataFrame) -> DataFrame:
     """Staged rows joined to the category dimension (inner: rows whose
-    category is NULL or unknown drop out).  The dimension is broadcast only
-    after its size is checked."""
-    dim = sized_broadcast(categories.select("category", "category_id"))
+    category is NULL or unknown drop out)."""
     rows = staging.select(
-        F.col("normalized_timestamp").alias("scrape_timestamp"), "category",
-        *[F.col(m).cast("double").alias(m) for m in S.FACT_MEASURES],
-        F.col("property_id").alias("__row"))
-    return rows.join(dim, on="category", how="inner")
+        F.col("normalized_timestamp").alias("scrape_timestamp"),
+        F.col("property_id").cast("string").alias("listing_key"), "category",
+        *[F.col(m).cast("double").alias(m) for m in S.FACT_MEASURES])
+    return rows.join(categories.select("category", "category_id"), on="category", how="inner")
 
 
 def read_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:

@@ -106,6 +106,7 @@ FACT_MEASURES = (["general_review_count", "weighted_avg", "comfort_score",
 FACT_REVIEWS = T.StructType(
     [T.StructField("fact_id", T.LongType()),
      T.StructField("scrape_timestamp", T.TimestampNTZType()),
+     T.StructField("listing_key", T.StringType()),
      T.StructField("category_id", T.LongType())]
     + [T.StructField(m, T.DoubleType()) for m in FACT_MEASURES])
 

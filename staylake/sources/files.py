@@ -70,3 +70,36 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite",
         writer = writer.option("path", location)
     writer.saveAsTable(name)
     return name
+
+
+def _file_system(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists; storage errors propagate."""
+    fs, location = _file_system(spark, path)
+    return fs.exists(location)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, location = _file_system(spark, path)
+    fs.delete(location, True)
+
+
+def publish_files(spark: SparkSession, done_dir: str, target_dir: str) -> None:
+    """Move the part files of a finished write into a table's folder.
+
+    Each move is one rename; a run that stops half-way leaves the rest in
+    ``done_dir``, and calling this again finishes it, adding nothing twice.
+    """
+    fs, source = _file_system(spark, done_dir)
+    _, target = _file_system(spark, target_dir)
+    fs.mkdirs(target)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for status in fs.listStatus(source):
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")) and not fs.rename(status.getPath(), path(target, name)):
+            raise OSError(f"could not move {status.getPath()} to {target}")
+    fs.delete(source, True)

@@ -74,11 +74,13 @@ def incremental_star(spark: SparkSession, landing_dir: str, warehouse: str, chec
                      max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
                      available_now: bool = True):
     """Landing CSV files -> per micro-batch: read by name, clean, stage, merge
-    into the star schema.  Replays add nothing (every load is an
-    insert-only merge); each batch stages into its own folder."""
+    into the star schema.  By default every merge matches whole rows with NULL
+    equal to NULL, so the tables hold the same rows (apart from surrogate ids)
+    for any ``max_files_per_trigger`` and replays add nothing.  Each batch
+    stages into its own folder."""
     from .. import schemas as S
     from ..plans.clean import clean_listings
-    from ..plans.star import build_star, load_staging
+    from ..plans.star import build_star, load_staging, streaming_options
 
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("pathGlobFilter", "*.csv")
@@ -95,7 +97,7 @@ def incremental_star(spark: SparkSession, landing_dir: str, warehouse: str, chec
         session = batch.sparkSession
         raw = read_csv_by_name(session, paths, schema or S.LISTING_SCHEMA, keep_extra=False)
         staging = load_staging(clean_listings(raw, clean_cfg), f"{base}/stage/batch={batch_id}")
-        build_star(staging, warehouse, star_opts)
+        build_star(staging, warehouse, star_opts or streaming_options())
 
     writer = (files.writeStream.foreachBatch(load_batch)
               .option("checkpointLocation", f"{base}/source"))

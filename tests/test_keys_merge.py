@@ -7,7 +7,7 @@ from staylake.operators import keys, merge
 
 def test_assign_keys_matches_global_row_number_int(spark):
     df = spark.range(0, 15000).select((F.col("id") * 7919 % 100003).alias("k"))
-    out = keys.assign_keys(df, ["k"], "sk", start=100, rows_per_bucket=1000)
+    out = keys.assign_keys(df, ["k"], "sk", start=100, buckets=15)
     expected = df.withColumn("sk", F.row_number().over(Window.orderBy("k")) + 100)
     assert out.exceptAll(expected).count() == 0 and out.count() == 15000
 
@@ -15,11 +15,11 @@ def test_assign_keys_matches_global_row_number_int(spark):
 def test_assign_keys_strings_with_null_and_composite(spark):
     rows = [(None,)] + [(f"key{i:05d}",) for i in range(1495)]
     df = spark.createDataFrame(rows, "k string")
-    out = keys.assign_keys(df, ["k"], "sk", rows_per_bucket=150)
+    out = keys.assign_keys(df, ["k"], "sk", buckets=10)
     expected = df.withColumn("sk", F.row_number().over(Window.orderBy(F.col("k").asc_nulls_first())))
     assert out.exceptAll(expected).count() == 0
     comp = spark.range(0, 3000).select((F.col("id") % 7).alias("a"), (F.col("id") * 13 % 3001).alias("b"))
-    out2 = keys.assign_keys(comp, ["a", "b"], "sk", rows_per_bucket=400)
+    out2 = keys.assign_keys(comp, ["a", "b"], "sk", buckets=8)
     exp2 = comp.withColumn("sk", F.row_number().over(Window.orderBy("a", "b")))
     assert out2.exceptAll(exp2).count() == 0
 
@@ -63,9 +63,60 @@ def test_merge_source_duplicates_and_dedupe(spark, scratch):
     assert got == [("u1", 1.0), ("u2", 2.0)]
 
 
-def test_sized_broadcast(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    joined = spark.range(1000).join(merge.sized_broadcast(small, max_rows=50), "id")
-    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString() or joined.count() == 10
-    assert merge.sized_broadcast(big, max_rows=50) is big
+def test_fingerprints_of_different_rows_differ(spark):
+    df = spark.createDataFrame([("a|b", None), ("a", "b"), ("a|b", ""), (None, "a|b"), ("a", "|b")],
+                               "x string, y string")
+    assert df.select(keys.row_fingerprint(["x", "y"])).distinct().count() == 5
+
+
+def test_hot_key_spreads_over_partitions(spark):
+    df = spark.range(0, 30000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    out = keys.assign_keys(df, ["k"], "sk", buckets=10)
+    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) < 9000
+    assert sorted(r["sk"] for r in out.select("sk").collect()) == list(range(1, 30001))
+
+
+def test_finished_pending_load_is_published_once(spark, scratch):
+    src = spark.createDataFrame([(f"c{n}", "z") for n in range(10)], "city string, zone string")
+    target = f"{scratch}/loc"
+    merge.insert_only_merge(src.limit(0), target, ["city"], schema=SCHEMA, id_col="sk")
+    rows = src.withColumn("sk", F.expr("cast(substr(city, 2) as bigint) + 1")).select("sk", "city", "zone")
+    # a run that stopped after moving some of its files
+    rows.where("sk <= 4").write.mode("append").parquet(target)
+    rows.where("sk > 4").write.parquet(f"{target}/_pending")
+    assert merge.insert_only_merge(src, target, ["city"], schema=SCHEMA, id_col="sk") == 0
+    assert sorted(r["sk"] for r in spark.read.schema(SCHEMA).parquet(target).collect()) == list(range(1, 11))
+
+
+def test_unfinished_pending_load_is_discarded(spark, scratch):
+    import os
+    src = spark.createDataFrame([("a", "z"), ("b", "z")], "city string, zone string")
+    target = f"{scratch}/loc"
+    src.withColumn("sk", F.lit(9).cast("long")).write.parquet(f"{target}/_pending")
+    os.remove(f"{target}/_pending/_SUCCESS")
+    assert merge.insert_only_merge(src, target, ["city"], schema=SCHEMA, id_col="sk") == 2
+    assert sorted(r["sk"] for r in spark.read.schema(SCHEMA).parquet(target).collect()) == [1, 2]
+
+
+def test_read_errors_propagate(spark, scratch):
+    import os
+    import pytest
+    assert merge.read_target(spark, f"{scratch}/none") is None
+    with pytest.raises(Exception, match="nosuch"):
+        merge.read_target(spark, "nosuch://host/folder")
+    os.makedirs(f"{scratch}/broken")
+    with open(f"{scratch}/broken/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    src = spark.createDataFrame([("a", "z")], "city string, zone string")
+    with pytest.raises(Exception):
+        merge.insert_only_merge(src, f"{scratch}/broken", ["city"])
+
+
+def test_target_scan_is_pruned_by_the_source_range(spark, scratch):
+    spark.range(1000).write.parquet(f"{scratch}/t")
+    target = spark.read.parquet(f"{scratch}/t")
+    held = merge.in_key_range(target, spark.range(40, 60), "id", False)
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,40)" in plan and "LessThanOrEqual(id,59)" in plan

@@ -32,9 +32,9 @@ def test_duplicates_with_a_hot_tuple(spark):
 @settings(max_examples=4, deadline=None)
 @given(st.lists(st.integers(min_value=-1000, max_value=1000), min_size=1, max_size=300, unique=True),
        st.integers(min_value=1, max_value=60))
-def test_keys_equal_row_number(spark, values, per_bucket):
+def test_keys_equal_row_number(spark, values, buckets):
     df = spark.createDataFrame([(v,) for v in values], "k int")
-    got = keys.assign_keys(df, ["k"], "sk", start=5, rows_per_bucket=per_bucket)
+    got = keys.assign_keys(df, ["k"], "sk", start=5, buckets=buckets)
     expected = df.withColumn("sk", (F.row_number().over(Window.orderBy("k")) + 5).cast("long"))
     assert got.exceptAll(expected).count() == 0
 
