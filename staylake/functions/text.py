@@ -84,10 +84,6 @@ def nonblank(c: ColumnOrName) -> Column:
     return F.nullif(trim_ws(c), F.lit(""))
 
 
-def first_nonempty(*cols: ColumnOrName) -> Column:
-    return F.coalesce(*[nonblank(c) for c in cols])
-
-
 def latin_only(c: ColumnOrName) -> Column:
     return F.regexp_replace(_col(c), NON_LATIN_PATTERN, "")
 
@@ -110,13 +106,6 @@ def find_all(c: ColumnOrName, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(_col(c), F.lit(pattern), group)
 
 
-def nth_match(c: ColumnOrName, pattern: str, n: int, group: int = 1,
-              as_type: str | None = "double") -> Column:
-    """The n-th (1-based) match of a pattern, optionally cast."""
-    value = F.get(find_all(c, pattern, group), n - 1)
-    return value.try_cast(as_type) if as_type else value
-
-
 def search_group(c: ColumnOrName, pattern: str, group: int) -> Column:
     """First match's capture group; NULL (not '') when there is no match."""
     col = _col(c)

@@ -107,10 +107,22 @@ def canonical_links(links: DataFrame, order_cols: Sequence[str], token: str,
     return firsts.orderBy(*order_cols).limit(max_links)
 
 
-def page_status(text: str | Column, has_links: Column) -> Column:
-    """'links' when the page had links; otherwise 'suspect' for challenge
-    pages, 'empty' for no-result pages, else 'unknown'."""
-    low = F.lower(F.col(text) if isinstance(text, str) else text)
+# Everything that is not visible text: scripts, styles, the head, comments, tags.
+INVISIBLE_PATTERN = (r"(?is)<(script|style|head|noscript|template)\b.*?(</\1\s*>|\z)"
+                     r"|<!--.*?(-->|\z)|<[^>]*(>|\z)")
+
+
+def visible_text(html: str | Column) -> Column:
+    """The page without what a reader does not see; tags become spaces."""
+    col = F.col(html) if isinstance(html, str) else html
+    return F.regexp_replace(col, INVISIBLE_PATTERN, " ")
+
+
+def page_status(html: str | Column, has_links: Column) -> Column:
+    """'links' when the page had links; otherwise, by its visible text,
+    'suspect' for challenge pages, 'empty' for no-result pages, else
+    'unknown'."""
+    low = F.lower(visible_text(html))
     return (F.when(has_links, F.lit("links"))
             .when(any_contains(low, SUSPECT_WORDS), F.lit("suspect"))
             .when(any_contains(low, EMPTY_WORDS), F.lit("empty"))
@@ -129,39 +141,58 @@ def _to_numbers(texts: Column, drop_commas: bool) -> Column:
     return F.filter(F.transform(texts, one), lambda v: v.isNotNull())
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once however often it is read.
+
+    A column named in several places of an expression is computed in each of
+    them; a lambda variable over a one-element array is computed once.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def price_candidates(cells: Column, generic: Column, page: Column) -> Column:
     """Prices from the first non-empty tier: digits of each price cell, then
     digits of generic price elements (commas removed), then currency-sign
     amounts anywhere in the page."""
-    t1 = _to_numbers(F.coalesce(cells, F.array().cast("array<string>")), False)
-    t2 = _to_numbers(F.coalesce(generic, F.array().cast("array<string>")), True)
+    none = F.array().cast("array<string>")
+    t1 = _to_numbers(F.coalesce(cells, none), False)
+    t2 = _to_numbers(F.coalesce(generic, none), True)
     t3 = F.transform(find_all(page, CURRENCY_PRICE_PATTERN, 1), lambda x: x.try_cast("bigint"))
-    return F.when(F.size(t1) > 0, t1).when(F.size(t2) > 0, t2).otherwise(t3)
+    return once(t1, lambda a: F.when(F.size(a) > 0, a).otherwise(
+        once(t2, lambda b: F.when(F.size(b) > 0, b).otherwise(t3))))
 
 
 def category_from_breadcrumb(text: str | Column,
                              recodes: Mapping[str, str] = CATEGORY_RECODES) -> Column:
     """Second-from-last parenthesised group, else the only one, else the
     whole (stripped) text; then recode."""
-    t = trim_ws(text)
-    groups = find_all(t, PAREN_GROUP_PATTERN, 1)
-    return recode(second_last_or_last(groups, t), dict(recodes))
+    def piece(t):
+        return once(find_all(t, PAREN_GROUP_PATTERN, 1), lambda groups: second_last_or_last(groups, t))
+
+    return once(once(trim_ws(text), piece), lambda name: recode(name, dict(recodes)))
 
 
 def coordinates(page: str | Column, patterns: Sequence[str] = COORDINATE_PATTERNS) -> Column:
     """struct(latitude, longitude) from the first pattern whose first match
     parses as two numbers; NULLs if none does."""
     col = F.col(page) if isinstance(page, str) else page
-    out = None
-    for p in patterns:
-        lat = search_group(col, p, 1).try_cast("double")
-        lon = search_group(col, p, 2).try_cast("double")
-        ok = lat.isNotNull() & lon.isNotNull()
-        pair = F.struct(lat.alias("latitude"), lon.alias("longitude"))
-        out = F.when(ok, pair) if out is None else out.when(ok, pair)
-    empty = F.struct(F.lit(None).cast("double").alias("latitude"),
-                     F.lit(None).cast("double").alias("longitude"))
-    return out.otherwise(empty)
+    out = F.struct(F.lit(None).cast("double").alias("latitude"),
+                   F.lit(None).cast("double").alias("longitude"))
+
+    def pair(p):
+        def read(found):
+            return F.struct(search_group(found, p, 1).try_cast("double").alias("latitude"),
+                            search_group(found, p, 2).try_cast("double").alias("longitude"))
+        # the page is searched once; both groups are read from the short match
+        return once(F.regexp_substr(col, F.lit(p)), read)
+
+    def first_of(p, otherwise):
+        return once(pair(p), lambda x: F.when(
+            x["latitude"].isNotNull() & x["longitude"].isNotNull(), x).otherwise(otherwise))
+
+    for p in reversed(patterns):
+        out = first_of(p, out)
+    return out
 
 
 def usable_coordinates(coord: Column) -> Column:
@@ -189,6 +220,12 @@ def nth_number(text: str | Column, pattern: str, n: int) -> Column:
     return F.get(find_all(text, pattern, 1), n - 1).try_cast("double")
 
 
+def nth_numbers(text: str | Column, pattern: str, positions: Mapping[str, int]) -> Column:
+    """struct of several n-th matches by name, from one search of the text."""
+    return once(find_all(text, pattern, 1), lambda found: F.struct(*[
+        F.get(found, n - 1).try_cast("double").alias(name) for name, n in positions.items()]))
+
+
 # ---------------------------------------------------------------------------
 # Geocoder responses and addresses (E9, E10, E11, J5, P7)
 # ---------------------------------------------------------------------------
@@ -211,7 +248,11 @@ def geocode_fields(payload: str | Column) -> Column:
     raw = F.col(payload) if isinstance(payload, str) else payload
     # One parse: input that is not a JSON object of this shape fills the
     # corrupt-record field instead of failing.
-    doc = F.from_json(raw, GEOCODER_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return once(F.from_json(raw, GEOCODER_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"}),
+                _geocode_parts)
+
+
+def _geocode_parts(doc: Column) -> Column:
     valid = doc.isNotNull() & doc["_corrupt_record"].isNull()
     parts = doc["address"]
 
@@ -261,11 +302,15 @@ def merge_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str],
     """Left-join enrichment where a matched lookup row replaces ``fields``
     (even with NULLs, as a dict update would); unmatched rows keep theirs.
 
-    ``when`` restricts which rows are looked up at all.
+    ``when`` restricts which rows are looked up at all.  A key that the
+    lookup repeats counts once, with its smallest row (NULLs last), so no row
+    of ``df`` is multiplied.
     """
     flag = "__matched"
-    right = lookup.select(*keys, *[F.col(f).alias(f"__new_{f}") for f in fields],
-                          F.lit(True).alias(flag))
+    order = [x for f in fields for x in (F.col(f).isNull(), F.col(f))]
+    one = lookup.groupBy(*keys).agg(F.min_by(F.struct(*fields), F.struct(*order)).alias("__row"))
+    right = one.select(*keys, *[F.col(f"__row.{f}").alias(f"__new_{f}") for f in fields],
+                       F.lit(True).alias(flag))
     joined = df.join(right, on=list(keys), how="left")
     use = F.coalesce(F.col(flag), F.lit(False))
     if when is not None:

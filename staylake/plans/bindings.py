@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.dates import (date_parts, epoch_ms_to_timestamp, normalize_timestamp,
-                               parse_timestamp, timestamp_to_epoch_ms)
+                               parse_timestamp, run_id, timestamp_to_epoch_ms)
 from ..functions.text import json_field
 from ..operators import extract, keys, merge, metrics, quality, reviews
 from ..session import run_dir
@@ -32,6 +32,7 @@ from ..sources.pages import read_pages
 from ..streaming.incremental import incremental_merge, incremental_star
 from .clean import CleanConfig, clean_listings
 from .etl import RunConfig, run_etl
+from .listing_pages import extract_listings
 from .star import MATCH_TIMESTAMP, StarOptions, build_star, load_staging, read_star
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,6 +179,44 @@ def raw_snapshot(spark, sf):
     return csvio.read_csv_by_name(spark, path, NATION_SCHEMA)
 
 
+_TEXT_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("body", T.StringType()),
+                             T.StructField("n_chars", T.IntegerType())])
+
+
+@query("csv_quoted_text", """
+SELECT doc_id, '"' || text || '", ' || chr(10) || ' end' AS body, CAST(n_chars AS INTEGER) AS n_chars
+FROM documents""")
+def csv_quoted_text(spark, sf):
+    """Text with quotes, commas and line breaks, counts written as 12.0, in a
+    folder whose name holds a space and glob characters."""
+    d = f"{run_dir(spark, 'csv_quoted')}/a b [1] {{x}}*?"
+    docs = table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit('"'), "text", F.lit('", \n end')).alias("body"),
+        F.concat(F.col("n_chars").cast("string"), F.lit(".0")).alias("n_chars"))
+    csvio.write_csv(docs.where("doc_id % 2 = 0"), f"{d}/even")
+    csvio.write_csv(docs.where("doc_id % 2 = 1").select("n_chars", "body", "doc_id"), f"{d}/odd")
+    return csvio.read_csv_by_name(spark, d, _TEXT_SCHEMA)
+
+
+@query("append_with_defaults", """
+SELECT o_orderkey AS key, o_orderpriority AS category, CAST(0 AS BIGINT) AS general_review_count,
+       CAST(NULL AS VARCHAR) AS city FROM orders
+UNION ALL SELECT c_custkey, c_mktsegment, 0, NULL FROM customer""")
+def append_with_defaults(spark, sf):
+    """Two appends; the second reads the folder's header, both fill defaults."""
+    d = run_dir(spark, "append_defaults")
+    base = ["key", "category", "general_review_count", "city"]
+    for name, key, category in (("orders", "o_orderkey", "o_orderpriority"),
+                                ("customer", "c_custkey", "c_mktsegment")):
+        rows = table(spark, sf, name).select(F.col(key).alias("key"), F.col(category).alias("category"),
+                                             F.lit(None).cast("long").alias("general_review_count"))
+        csvio.append_records(rows, d, base)
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("category", T.StringType()),
+                           T.StructField("general_review_count", T.LongType()),
+                           T.StructField("city", T.StringType())])
+    return csvio.read_csv_by_name(spark, d, schema)
+
+
 @query("parquet_profile", """
 SELECT count(*) AS row_count, CAST(6 AS INTEGER) AS column_count,
        'p_partkey,p_name,p_brand,p_type,p_size,p_retailprice' AS column_names
@@ -218,11 +257,11 @@ def append_with_new_fields(spark, sf):
     d = run_dir(spark, "append_fields")
     base = ["key", "name"]
     r = table(spark, sf, "region").select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"))
-    first = csvio.append_records(r, d, base)
+    csvio.append_records(r, d, base, fill=False)
     n = table(spark, sf, "nation").select(
         F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"),
         F.col("n_regionkey").alias("regionkey"), F.length("n_name").alias("name_length"))
-    csvio.append_records(n, d, base, existing_fields=first, batch_size=10)
+    csvio.append_records(n, d, base, batch_size=10, fill=False)
     schema = T.StructType([T.StructField("key", T.IntegerType()), T.StructField("name", T.StringType()),
                            T.StructField("name_length", T.IntegerType()),
                            T.StructField("regionkey", T.IntegerType())])
@@ -427,6 +466,26 @@ def search_urls(spark, sf):
         "n_nationkey", extract.search_url("n_name", _BASE_URL, _SEARCH_DAY).alias("url"))
 
 
+@query("helper_column", """
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem
+WHERE l_extendedprice / l_quantity > 1000""")
+def helper_column(spark, sf):
+    """Rows kept by a helper column that is dropped again."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    return metrics.with_helper(li, "unit_price", F.col("l_extendedprice") / F.col("l_quantity"),
+                               lambda df: df.where("unit_price > 1000"))
+
+
+@query("run_stamped_rows", """
+SELECT n_nationkey, n_name, n_regionkey, '20250904_081719' AS run FROM nation""")
+def run_stamped_rows(spark, sf):
+    """A snapshot below the id of its run (one hour before it began)."""
+    d = run_dir(spark, "run_stamped")
+    rid = run_id(_dt.datetime(2025, 9, 4, 9, 17, 19))
+    csvio.snapshot_csv(table(spark, sf, "nation"), d, rid)
+    return (spark.read.options(**csvio.DIALECT).schema(NATION_SCHEMA.add("run", "string")).csv(d))
+
+
 # ---------------------------------------------------------------------------
 # Pages: links and status
 # ---------------------------------------------------------------------------
@@ -450,11 +509,40 @@ def canonical_links_q(spark, sf):
     return extract.canonical_links(links, ["page_id", "pos"], token="/", max_links=50)
 
 
+@query("first_links", f"""
+WITH {_LINKS_SQL},
+f AS (SELECT *, split_part(href, '?', 1) AS canonical FROM l WHERE href <> '' AND contains(href, '/')),
+r AS (SELECT *, row_number() OVER (PARTITION BY canonical ORDER BY page_id, pos) AS rn FROM f)
+SELECT canonical, page_id, pos, href FROM r WHERE rn = 1""")
+def first_links(spark, sf):
+    """The first link of every canonical URL, all of them."""
+    links = extract.page_links(table(spark, sf, "pages")).where(extract.link_filter("href", "/"))
+    return extract.first_per_canonical(links, ["page_id", "pos"])
+
+
+_TIERS = ['href="(/ha[^"]*)"', 'href="(/th[^"]*)"', 'href="([^"]*)"']
+
+
+@query("links_by_tier", f"""
+WITH t AS (SELECT page_id, {', '.join(f"regexp_extract_all(html, '{p}', 1) AS t{n}" for n, p in enumerate(_TIERS))}
+           FROM pages),
+c AS (SELECT page_id, CASE WHEN len(t0) > 0 THEN t0 WHEN len(t1) > 0 THEN t1 ELSE t2 END AS arr FROM t)
+SELECT page_id, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS pos, unnest(arr) AS href FROM c""")
+def links_by_tier(spark, sf):
+    """Links by the first pattern of an ordered list that hits at all."""
+    return extract.page_links(table(spark, sf, "pages"), patterns=_TIERS)
+
+
 _STATUS_PATTERN = 'href="(/e[^"]*)"'
 
 
+_SQL_VISIBLE = (r"regexp_replace(html, '<(script|style|head|noscript|template)\b.*?"
+                r"(</(script|style|head|noscript|template)\s*>|\z)|<!--.*?(-->|\z)|<[^>]*(>|\z)', ' ', 'gis')")
+
+
 @query("page_status", f"""
-WITH s AS (SELECT page_id, html, len(regexp_extract_all(html, '{_STATUS_PATTERN}', 1)) AS link_count FROM pages)
+WITH s AS (SELECT page_id, {_SQL_VISIBLE} AS html,
+                  len(regexp_extract_all(html, '{_STATUS_PATTERN}', 1)) AS link_count FROM pages)
 SELECT page_id, CAST(link_count AS INTEGER) AS link_count,
   CASE WHEN link_count > 0 THEN 'links'
        WHEN contains(lower(html), 'captcha') OR contains(lower(html), 'verify') THEN 'suspect'
@@ -503,8 +591,9 @@ def price_extract(spark, sf):
     h = _view(table(spark, sf, "part"), _PRICE_HTML)
     prices = extract.price_candidates(extract.find_all("html", _CELL, 1),
                                       extract.find_all("html", _GENERIC, 1), F.col("html"))
-    lo, hi = metrics.price_range(prices)
-    return h.select("p_partkey", lo.alias("min_price"), hi.alias("max_price"))
+    lo, hi = metrics.price_range(F.col("prices"))
+    return (h.select("p_partkey", prices.alias("prices"))
+            .select("p_partkey", lo.alias("min_price"), hi.alias("max_price")))
 
 
 _CRUMB = [
@@ -561,7 +650,7 @@ FROM c""")
 def coordinates_q(spark, sf):
     h = _view(table(spark, sf, "customer"), _COORD_HTML)
     c = extract.usable_coordinates(extract.coordinates("html"))
-    return h.select("c_custkey", c["latitude"].alias("latitude"), c["longitude"].alias("longitude"))
+    return h.select("c_custkey", c.alias("at")).select("c_custkey", "at.*")
 
 
 _WIFI = [
@@ -623,8 +712,8 @@ SELECT o_orderkey, {', '.join(f"try_cast(regexp_extract_all(review_html, '{_SUB}
 FROM t""")
 def nth_subscore(spark, sf):
     t = _view(table(spark, sf, "orders"), _SUB_TEXT)
-    return t.select("o_orderkey", *[extract.nth_number("review_html", _SUB, n).alias(name)
-                                    for name, n in _SUBSCORES])
+    scores = extract.nth_numbers("review_html", _SUB, dict(_SUBSCORES))
+    return t.select("o_orderkey", scores.alias("s")).select("o_orderkey", "s.*")
 
 
 _GEO_JSON = [
@@ -667,7 +756,7 @@ def geocode_fields_q(spark, sf):
     c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
     g = _view(c.join(n, c.c_nationkey == n.n_nationkey), _GEO_JSON)
     fields = extract.geocode_fields("payload")
-    return g.select("c_custkey", *[fields[f].alias(f) for f in ("address", "zone", "city")])
+    return g.select("c_custkey", fields.alias("at")).select("c_custkey", "at.*")
 
 
 @query("json_props", """
@@ -689,7 +778,8 @@ _ENRICH_SRC = [
     ("city", "c_mktsegment"),
 ]
 _LOOKUP = [
-    ("latitude", "CAST((n_nationkey - 12) * 1.5 AS DOUBLE)"),
+    # one region lies where nobody is
+    ("latitude", "CAST((n_nationkey - 12) * 1.5 + CASE WHEN n_regionkey = 4 THEN 500 ELSE 0 END AS DOUBLE)"),
     ("longitude", "CAST(n_nationkey * 2 AS DOUBLE)"),
     ("address", "concat(n_name, ' Road')"),
     ("zone", "CASE WHEN n_regionkey = 0 THEN NULL ELSE concat('Z', CAST(n_regionkey AS STRING)) END"),
@@ -699,7 +789,7 @@ _LOOKUP = [
 
 @query("geocode_enrich", f"""
 WITH {_cte('c', _ENRICH_SRC, 'customer')},
-{_cte('g', _LOOKUP, 'nation WHERE n_regionkey <> 4')}
+{_cte('g', _LOOKUP, 'nation')}
 SELECT c.c_custkey, c.latitude, c.longitude,
   CASE WHEN m.latitude IS NOT NULL AND c.latitude <> 0 AND c.longitude <> 0 THEN m.address ELSE c.address END AS address,
   CASE WHEN m.latitude IS NOT NULL AND c.latitude <> 0 AND c.longitude <> 0 THEN m.zone ELSE c.zone END AS zone,
@@ -707,7 +797,7 @@ SELECT c.c_custkey, c.latitude, c.longitude,
 FROM c LEFT JOIN g m ON c.latitude = m.latitude AND c.longitude = m.longitude""")
 def geocode_enrich(spark, sf):
     c = _view(table(spark, sf, "customer"), _ENRICH_SRC)
-    lookup = _view(table(spark, sf, "nation").where(F.col("n_regionkey") != 4), _LOOKUP)
+    lookup = _view(table(spark, sf, "nation"), _LOOKUP)
     out = extract.merge_lookup(c, lookup, ["latitude", "longitude"],
                                ["address", "zone", "city"], when=quality.coordinates_present())
     return out.select("c_custkey", "latitude", "longitude", "address", "zone", "city")
@@ -1063,6 +1153,67 @@ def star_report(fact: DataFrame, categories: DataFrame) -> DataFrame:
                  F.countDistinct("scrape_timestamp").alias("dates")))
 
 
+_PAGE_SRC = [
+    ("property_id", "CAST(p_partkey AS STRING)"),
+    ("scrape_timestamp", "CAST('2025-09-04 08:00:00' AS TIMESTAMP_NTZ)"),
+    ("property_url", "concat('https://hotels.example.com/h/', CAST(p_partkey AS STRING))"),
+    ("html", "concat('<ul><li class=\"breadcrumb\"> ', p_name, ' (', p_type, ') (', p_brand, ')</li></ul>',"
+             " '<span class=\"price-cell\">MAD ', CAST(p_size * 10 AS STRING), '</span>',"
+             " '<span class=\"price-cell\">', CAST(p_size * 12 AS STRING), ' MAD</span>',"
+             " CASE WHEN p_size % 4 = 0 THEN '' ELSE concat('<div>Fast • ', CAST(p_size AS STRING), ' Mbps</div>') END,"
+             + ", ".join(f" '<div aria-hidden=\"true\">{i}.', CAST(p_size % 10 AS STRING), '</div>'" for i in range(8))
+             + ", '<div class=\"general-score\"> 8.', CAST(p_size % 10 AS STRING), ' </div>',"
+             " '<div class=\"review-count\">1,', CAST(100 + p_size AS STRING), ' reviews</div>',"
+             " CASE WHEN p_size % 5 = 0 THEN '' ELSE concat('<script>{\"latitude\":31.', CAST(p_size + 10 AS STRING),"
+             " ',\"longitude\":-7.5}</script>') END)"),
+]
+_PAGE_TYPES = ["couples", "solo_travelers", "families", "business_travellers", "groups_friends"]
+_PAGE_LABELS = ["Couple", "Solo traveler", "Family", "Business traveller", "Group", "Digital nomad"]
+
+
+def _page_scores_sql() -> str:
+    out = []
+    for n, kind in [(None, "all"), *enumerate(_PAGE_TYPES)]:
+        hit = "true" if n is None else f"l_linenumber % 6 = {n}"
+        total = f"sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER (WHERE {hit})"
+        count = f"count(*) FILTER (WHERE {hit})"
+        out += [f"CAST({total} AS DOUBLE) / nullif({count}, 0) AS {S.score_col(kind)}",
+                f"nullif({count}, 0) AS {S.count_col(kind)}"]
+    return ", ".join(out)
+
+
+@query("pages_to_listings", f"""
+WITH r AS (SELECT l_partkey, {_page_scores_sql()} FROM lineitem GROUP BY l_partkey),
+p AS (SELECT p_partkey, p_size, p_type, CASE WHEN p_size % 5 <> 0
+             THEN CAST('31.' || (p_size + 10) AS DOUBLE) END AS lat FROM part)
+SELECT CAST(p_partkey AS VARCHAR) AS property_id, TIMESTAMP '2025-09-04 08:00:00' AS scrape_timestamp,
+  'https://hotels.example.com/h/' || p_partkey AS property_url, p_type AS category,
+  CAST('8.' || (p_size % 10) AS DOUBLE) AS general_review, CAST(1100 + p_size AS BIGINT) AS general_review_count,
+  {', '.join(f"CAST('{i}.' || (p_size % 10) AS DOUBLE) AS {n}" for i, n in
+             enumerate(['comfort_score', 'value_score', 'location_score', 'wifi_score'], 3))},
+  {', '.join(f"{c}" for k in ['all', *_PAGE_TYPES] for c in (S.score_col(k), S.count_col(k)))},
+  CAST(p_size * 10 AS DOUBLE) AS min_price, CAST(p_size * 12 AS DOUBLE) AS max_price,
+  lat AS latitude, CASE WHEN lat IS NOT NULL THEN CAST(-7.5 AS DOUBLE) END AS longitude,
+  CASE WHEN lat IS NOT NULL AND p_size % 2 = 0 THEN 'Rue ' || p_size END AS address,
+  CAST(NULL AS VARCHAR) AS zone,
+  CASE WHEN lat IS NOT NULL AND p_size % 2 = 0 THEN 'Marrakech' END AS city,
+  CASE WHEN p_size % 4 = 0 THEN 'Not specified' ELSE p_size || ' Mbps' END AS wifi_speed
+FROM p LEFT JOIN r ON p_partkey = l_partkey""")
+def pages_to_listings(spark, sf):
+    """Listing rows assembled from composed pages, review cards and places."""
+    part, li = table(spark, sf, "part"), table(spark, sf, "lineitem")
+    label = F.element_at(F.array(*[F.lit(x) for x in _PAGE_LABELS]),
+                         (F.col("l_linenumber") % 6 + 1).cast("int"))
+    cards = li.select(F.col("l_partkey").cast("string").alias("property_id"),
+                      F.concat(F.lit("Scored "), F.col("l_quantity").cast("string")).alias("score_text"),
+                      label.alias("traveler_type"))
+    places = part.where("p_size % 2 = 0").select(
+        F.concat(F.lit("31."), (F.col("p_size") + 10).cast("string")).cast("double").alias("latitude"),
+        F.lit(-7.5).alias("longitude"), F.concat(F.lit("Rue "), F.col("p_size").cast("string")).alias("address"),
+        F.lit(None).cast("string").alias("zone"), F.lit("Marrakech").alias("city"))
+    return extract_listings(_view(part, _PAGE_SRC), cards, places, score_scale=2)
+
+
 @query("clean_listings", f"WITH {CLEAN_SQL} SELECT * FROM cleaned")
 def clean_listings_q(spark, sf):
     return clean_listings(listings(spark, sf), CleanConfig())

@@ -2,9 +2,14 @@
 
 A plain ``spark.read.csv(folder)`` assigns columns by position, so files
 with reordered or extra columns are silently misread.  Here the first line
-of every file is read once (one distributed job, one row per file back to
-the driver), files are grouped by header, every group is read with its own
-column order and the groups are unioned by name.
+of every file is read (its first block only), files are grouped by header,
+every group is read with its own column order and the groups are unioned by
+name.
+
+Text is quoted as RFC 4180 has it: a quote inside a value is doubled, and
+quoted values may hold commas and line breaks.  Reading line breaks inside
+values means that a file is not split between tasks; ``multi_line=False``
+allows splitting for files known to have none.
 """
 
 from __future__ import annotations
@@ -12,71 +17,85 @@ from __future__ import annotations
 import csv as _csv
 from collections import OrderedDict
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import TEXT_DEFAULT_FIELDS
+from .files import first_line, path_exists
+
 # Fixed value: text tokens read as missing, as common CSV readers do.
 NULL_TOKENS = ["", "NA", "N/A", "NaN", "nan", "NULL", "null", "None", "<NA>"]
 
 
-def _csv_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+# One dialect for reading and writing.
+DIALECT = {"header": "true", "quote": '"', "escape": '"'}
+HEADER_THREADS = 32
+_GLOB = str.maketrans({c: "\\" + c for c in "\\{}[]*?"})
+
+
+def literal_path(path: str) -> str:
+    """A path in which no character is taken as a glob."""
+    return path.translate(_GLOB)
+
+
+def csv_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """The ``.csv`` files below ``paths`` (a listing, no file is read)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return (spark.read.option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.csv")
-            .text(paths))
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.csv").load([literal_path(p) for p in paths]))
+    return sorted(r["path"] for r in listed.select("path").collect())
 
 
 def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
-    """First line of every ``.csv`` file below ``paths`` -> parsed header.
+    """Every ``.csv`` file below ``paths`` -> its parsed header line.
 
-    Only the split that starts at offset 0 of a file can hold its header;
-    ``min_by`` over the scan position picks the first line of that split.
-    The driver receives each distinct header once and, per file, only its
-    path and a 64-bit hash of its header (Spark's driver lists those paths
-    for any scan of the folder anyway).
+    Opens each file and reads its first block, many files at a time; no data
+    beyond the header line is parsed.
     """
-    lines = _csv_text(spark, paths).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
-        "value")
-    firsts = (lines.where(F.col("block") == 0)
-              .groupBy("file")
-              .agg(F.min_by("value", "pos").alias("header"))
-              .withColumn("hid", F.xxhash64("header"))
-              .checkpoint(eager=True))          # one scan feeds both small results
-    texts = {r["hid"]: r["header"] for r in firsts.select("hid", "header").distinct().collect()}
-    parsed = {}
-    for hid, header in texts.items():
-        header = (header or "").lstrip("\ufeff")
-        parsed[hid] = next(_csv.reader([header])) if header else []
-    return {r["file"]: parsed[r["hid"]] for r in firsts.select("file", "hid").collect()}
-
-
-_NATIVE = (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DoubleType, T.FloatType)
+    files = csv_files(spark, paths)
+    with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
+        lines = pool.map(lambda path: first_line(spark, path), files)
+    headers = {}
+    for path, line in zip(files, lines):
+        line = line.lstrip("\ufeff")
+        headers[path] = next(_csv.reader([line])) if line else []
+    return headers
+
+
+_FLOATING = (T.DoubleType, T.FloatType)
+_INTEGRAL = (T.IntegerType, T.LongType, T.ShortType, T.ByteType)
 
 
 def _read_schema(header: Sequence[str], schema: T.StructType | None) -> T.StructType:
     """Per-file-group read schema in the file's column order.
 
-    Integer and floating columns are parsed by the CSV reader itself (a
-    malformed cell becomes NULL in PERMISSIVE mode); text and date/time
-    columns are read as text and finished in ``_typed``.
+    Floating columns are parsed by the CSV reader itself (a malformed cell
+    becomes NULL in PERMISSIVE mode); the others are read as text and
+    finished in ``_typed``.
     """
     declared = {f.name: f.dataType for f in schema.fields} if schema else {}
-    return T.StructType([T.StructField(h, declared[h] if isinstance(declared.get(h), _NATIVE)
+    return T.StructType([T.StructField(h, declared[h] if isinstance(declared.get(h), _FLOATING)
                                        else T.StringType()) for h in header])
 
 
+def _integral(text: Column, dtype: T.DataType) -> Column:
+    """Whole numbers, also written with a fraction of zero (``12.0``)."""
+    exact = text.try_cast("decimal(38,6)")
+    return F.coalesce(text.try_cast(dtype),
+                      F.when(exact == F.floor(exact), exact.cast("string").try_cast("decimal(38,0)")
+                             .try_cast(dtype)))
+
+
 def _typed(df: DataFrame, schema: T.StructType | None,
            null_tokens: Sequence[str]) -> DataFrame:
     """Missing tokens -> NULL, then cast by name to the declared types.
 
-    Numeric columns arrive parsed; NaN becomes NULL for floating columns.
-    Date/time columns are cast with ``try_cast`` (every token gives NULL).
-    Only text columns compare against the token list.
+    NaN becomes NULL for floating columns.  Other types are cast with
+    ``try_cast`` (every token gives NULL).  Only text columns compare against
+    the token list.
     """
     declared = {f.name: f.dataType for f in schema.fields} if schema else {}
     tokens = [t for t in null_tokens if t.strip()]
@@ -85,10 +104,10 @@ def _typed(df: DataFrame, schema: T.StructType | None,
         name = field.name
         raw = F.col(f"`{name}`")
         dtype = declared.get(name)
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        if isinstance(field.dataType, _FLOATING):
             clean = F.nanvl(raw, F.lit(None).cast(field.dataType))
-        elif isinstance(field.dataType, _NATIVE):
-            clean = raw
+        elif isinstance(dtype, _INTEGRAL):
+            clean = _integral(F.trim(raw), dtype)
         elif dtype is None or isinstance(dtype, T.StringType):
             blank = F.trim(raw) == ""
             clean = F.when(blank | raw.isin(tokens), F.lit(None).cast("string")).otherwise(raw)
@@ -101,16 +120,16 @@ def _typed(df: DataFrame, schema: T.StructType | None,
 def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str],
                      schema: T.StructType | None = None,
                      null_tokens: Sequence[str] = NULL_TOKENS,
-                     keep_extra: bool = True) -> DataFrame:
+                     keep_extra: bool = True, multi_line: bool = True) -> DataFrame:
     """All ``.csv`` files below ``paths``, aligned by header name.
 
     Columns of ``schema`` come first in its order and type (absent ones are
     NULL); columns not in the schema follow as text in first-seen order when
     ``keep_extra``.  A malformed cell becomes NULL instead of failing the
-    job (numbers are parsed by the CSV reader in PERMISSIVE mode, date/time
-    text with ``try_cast``).
+    job.  If all files share one header, the folder is read as a whole.
     """
     headers = file_headers(spark, paths)
+    folders = [paths] if isinstance(paths, str) else list(paths)
     groups: "OrderedDict[tuple[str, ...], list[str]]" = OrderedDict()
     for path in sorted(headers):
         groups.setdefault(tuple(headers[path]), []).append(path)
@@ -119,11 +138,13 @@ def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str],
     for header, files in groups.items():
         if not header:
             continue
-        part = (spark.read.schema(_read_schema(header, schema))
-                .option("header", "true")
-                .option("enforceSchema", "true")
-                .option("mode", "PERMISSIVE")
-                .csv(files))
+        reader = (spark.read.schema(_read_schema(header, schema)).options(**DIALECT)
+                  .option("multiLine", str(multi_line).lower())
+                  .option("enforceSchema", "true").option("mode", "PERMISSIVE"))
+        if len(groups) == 1:
+            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+            files = folders
+        part = reader.csv([literal_path(f) for f in files])
         parts.append(_typed(part, schema, null_tokens))
 
     if not parts:
@@ -149,16 +170,18 @@ def align_to_schema(df: DataFrame, schema: T.StructType, keep_extra: bool = True
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Exploration read with type inference (an extra pass over the data;
     production paths declare the schema instead)."""
-    return (spark.read.option("header", "true").option("inferSchema", "true")
+    return (spark.read.options(**DIALECT).option("inferSchema", "true").option("multiLine", "true")
             .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-            .csv(path))
+            .csv(literal_path(path)))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
               max_records_per_file: int | None = None) -> str:
     """CSV with a header line; ``max_records_per_file`` cuts output into
     batches of at most that many rows per file."""
-    writer = df.write.mode(mode).option("header", "true")
+    writer = (df.write.mode(mode).options(**DIALECT)
+              .option("ignoreLeadingWhiteSpace", "false")
+              .option("ignoreTrailingWhiteSpace", "false"))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     writer.csv(path)
@@ -198,19 +221,26 @@ def fill_defaults(df: DataFrame, text_fields: Sequence[str],
 
 
 def append_records(df: DataFrame, folder: str, base_fields: Sequence[str],
-                   existing_fields: Sequence[str] = (), text_fields: Sequence[str] = (),
-                   batch_size: int | None = None, fill: bool = False) -> list[str]:
+                   existing_fields: Sequence[str] | None = None,
+                   text_fields: Sequence[str] = TEXT_DEFAULT_FIELDS,
+                   batch_size: int | None = None, fill: bool = True) -> list[str]:
     """Append rows to a CSV folder as new self-describing files.
 
-    The header is the known existing fields, then base fields not yet
-    present, then the remaining new fields sorted by name.  Earlier files
-    keep their own headers; ``read_csv_by_name`` aligns all of them, so no
-    existing data has to be read or rewritten.  ``batch_size`` caps rows per
-    file.  Returns the header used.
+    The header is that of the folder's files (read from their first lines
+    unless ``existing_fields`` is given), then base fields not yet present,
+    then the remaining new fields sorted by name.  Absent values are filled
+    by type unless ``fill`` is off.  Earlier files keep their own headers;
+    ``read_csv_by_name`` aligns all of them, so no existing data is
+    rewritten.  ``batch_size`` caps rows per file.  Returns the header used.
     """
+    spark = df.sparkSession
+    if existing_fields is None:
+        held = file_headers(spark, folder) if path_exists(spark, folder) else {}
+        existing_fields = list(dict.fromkeys(c for p in sorted(held) for c in held[p]))
     order = merged_field_order(existing_fields, base_fields, df.columns)
     present = set(df.columns)
-    aligned = df.select(*[(F.col(f"`{c}`") if c in present else F.lit(None).cast("string")).alias(c)
+    absent = {c: "string" if c in text_fields or not fill else "int" for c in order}
+    aligned = df.select(*[(F.col(f"`{c}`") if c in present else F.lit(None).cast(absent[c])).alias(c)
                           for c in order])
     if fill:
         aligned = fill_defaults(aligned, text_fields)

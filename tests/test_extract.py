@@ -136,3 +136,33 @@ def test_search_url(spark):
     url = df.select(extract.search_url("d", "https://s.example.com/r?", dt.date(2025, 9, 4))).first()[0]
     assert url == ("https://s.example.com/r?ss=Marrakech&checkin=2025-09-04&checkout=2025-09-05"
                    "&group_adults=1&no_rooms=1&group_children=0")
+
+
+def test_each_source_is_searched_once_in_the_plan(spark):
+    df = spark.createDataFrame([("x", "y")], "page string, v string")
+
+    def plan(*cols):
+        return df.select(*[c.alias("c") for c in cols])._jdf.queryExecution().optimizedPlan().toString().lower()
+
+    assert plan(extract.geocode_fields("v").alias("g")).count("from_json") == 1
+    found = plan(extract.price_candidates(extract.find_all("page", "<a>(.*?)</a>", 1),
+                                          extract.find_all("page", "<b>(.*?)</b>", 1), F.col("page")))
+    assert found.count("regexp_extract_all") == 3
+    assert plan(extract.category_from_breadcrumb("v")).count("regexp_extract_all") == 1
+    assert plan(extract.nth_numbers("v", "([0-9])", {"a": 1, "b": 2})).count("regexp_extract_all") == 1
+    located = plan(extract.coordinates("page"))
+    assert located.count("regexp_substr") + located.count("regexpinstr") <= len(extract.COORDINATE_PATTERNS)
+
+
+def test_status_reads_visible_text_only(spark):
+    pages = ["<script src='/verify.js'>captcha</script><p>hello</p>", "<p>Please <b>verify</b> yourself</p>",
+             "<!-- no results --><title>x</title>", "<div class='captcha'>No results</div>", None]
+    assert _col(spark, extract.page_status("v", F.lit(False)), [(p,) for p in pages]) == \
+        ["unknown", "suspect", "unknown", "empty", "unknown"]
+
+
+def test_lookup_that_repeats_a_key_multiplies_nothing(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, city string")
+    lookup = spark.createDataFrame([(1, "z"), (1, "m"), (1, None), (3, "q")], "k int, city string")
+    got = extract.merge_lookup(rows, lookup, ["k"], ["city"]).orderBy("k").collect()
+    assert [(r["k"], r["city"]) for r in got] == [(1, "m"), (2, "b")]

@@ -11,7 +11,8 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages",
+          "documents"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 

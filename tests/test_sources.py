@@ -41,11 +41,11 @@ def test_header_of_every_file(spark, scratch):
 
 def test_append_widens_header_by_name(spark, scratch):
     a = spark.createDataFrame([(1, "x")], "property_id int, category string")
-    order1 = csvio.append_records(a, scratch, ["property_id", "category", "city"])
+    order1 = csvio.append_records(a, scratch, ["property_id", "category", "city"], fill=False)
     b = spark.createDataFrame([(2, "y", "z", 3, 4)], "property_id int, category string, city string, "
                                                       "zeta int, alpha int")
     order2 = csvio.append_records(b, scratch, ["property_id", "category", "city"],
-                                  existing_fields=order1, batch_size=1)
+                                  batch_size=1, fill=False)
     assert order1 == ["property_id", "category", "city"]
     assert order2 == ["property_id", "category", "city", "alpha", "zeta"]
     got = csvio.read_csv_by_name(spark, scratch).orderBy("property_id").collect()
@@ -89,3 +89,46 @@ def test_header_with_byte_order_mark(spark, scratch):
     _write(f"{scratch}/bom.csv", "\ufeffid,name\n7,q\n")
     df = csvio.read_csv_by_name(spark, scratch, SCHEMA)
     assert [tuple(r) for r in df.select("id", "name").collect()] == [(7, "q")]
+
+
+def test_quotes_line_breaks_and_odd_paths(spark, scratch):
+    folder = f"{scratch}/a b [1] {{x}}"
+    rows = [(1, 'say "hi"\nthere', 1.0), (2, ' "quoted", and commas ', 2.0), (3, "back\\slash", None),
+            (4, "'single' \r\n line", 4.0)]
+    df = spark.createDataFrame(rows, "id long, name string, score double")
+    csvio.write_csv(df, folder)
+    got = csvio.read_csv_by_name(spark, folder, SCHEMA).orderBy("id")
+    assert [(r["id"], r["name"], r["score"]) for r in got.collect()] == rows
+
+
+def test_file_written_by_pandas(spark, scratch):
+    import pandas as pd
+    os.makedirs(scratch, exist_ok=True)
+    frame = pd.DataFrame({"id": [1, None, 3], "name": ['He said ""hi"", "ok"', "two\nlines", "a,b"],
+                          "score": [12.0, float("nan"), 3.5]})
+    frame.to_csv(f"{scratch}/pandas.csv", index=False)
+    got = csvio.read_csv_by_name(spark, scratch, SCHEMA).collect()
+    assert [(r["id"], r["name"], r["score"]) for r in got] == [
+        (1, 'He said ""hi"", "ok"', 12.0), (None, "two\nlines", None), (3, "a,b", 3.5)]
+
+
+def test_whole_numbers_with_fractions(spark, scratch):
+    _write(f"{scratch}/n.csv", "id,name\n12.0,a\n12.5,b\n9007199254740993,c\n1e3,d\nx,e\nNA,f\n")
+    got = {r["name"]: r["id"] for r in csvio.read_csv_by_name(spark, scratch, SCHEMA).collect()}
+    assert got == {"a": 12, "b": None, "c": 9007199254740993, "d": 1000, "e": None, "f": None}
+
+
+def test_headers_read_only_the_first_line(spark, scratch):
+    _write(f"{scratch}/big.csv", "id,name\n" + "1,x\n" * 1000)
+    _write(f"{scratch}/empty.csv", "")
+    assert sorted(map(tuple, csvio.file_headers(spark, scratch).values())) == [("id", "name")]
+
+
+def test_append_reads_header_and_fills_defaults(spark, scratch):
+    a = spark.createDataFrame([(None, 1.0)], "category string, min_price double")
+    csvio.append_records(a, scratch, ["category"])
+    b = spark.createDataFrame([("h", None)], "category string, max_price double")
+    order = csvio.append_records(b, scratch, ["category"])
+    assert order == ["category", "min_price", "max_price"]
+    text = sorted({r["value"] for r in spark.read.option("recursiveFileLookup", "true").text(scratch).collect()})
+    assert text == ['"",1.0', "category,min_price", "category,min_price,max_price", "h,0,0.0"]

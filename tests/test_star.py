@@ -135,3 +135,15 @@ def test_partly_present_fact_load_is_completed(spark, scratch):
         build_star(staging, wh, opts)
         assert read_star(spark, wh)["fact_property_reviews"].count() == total
     assert 0 < some.count() < 5
+
+
+def test_listings_of_pages_can_be_cleaned(spark):
+    from staylake.plans import bindings
+    from staylake.plans.clean import clean_listings
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    rows = bindings.pages_to_listings(spark, sf)
+    assert rows.schema == S.LISTING_SCHEMA or rows.columns == S.LISTING_COLUMNS
+    cleaned = clean_listings(rows.withColumns({k: F.coalesce(k, F.lit(1)) for k in S.RULE_COUNTS}))
+    assert "weighted_avg" in cleaned.columns and cleaned.count() <= rows.count()
