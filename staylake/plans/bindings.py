@@ -1287,7 +1287,7 @@ def streamed_fact(spark, sf):
 
 @query("streamed_dimensions", f"""
 WITH {CLEAN_SQL}
-SELECT 'property' AS dimension, to_json([property_url, address, wifi_speed]) AS value
+SELECT 'property' AS dimension, CAST(to_json([property_url, address, wifi_speed]) AS VARCHAR) AS value
 FROM (SELECT DISTINCT property_url, address, wifi_speed, latitude, longitude FROM cleaned)
 UNION ALL SELECT 'category', to_json([category]) FROM (SELECT DISTINCT category FROM cleaned)
 UNION ALL SELECT 'date', to_json([strftime(scrape_timestamp, '%Y-%m-%d %H:%M:%S')])
