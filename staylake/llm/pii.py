@@ -30,6 +30,7 @@ EXPRESSIONS = {
 # Runs of words with a digit or an @: what a looser identifier could be.
 LOOSE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20[^\s0-9@]*+[0-9@]\S*+)*+"
 CONTEXT_CHARS = 48
+RUN_MATCHES = 256
 MIN_SUPPORT = 10
 MIN_CONFIDENCE = 0.9
 MIN_SCORE = 0.9
@@ -79,9 +80,19 @@ def _matches(df: DataFrame, name: str, pattern: str, hint: Column) -> DataFrame:
         ).alias("out"))
 
     nothing = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    last = F.size(found) - 1
+
+    def chunk(state, c):
+        """Spans of one run of matches: appending copies, so runs are short."""
+        run = F.aggregate(
+            F.sequence(c * RUN_MATCHES, F.least((c + 1) * RUN_MATCHES - 1, last)),
+            F.struct(state["at"].alias("at"), nothing.alias("out")), step)
+        return F.transform(F.array(run), lambda r: F.struct(
+            r["at"].alias("at"), F.concat(state["out"], r["out"]).alias("out")))[0]
+
     spans = F.when(F.size(found) > 0, F.aggregate(
-        F.sequence(F.lit(0), F.size(found) - 1),
-        F.struct(F.lit(0).alias("at"), nothing.alias("out")), step)["out"]).otherwise(nothing)
+        F.sequence(F.lit(0), F.floor(last / RUN_MATCHES).cast("int")),
+        F.struct(F.lit(0).alias("at"), nothing.alias("out")), chunk)["out"]).otherwise(nothing)
     return df.withColumn(name, spans).drop(found, parts)
 
 

@@ -216,7 +216,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     picked = docs.select(F.col("doc_id").alias("id"), "text").join(
         F.broadcast(clear), F.col("id") == F.col("label_id")).select(
         F.col("id").cast("long"), "label", F.col("text").cast("string"))
-    rows = picked.mapInArrow(run, "id long, label double, x array<double>").orderBy("id").collect()
+    # One row per id (the smallest vector), however often a document is repeated.
+    rows = (picked.mapInArrow(run, "id long, label double, x array<double>")
+            .groupBy("id", "label").agg(F.min("x").alias("x")).orderBy("id").collect())
     x = np.array([r["x"] for r in rows], dtype=np.float64).reshape(-1, len(FEATURES))
     return fit(x, np.array([r["label"] for r in rows], dtype=np.float64))
 

@@ -269,6 +269,14 @@ def test_quality_ignores_held_out_labels(spark):
                           quality.train(docs, flipped).score(x))
 
 
+def test_quality_fit_counts_a_repeated_document_once(spark):
+    texts, labels = _labelled(spark)
+    x = quality._scores_of([type("T", (), {"as_py": lambda self, t=t: t})() for _, t in texts[:50]])
+    once = quality.train(documents(spark, texts), labels)
+    often = quality.train(documents(spark, texts + texts[:40] * 20), labels)
+    assert np.array_equal(once.score(x), often.score(x))
+
+
 def test_quality_without_both_labels(spark):
     texts, labels = _labelled(spark)
     docs = documents(spark, texts[:4])
