@@ -25,6 +25,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,15 +55,17 @@ def byte_characters() -> list[str]:
     return [table[b] for b in range(256)]
 
 
-def newer_characters() -> frozenset[str]:
-    """Letters and numbers newer than Python's own character table.
+def unknown_characters() -> re.Pattern:
+    """Characters that Python's own character table does not know.
 
-    The pattern module knows a later Unicode version than the vocabulary
-    file's library does; there these characters are symbols.
+    Tables of a later Unicode version may hold letters among them; the
+    vocabulary file's library decides how these are folded and split.
     """
-    known = regex.compile(r"[\p{L}\p{N}]")
-    return frozenset(c for c in map(chr, range(0x80, 0x40000))
-                     if unicodedata.category(c) == "Cn" and known.match(c))
+    codes = [c for c in range(0x80, 0x40000) if unicodedata.category(chr(c)) == "Cn"]
+    begins = [c for c, before in zip(codes, [-1, *codes]) if c != before + 1]
+    ends = [c for c, after in zip(codes, [*codes[1:], -1]) if c != after - 1]
+    return re.compile("[" + "".join(f"\\U{b:08x}-\\U{e:08x}"
+                                    for b, e in zip(begins, ends)) + "]")
 
 
 class WordBpe:
@@ -84,12 +87,9 @@ class WordBpe:
             self.ranks[self._surface(left), self._surface(right)] = rank
         self.bytes = byte_characters()
         self.words = regex.compile(WORD_PATTERN)
-        self.newer = newer_characters()
-        self.words_newer = regex.compile(
-            WORD_PATTERN.replace(r"[\p{L}]", r"[\p{L}--[NEW]]").replace(
-                r"[\p{N}]", r"[\p{N}--[NEW]]").replace(
-                r"\p{L}\p{N}]+", r"[\p{L}\p{N}--[NEW]]]+").replace("NEW", "".join(self.newer)),
-            regex.VERSION1)
+        self.unknown = unknown_characters()
+        library = tokenizers.Tokenizer.from_file(path)
+        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.automaton = ahocorasick.Automaton()
         for surface in self.ids:
             self.automaton.add_word(surface, len(surface))
@@ -201,9 +201,10 @@ class WordBpe:
                 return ((self.young.get(chunk[:-1]) or self._encode_chunk(chunk[:-1]))
                         + (self.young.get(chunk[-1]) or self._encode_chunk(chunk[-1])))
             out: list[int] = []
-            pattern = (self.words if chunk.isascii() or self.newer.isdisjoint(chunk)
-                       else self.words_newer)
-            words = pattern.findall(chunk)
+            if chunk.isascii() or not self.unknown.search(chunk):
+                words = self.words.findall(chunk)
+            else:
+                words = [chunk[b:e] for _, (b, e) in self.pre_tokenizer.pre_tokenize_str(chunk)]
             for word in words:
                 if word != chunk:  # cached under its own name
                     out += self.young.get(word) or self._encode_chunk(word)
@@ -220,10 +221,18 @@ class WordBpe:
             self.young[chunk] = found
         return found
 
+    @staticmethod
+    def _folded(text: str) -> str:
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
     def _encode_plain(self, text: str) -> Iterator[int]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
+        if text.isascii():
+            text = text.lower()
+        elif self.unknown.search(text):
+            text = " ".join(self.normalizer.normalize_str(part) if self.unknown.search(part)
+                            else self._folded(part) for part in SPACES.split(text))
+        else:
+            text = self._folded(text)
         chunks = (SPACES.split(text) if SEPARATORS_ONLY_PYTHON.search(text) else text.split())
         young, full = self.young.get, self._encode_chunk
         return chain.from_iterable(

@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import sentencepiece
 import xxhash
 from tokenizers import Tokenizer
@@ -54,6 +56,21 @@ def test_bpe_random_strings_match_the_library():
             want, skip_special_tokens=False)
 
 
+def test_bpe_characters_unknown_to_python_match_the_library():
+    """Letters of newer Unicode versions, alone and between other characters."""
+    library, model = Tokenizer.from_file(WORD), bpe.load(WORD)
+    newer = [chr(c) for c in range(0x80, 0x40000)
+             if unicodedata.category(chr(c)) == "Cn" and regex.match(r"\P{Cn}", chr(c))]
+    draw = random.Random(4)
+    parts = ["a", "B", "9", ".", "'s", " ", "\x1c", "\u3000", "É", "Σ", "\U00016d67", "<|endoftext|>"]
+    texts = [f"ab{c}cd {c}{c}." for c in draw.sample(newer, min(800, len(newer)))]
+    texts += ["".join(draw.choice(newer if draw.random() < 0.3 else parts)
+                      for _ in range(draw.randint(1, 14))) for _ in range(1500)]
+    for text in texts:
+        assert model.encode(text).tolist() == library.encode(
+            text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_bpe_pair_table_decides_merges():
     model = bpe.load(WORD)
     surface = "in" + bpe.END
