@@ -55,17 +55,13 @@ def byte_characters() -> list[str]:
     return [table[b] for b in range(256)]
 
 
-def unknown_characters() -> re.Pattern:
+def unknown_characters() -> frozenset[str]:
     """Characters that Python's own character table does not know.
 
     Tables of a later Unicode version may hold letters among them; the
     vocabulary file's library decides how these are folded and split.
     """
-    codes = [c for c in range(0x80, 0x40000) if unicodedata.category(chr(c)) == "Cn"]
-    begins = [c for c, before in zip(codes, [-1, *codes]) if c != before + 1]
-    ends = [c for c, after in zip(codes, [*codes[1:], -1]) if c != after - 1]
-    return re.compile("[" + "".join(f"\\U{b:08x}-\\U{e:08x}"
-                                    for b, e in zip(begins, ends)) + "]")
+    return frozenset(c for c in map(chr, range(0x80, 0x40000)) if unicodedata.category(c) == "Cn")
 
 
 class WordBpe:
@@ -88,6 +84,7 @@ class WordBpe:
         self.bytes = byte_characters()
         self.words = regex.compile(WORD_PATTERN)
         self.unknown = unknown_characters()
+        self.from_unknown = re.compile(f"[{min(self.unknown)}-{max(self.unknown)}]")
         library = tokenizers.Tokenizer.from_file(path)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.automaton = ahocorasick.Automaton()
@@ -201,7 +198,7 @@ class WordBpe:
                 return ((self.young.get(chunk[:-1]) or self._encode_chunk(chunk[:-1]))
                         + (self.young.get(chunk[-1]) or self._encode_chunk(chunk[-1])))
             out: list[int] = []
-            if chunk.isascii() or not self.unknown.search(chunk):
+            if chunk.isascii() or not self._holds_unknown(chunk):
                 words = self.words.findall(chunk)
             else:
                 words = [chunk[b:e] for _, (b, e) in self.pre_tokenizer.pre_tokenize_str(chunk)]
@@ -221,6 +218,9 @@ class WordBpe:
             self.young[chunk] = found
         return found
 
+    def _holds_unknown(self, text: str) -> bool:
+        return not self.unknown.isdisjoint(self.from_unknown.findall(text))
+
     @staticmethod
     def _folded(text: str) -> str:
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
@@ -228,8 +228,8 @@ class WordBpe:
     def _encode_plain(self, text: str) -> Iterator[int]:
         if text.isascii():
             text = text.lower()
-        elif self.unknown.search(text):
-            text = " ".join(self.normalizer.normalize_str(part) if self.unknown.search(part)
+        elif self._holds_unknown(text):
+            text = " ".join(self.normalizer.normalize_str(part) if self._holds_unknown(part)
                             else self._folded(part) for part in SPACES.split(text))
         else:
             text = self._folded(text)
