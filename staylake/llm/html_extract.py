@@ -64,6 +64,7 @@ SKIPPED_WORDS = {
 COMMENT_WORDS = {"comment", "comments", "reply", "replies"}
 HEADER_WORDS = {"header"}
 MAIN_TAGS = {"article", "main"}
+MARKS = re.compile(r"[%(),/]")
 MAX_DEPTH = 200  # deeper elements count as their ancestor there; no text is lost
 LINK_SHARE = 0.6
 ALIGNED_NODES = 3000  # larger shapes are aligned by path
@@ -191,7 +192,7 @@ def parse(page: str) -> tuple[Node, list[list]]:
                 node = last.parent
         words, first, hidden = _attributes(rest) if rest else (frozenset(), "", False)
         skipped = node.skipped or _is_skipped(tag, words, hidden, node.main)
-        child = Node(tag, f"{tag}.{first}" if first else tag, node, skipped,
+        child = Node(tag, _escaped(f"{tag}.{first}" if first else tag), node, skipped,
                      node.main or tag in MAIN_TAGS)
         if not node.skipped and child.depth <= MAX_DEPTH:
             node.children.append(child)
@@ -220,6 +221,11 @@ def _signature(root: Node) -> dict[int, str]:
     return shapes
 
 
+def _escaped(label: str) -> str:
+    """A label without the marks that shapes and paths are written with."""
+    return MARKS.sub(lambda m: f"%{ord(m.group()):02x}", label)
+
+
 def folded(root: Node) -> tuple[str, dict[int, int]]:
     """The page's shape and the number of each node in it, in preorder."""
     shapes = _signature(root)

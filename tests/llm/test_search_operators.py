@@ -56,6 +56,21 @@ def test_simple_tree_matching_names_the_right_sibling():
     assert len(named) == len(part.labels)
 
 
+def test_marks_in_classes_keep_the_node_numbers(spark):
+    """Classes with the characters that shapes are written with."""
+    for name in ("a)b", "((", "x,y", "w-1/2", "50%", "grid-cols-[minmax(0,1fr)]"):
+        shape, found = html_extract.content_blocks(
+            f"<div class='{name}'>menu</div><div class='b'><p>text</p></div>")
+        read = html_extract.Shape(shape)
+        assert [read.labels[n].split(".")[0] for n, _, _ in found] == ["div", "p"]
+        assert len(read.labels) == len(set(read.paths)) == 4
+    pages = [(n, f"http://h/{n}", "<div class='grid-cols-[minmax(0,1fr)]'>Home</div><div class='a)b'>"
+              f"<h1>title {n}</h1><p>body of {n}</p></div><div>bottom</div>") for n in range(6)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_extract.extract(frame).collect()} == {
+        n: f"title {n}\nbody of {n}" for n in range(6)}
+
+
 def test_constant_slots_are_template(spark):
     pages = [(n, f"http://h/{n}", f"<div>Home</div><div><h1>title {n}</h1><p>body {n}</p></div>"
               "<div>bottom line</div>", "x") for n in range(6)]
