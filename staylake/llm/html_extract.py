@@ -14,11 +14,13 @@ being constant: near copies of one article may be all that a host holds.
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -67,7 +69,7 @@ MAIN_TAGS = {"article", "main"}
 MARKS = re.compile(r"[%(),/]")
 MAX_DEPTH = 200  # deeper elements count as their ancestor there; no text is lost
 LINK_SHARE = 0.6
-ALIGNED_NODES = 3000  # larger shapes are aligned by path
+KEPT_SCORES = 1_000_000  # scores held at a time for each level of two trees
 MIN_PAGES = 3
 
 
@@ -272,50 +274,134 @@ class Shape:
                 stack.pop()
 
 
+class Subtrees:
+    """Numbers equal subtrees alike, so that each pair of them is scored once."""
+
+    def __init__(self):
+        self.number: dict[tuple, int] = {}
+        self.children: list[tuple[int, ...]] = []
+        self.labels: list[str] = []
+        self.sizes: list[int] = []
+        self.scores: dict[tuple[int, int], int] = {}
+        self.least = 0  # pairs of smaller trees are scored again, not kept
+
+    def numbers(self, shape: Shape) -> list[int]:
+        """The subtree number of every node of a shape."""
+        out = [0] * len(shape.labels)
+        for n in range(len(out) - 1, -1, -1):  # preorder: children come later
+            below = tuple(out[c] for c in shape.children[n])
+            key = (shape.labels[n], below)
+            if key not in self.number:
+                self.number[key] = len(self.labels)
+                self.labels.append(shape.labels[n])
+                self.children.append(below)
+                self.sizes.append(1 + sum(self.sizes[c] for c in below))
+            out[n] = self.number[key]
+        return out
+
+    def score(self, x: int, y: int) -> int:
+        """Nodes that simple tree matching pairs in two subtrees."""
+        if x == y:
+            return self.sizes[x]
+        if self.labels[x] != self.labels[y]:
+            return 0
+        if not self.children[x] or not self.children[y]:
+            return 1
+        known = self.scores.get((x, y))
+        if known is not None:
+            return known
+        head, left, right, _ = self.differing(x, y)
+        same = self.children[x][:head] + self.children[x][head + len(left):]
+        got = 1 + sum(self.sizes[c] for c in same)
+        if len(left) * len(right) > 200:
+            got += int(self.rows(left, right, np.zeros(len(right) + 1, np.int64))[-1])
+        elif left and right:
+            row = [0] * (len(right) + 1)
+            for c in left:
+                before, row = row, [0]
+                for n, d in enumerate(right):
+                    row.append(max(row[n], before[n + 1], before[n] + self.score(c, d)))
+            got += row[-1]
+        if self.sizes[x] * self.sizes[y] >= self.least:
+            self.scores[x, y] = got
+        return got
+
+    def differing(self, x: int, y: int):
+        """Both nodes' children between the equal ones at their start and end.
+
+        Equal subtrees score as much as any partner could give them, so equal
+        first or last children may always be paired.
+        """
+        left, right = self.children[x], self.children[y]
+        least, head, tail = min(len(left), len(right)), 0, 0
+        while head < least and left[head] == right[head]:
+            head += 1
+        while tail < least - head and left[-1 - tail] == right[-1 - tail]:
+            tail += 1
+        return head, left[head:len(left) - tail], right[head:len(right) - tail], tail
+
+    def rows(self, left, right, row, keep=None):
+        """The last row of the table of best scores, from ``row`` on."""
+        kinds = list(dict.fromkeys(right))
+        place = {k: n for n, k in enumerate(kinds)}
+        at = np.array([place[d] for d in right], dtype=np.int64)
+        weights: dict[int, np.ndarray] = {}
+        for n, c in enumerate(left):
+            if keep is not None:
+                keep(n, row)
+            if c not in weights:
+                weights[c] = np.array([self.score(c, d) for d in kinds], dtype=np.int64)
+            best = np.maximum(row[1:], row[:-1] + weights[c][at]) if len(at) else row[1:]
+            row = np.concatenate(([0], np.maximum.accumulate(best)))
+        return row
+
+    def pairs(self, x: int, y: int) -> list[tuple[int, int]]:
+        """Positions of the children that a best matching of two nodes pairs.
+
+        Every ``step``-th row is kept and the rows between are made again, so
+        the table of n by m takes memory of m times the root of n.
+        """
+        head, left, right, tail = self.differing(x, y)
+        n, m = len(self.children[x]), len(self.children[y])
+        out = [(k, k) for k in range(head)] + [(n - k, m - k) for k in range(1, tail + 1)]
+        if not left or not right:
+            return out
+        step, kept = math.isqrt(len(left)) + 1, {}
+
+        def keep(k, row):
+            if k % step == 0:
+                kept[k] = row
+
+        self.rows(left, right, np.zeros(len(right) + 1, np.int64), keep)
+        j = len(right)
+        for start in sorted(kept, reverse=True):
+            part, grid = left[start:start + step], []
+            grid.append(self.rows(part, right, kept[start], lambda _, row: grid.append(row)))
+            i = len(part)
+            while i and j:
+                got = self.score(part[i - 1], right[j - 1])
+                if got and grid[i][j] == grid[i - 1][j - 1] + got:
+                    i, j = i - 1, j - 1
+                    out.append((head + start + i, head + j))
+                elif grid[i][j] == grid[i - 1][j]:
+                    i -= 1
+                else:
+                    j -= 1
+        return out
+
+
 def align(a: Shape, b: Shape) -> dict[int, int]:
     """Nodes of ``a`` to nodes of ``b`` by simple tree matching."""
-    if max(len(a.labels), len(b.labels)) > ALIGNED_NODES:
-        known = {p: n for n, p in reversed(list(enumerate(b.paths)))}
-        return {n: known[p] for n, p in enumerate(a.paths) if p in known}
-    size: dict[tuple[int, int], int] = {}
-    grids: dict[tuple[int, int], list[list[int]]] = {}
-
-    def pairs(i: int, j: int) -> Iterator[tuple[int, int]]:
-        """All label-equal pairs below (i, j), children before parents."""
-        stack = [(i, j, False)]
-        while stack:
-            x, y, done = stack.pop()
-            if done:
-                yield x, y
-            elif a.labels[x] == b.labels[y]:
-                stack.append((x, y, True))
-                stack += [(c, d, False) for c in a.children[x] for d in b.children[y]]
-
-    for i, j in pairs(0, 0):
-        left, right = a.children[i], b.children[j]
-        grid = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-        for x, c in enumerate(left, 1):
-            for y, d in enumerate(right, 1):
-                grid[x][y] = max(grid[x - 1][y], grid[x][y - 1],
-                                 grid[x - 1][y - 1] + size.get((c, d), 0))
-        size[i, j] = grid[-1][-1] + 1
-        grids[i, j] = grid
+    trees = Subtrees()
+    left, right = trees.numbers(a), trees.numbers(b)
+    trees.least = len(left) * len(right) // KEPT_SCORES
     matched: dict[int, int] = {}
-    stack = [(0, 0)] if (0, 0) in size else []
+    stack = [(0, 0)] if a.labels[0] == b.labels[0] else []
     while stack:
         i, j = stack.pop()
         matched[i] = j
-        left, right, grid = a.children[i], b.children[j], grids[i, j]
-        x, y = len(left), len(right)
-        while x and y:
-            got = size.get((left[x - 1], right[y - 1]), 0)
-            if got and grid[x][y] == grid[x - 1][y - 1] + got:
-                stack.append((left[x - 1], right[y - 1]))
-                x, y = x - 1, y - 1
-            elif grid[x][y] == grid[x - 1][y]:
-                x -= 1
-            else:
-                y -= 1
+        stack += [(a.children[i][x], b.children[j][y])
+                  for x, y in trees.pairs(left[i], right[j])]
     return matched
 
 
@@ -393,7 +479,8 @@ def wrappers(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
         F.first("shape").alias("shape"), F.count(F.lit(1)).alias("pages")), "html-shapes")
     reference = stored(shapes.groupBy("host").agg(F.max_by(
         "shape", F.struct("pages", "shape_id")).alias("reference")), "html-references")
-    aligned = stored(shapes.join(reference, "host").select("host", "shape_id", "shape", "reference")
+    pairs = shapes.join(reference, "host").select("host", "shape_id", "shape", "reference")
+    aligned = stored(pairs.repartition("host", "shape_id")  # a host's shapes in many tasks
                      .mapInPandas(_aligned, "host string, shape_id long, node int, slot string"),
                      "html-slots")
     texts = (outside.select("host", "shape_id", F.explode("blocks").alias("b"),

@@ -56,6 +56,52 @@ def test_simple_tree_matching_names_the_right_sibling():
     assert len(named) == len(part.labels)
 
 
+def _plain_matching(a, b):
+    """Size of the largest simple tree matching, by its definition."""
+    def size(i, j):
+        if a.labels[i] != b.labels[j]:
+            return 0
+        left, right = a.children[i], b.children[j]
+        grid = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+        for x, c in enumerate(left, 1):
+            for y, d in enumerate(right, 1):
+                grid[x][y] = max(grid[x - 1][y], grid[x][y - 1], grid[x - 1][y - 1] + size(c, d))
+        return grid[-1][-1] + 1
+    return size(0, 0)
+
+
+def test_tree_matching_is_a_largest_one():
+    draw = random.Random(6)
+
+    def tree(depth):
+        return f"{draw.choice('abc')}({','.join(tree(depth - 1) for _ in range(draw.randint(0, 4) if depth else 0))})"
+
+    for _ in range(300):
+        a, b = (html_extract.Shape(f"({tree(3)},{tree(2)},{tree(3)})") for _ in "ab")
+        named = html_extract.align(a, b)
+        up = {c: n for n, below in enumerate(a.children) for c in below}
+        over = {c: n for n, below in enumerate(b.children) for c in below}
+        assert len(named) == _plain_matching(a, b)
+        assert len(set(named.values())) == len(named)
+        assert all(a.labels[i] == b.labels[j] for i, j in named.items())
+        assert all(named[up[i]] == over[j] for i, j in named.items() if i)
+        order = [j for _, j in sorted(named.items())]
+        assert order == sorted(order)  # preorder of a is preorder of b
+
+
+def test_tree_matching_of_large_shapes():
+    """The same names below and above 3000 nodes."""
+    for n in (20, 4000):
+        rest = "".join(f"<p class=c{k}>x</p>" for k in range(n))
+        whole, part = (html_extract.Shape(html_extract.content_blocks(
+            f"<div>{menu}<div><h1>t</h1></div><div><p>c</p></div>{rest}</div>")[0])
+            for menu in ("<div>menu</div>", ""))
+        named = html_extract.align(part, whole)
+        assert len(named) == len(part.labels) == len(whole.labels) - 1
+        (top,) = whole.children[0]
+        assert named[part.children[part.children[0][0]][0]] == whole.children[top][1]
+
+
 def test_marks_in_classes_keep_the_node_numbers(spark):
     """Classes with the characters that shapes are written with."""
     for name in ("a)b", "((", "x,y", "w-1/2", "50%", "grid-cols-[minmax(0,1fr)]"):
