@@ -471,7 +471,10 @@ def wrappers(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, shape_id, template): node numbers whose text is template.
 
     Only slots outside article and main are judged: template if at least
-    ``min_pages`` pages of the host have the slot and all have the same text.
+    ``min_pages`` different pages of the host have the slot and all have the
+    same text.  Pages of equal content count once, and near copies share one
+    count: a page counts 1 / n if half of its text, without the host's constant
+    slots, stands on n pages or more.
     """
     outside = parsed.where(F.exists("blocks", lambda b: ~b["main"])).withColumn(
         "shape_id", F.xxhash64("shape"))
@@ -483,14 +486,28 @@ def wrappers(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     aligned = stored(pairs.repartition("host", "shape_id")  # a host's shapes in many tasks
                      .mapInPandas(_aligned, "host string, shape_id long, node int, slot string"),
                      "html-slots")
-    texts = (outside.select("host", "shape_id", F.explode("blocks").alias("b"),
-                            F.xxhash64("page_id", "blocks").alias("page"))
-             .where(~F.col("b.main"))
-             .groupBy("host", "shape_id", F.col("b.node").alias("node"),
-                      F.xxhash64("b.text").alias("text")).agg(F.count(F.lit(1)).alias("n")))
-    slots = (texts.join(aligned, ["host", "shape_id", "node"]).groupBy("host", "slot")
-             .agg(F.sum("n").alias("n"), F.min("text").alias("low"), F.max("text").alias("high"))
-             .where((F.col("low") == F.col("high")) & (F.col("n") >= min_pages)))
+    hashed = F.transform("blocks", lambda b: F.struct(
+        b["node"].alias("node"), b["main"].alias("main"), F.xxhash64(b["text"]).alias("text"),
+        F.length(b["text"]).alias("chars")))
+    pages = (outside.select("host", "shape_id", hashed.alias("blocks"))
+             .groupBy("host", F.xxhash64("blocks.text").alias("page"))
+             .agg(F.min(F.struct("shape_id", "blocks")).alias("p")))
+    texts = stored(
+        pages.select("host", "page", "p.shape_id", F.explode("p.blocks").alias("b"))
+        .where(~F.col("b.main"))
+        .select("host", "page", "shape_id", "b.node", "b.text", "b.chars")
+        .join(aligned, ["host", "shape_id", "node"])
+        .groupBy("host", "page", "slot", "text").agg(F.sum("chars").alias("chars")), "html-texts")
+    spread = texts.groupBy("host", "slot").agg(
+        (F.min("text") == F.max("text")).alias("constant"))
+    holders = texts.groupBy("host", "slot", "text").agg(F.count(F.lit(1)).alias("holders"))
+    weights = (texts.join(spread.where("not constant"), ["host", "slot"])
+               .join(holders, ["host", "slot", "text"]).groupBy("host", "page")
+               .agg((1 / F.percentile("holders", 0.5, F.col("chars"))).alias("weight")))
+    evidence = (texts.select("host", "slot", "page").distinct().join(weights, ["host", "page"])
+                .groupBy("host", "slot").agg(F.sum("weight").alias("pages")))
+    slots = spread.join(evidence, ["host", "slot"]).where(
+        F.col("constant") & (F.col("pages") >= min_pages - 1e-6))
     return aligned.join(slots.select("host", "slot"), ["host", "slot"]).groupBy(
         "host", "shape_id").agg(F.collect_set("node").alias("template"))
 

@@ -138,6 +138,30 @@ def test_copies_of_one_article_keep_their_text(spark):
     assert {(r["text"], r["n_chars"]) for r in html_extract.extract(frame).collect()} == {("t\nb", 3)}
 
 
+def _extracted(spark, pages):
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    return {(r["page_id"], r["url"]): r["text"] for r in html_extract.extract(frame).collect()}
+
+
+def test_copies_are_no_evidence_of_template(spark):
+    """Repeated rows, copies under other ids and near copies, without article."""
+    page = "<div><h1>t</h1><p>b</p></div>"
+    pages = [(1, "http://rows/a", page)] * 3 + [(n, f"http://copies/{n}", page) for n in range(4)]
+    pages += [(0, "http://single/", "<div><p>x</p><p>x</p><p>x</p><h2>y</h2></div>")]
+    long = "<p>first of the paragraphs</p><p>second of the paragraphs</p><p>third of them</p>"
+    pages += [(n, f"http://near/{n}", f"<div><h1>t</h1>{long}<p>edit {n}</p></div>") for n in range(9)]
+    pages += [(n, f"http://large/{n}", f"<div><h1>title {n}</h1><p>{n} body</p></div><div>menu</div>")
+              for n in range(9)]
+    pages += [(n, f"http://large/{n}", "<table><tr><td>only here</td></tr></table><div>menu</div>")
+              for n in range(100, 105)]
+    got = _extracted(spark, pages)
+    assert got[1, "http://rows/a"] == got[2, "http://copies/2"] == "t\nb"
+    assert got[0, "http://single/"] == "x\nx\nx\ny"
+    assert got[4, "http://near/4"].startswith("t\nfirst") and got[4, "http://near/4"].endswith("edit 4")
+    assert got[5, "http://large/5"] == "title 5\n5 body"
+    assert got[101, "http://large/101"] == "only here"
+
+
 # ------------------------------------------------------------------- top-k
 
 def _plain_topk(vectors, k, asked):
