@@ -1,14 +1,14 @@
 """Main text of web pages by wrapper induction.
 
-Each page is parsed once into a tree of block elements and the text blocks of
-its content region.  Runs of siblings of the same shape fold into one node, so
-that pages of a host have few distinct shapes.  Per host the most frequent
-shape is the reference; every other shape is aligned with it by simple tree
-matching, which names its nodes by the reference's nodes.  A slot whose text is
-constant over a host's pages is template and goes; varying slots are content.
-Elements that their tag, class or role marks as menus, adverts and the like are
-never content.  What lies inside an article or main element is not dropped for
-being constant: near copies of one article may be all that a host holds.
+Each page is parsed once into a tree of block elements and its text blocks.
+Runs of siblings of the same shape fold into one node, so that pages of a host
+have few distinct shapes.  Per host the most frequent shape is the reference;
+every other shape is aligned with it by simple tree matching, which names its
+nodes by the reference's nodes.  A slot whose text is constant over a host's
+pages is template and goes; varying slots are content.  Elements that their
+tag, class or role marks as menus, adverts and the like are never content.
+An article or main element is a hint: it decides where a host has too few
+different pages, and its h1 is never template.
 """
 
 from __future__ import annotations
@@ -67,6 +67,7 @@ COMMENT_WORDS = {"comment", "comments", "reply", "replies"}
 HEADER_WORDS = {"header"}
 MAIN_TAGS = {"article", "main"}
 MARKS = re.compile(r"[%(),/]")
+OUTSIDE, CONTENT, TITLE = 0, 1, 2  # a block's place; titles of main parts always stay
 MAX_DEPTH = 200  # deeper elements count as their ancestor there; no text is lost
 LINK_SHARE = 0.6
 KEPT_SCORES = 1_000_000  # scores held at a time for each level of two trees
@@ -419,36 +420,53 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 # ------------------------------------------------------------------- on Spark
 
-def content_blocks(page: str) -> tuple[str, list[tuple[int, bool, str]]]:
-    """A page's shape and its content blocks (node, inside main, text)."""
+def page_blocks(page: str) -> tuple[str, list[tuple[int, int, str]]]:
+    """A page's shape and its blocks (node, place, text).
+
+    Beside an article or main element that holds at least as much text as the
+    rest without links, the rest is ``OUTSIDE``: content only if its slot varies.
+    """
     root, blocks = parse(page)
     shape, numbers = folded(root)
-    main = [b for b in blocks if b[0].main]
-    if not main:
-        main = [b for b in blocks if b[2] <= LINK_SHARE * len(b[1])]
+    inside = sum(len(text) for node, text, _ in blocks if node.main)
+    if not inside:
+        blocks = [b for b in blocks if b[2] <= LINK_SHARE * len(b[1])]
+    rest = sum(len(text) - links for node, text, links in blocks if not node.main)
+    around = OUTSIDE if inside and inside >= rest else CONTENT
+
+    def place(node: Node) -> int:
+        if not node.main:
+            return around
+        return TITLE if node.tag == "h1" else CONTENT
 
     def number(node: Node) -> int:
         while id(node) not in numbers:
             node = node.parent
         return numbers[id(node)]
 
-    return shape, [(number(n), n.main, text) for n, text, _ in main]
+    return shape, [(number(n), place(n), text) for n, text, _ in blocks]
+
+
+def content_blocks(page: str) -> tuple[str, list[tuple[int, int, str]]]:
+    """A page's shape and the blocks that are content without other pages."""
+    shape, blocks = page_blocks(page)
+    return shape, [b for b in blocks if b[1] != OUTSIDE]
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
     """(page_id, url, host, shape, blocks) of every page, one parse each."""
     ship(pages.sparkSession)
     kind = pages.schema["page_id"].dataType.simpleString()
-    block = pa.struct([("node", pa.int32()), ("main", pa.bool_()), ("text", pa.string())])
+    block = pa.struct([("node", pa.int32()), ("place", pa.int32()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
                 for key, url, host, page in zip(*batch.columns):
-                    shape, found = content_blocks(page.as_py())
+                    shape, found = page_blocks(page.as_py())
                     yield (sum(len(t) for _, _, t in found) + len(shape),
                            (key.as_py(), url.as_py(), host.as_py(), shape,
-                            [{"node": n, "main": m, "text": t} for n, m, t in found]))
+                            [{"node": n, "place": p, "text": t} for n, p, t in found]))
 
         first = next(batches, None)
         if first is None:
@@ -464,21 +482,19 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
         F.coalesce(host, F.lit("")).alias("host"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     ).mapInArrow(run, f"page_id {kind}, url string, host string, shape string, "
-                      "blocks array<struct<node:int,main:boolean,text:string>>")
+                      "blocks array<struct<node:int,place:int,text:string>>")
 
 
 def wrappers(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, shape_id, template): node numbers whose text is template.
+    """(host, shape_id, template, varying): node numbers by what their slot is.
 
-    Only slots outside article and main are judged: template if at least
-    ``min_pages`` different pages of the host have the slot and all have the
-    same text.  Pages of equal content count once, and near copies share one
+    A slot is judged if at least ``min_pages`` different pages of the host have
+    it: template if all have the same text, else varying.  Pages of equal content count once, and near copies share one
     count: a page counts 1 / n if half of its text, without the host's constant
     slots, stands on n pages or more.
     """
-    outside = parsed.where(F.exists("blocks", lambda b: ~b["main"])).withColumn(
-        "shape_id", F.xxhash64("shape"))
-    shapes = stored(outside.groupBy("host", "shape_id").agg(
+    filled = parsed.where(F.size("blocks") > 0).withColumn("shape_id", F.xxhash64("shape"))
+    shapes = stored(filled.groupBy("host", "shape_id").agg(
         F.first("shape").alias("shape"), F.count(F.lit(1)).alias("pages")), "html-shapes")
     reference = stored(shapes.groupBy("host").agg(F.max_by(
         "shape", F.struct("pages", "shape_id")).alias("reference")), "html-references")
@@ -487,14 +503,13 @@ def wrappers(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
                      .mapInPandas(_aligned, "host string, shape_id long, node int, slot string"),
                      "html-slots")
     hashed = F.transform("blocks", lambda b: F.struct(
-        b["node"].alias("node"), b["main"].alias("main"), F.xxhash64(b["text"]).alias("text"),
+        b["node"].alias("node"), F.xxhash64(b["text"]).alias("text"),
         F.length(b["text"]).alias("chars")))
-    pages = (outside.select("host", "shape_id", hashed.alias("blocks"))
+    pages = (filled.select("host", "shape_id", hashed.alias("blocks"))
              .groupBy("host", F.xxhash64("blocks.text").alias("page"))
              .agg(F.min(F.struct("shape_id", "blocks")).alias("p")))
     texts = stored(
         pages.select("host", "page", "p.shape_id", F.explode("p.blocks").alias("b"))
-        .where(~F.col("b.main"))
         .select("host", "page", "shape_id", "b.node", "b.text", "b.chars")
         .join(aligned, ["host", "shape_id", "node"])
         .groupBy("host", "page", "slot", "text").agg(F.sum("chars").alias("chars")), "html-texts")
@@ -506,10 +521,11 @@ def wrappers(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
                .agg((1 / F.percentile("holders", 0.5, F.col("chars"))).alias("weight")))
     evidence = (texts.select("host", "slot", "page").distinct().join(weights, ["host", "page"])
                 .groupBy("host", "slot").agg(F.sum("weight").alias("pages")))
-    slots = spread.join(evidence, ["host", "slot"]).where(
-        F.col("constant") & (F.col("pages") >= min_pages - 1e-6))
-    return aligned.join(slots.select("host", "slot"), ["host", "slot"]).groupBy(
-        "host", "shape_id").agg(F.collect_set("node").alias("template"))
+    slots = spread.join(evidence, ["host", "slot"]).where(F.col("pages") >= min_pages - 1e-6)
+    return (aligned.join(slots.select("host", "slot", "constant"), ["host", "slot"])
+            .groupBy("host", "shape_id").agg(
+                F.collect_set(F.when(F.col("constant"), F.col("node"))).alias("template"),
+                F.collect_set(F.when(~F.col("constant"), F.col("node"))).alias("varying")))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -523,11 +539,13 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     parsed = stored(parsed_pages(pages), "html-parsed")
     template = stored(wrappers(parsed), "html-wrappers").select(
-        F.col("host").alias("_host"), F.col("shape_id").alias("_shape"), "template")
+        F.col("host").alias("_host"), F.col("shape_id").alias("_shape"), "template", "varying")
     joined = parsed.join(template, (F.col("host") == F.col("_host"))
                          & (F.xxhash64("shape") == F.col("_shape")), "left")
-    kept = F.filter("blocks", lambda b: b["main"] | F.col("template").isNull()
-                    | ~F.array_contains("template", b["node"]))
+    none = F.array().cast("array<int>")
+    kept = F.filter("blocks", lambda b: (b["place"] == TITLE) | F.when(
+        b["place"] == OUTSIDE, F.array_contains(F.coalesce("varying", none), b["node"]))
+        .otherwise(~F.array_contains(F.coalesce("template", none), b["node"])))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     return (joined.select("page_id", "url", text.alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))

@@ -162,6 +162,24 @@ def test_copies_are_no_evidence_of_template(spark):
     assert got[101, "http://large/101"] == "only here"
 
 
+def test_slots_decide_on_pages_with_article(spark):
+    """Constant text in an article goes, a varying body beside one stays."""
+    pages = [(n, f"http://in/{n}", f"<div>Menu</div><article><h1>One title</h1><p>the body of {n}</p>"
+              "<div>Read more</div></article><div>bottom</div>") for n in range(6)]
+    pages += [(n, f"http://beside/{n}", f"<article><p>A long teaser of {n}, always longer</p></article>"
+               f"<div>body {n}</div><section>bottom</section>") for n in range(6)]
+    pages += [(n, f"http://near/{n}", "<article><h1>t</h1><h2>half</h2><p>one paragraph</p><p>two "
+               f"paragraphs</p><p>edit {n}</p></article>") for n in range(6)]
+    pages += [(0, "http://alone/", "<article><p>teaser</p></article><div>the long body</div>"),
+              (0, "http://few/", "<article><p>the long body</p></article><div>bottom</div>")]
+    got = _extracted(spark, pages)
+    assert got[2, "http://in/2"] == "One title\nthe body of 2"
+    assert got[2, "http://beside/2"] == "A long teaser of 2, always longer\nbody 2"
+    assert got[2, "http://near/2"] == "t\nhalf\none paragraph\ntwo paragraphs\nedit 2"
+    assert got[0, "http://alone/"] == "teaser\nthe long body"
+    assert got[0, "http://few/"] == "the long body"
+
+
 # ------------------------------------------------------------------- top-k
 
 def _plain_topk(vectors, k, asked):
