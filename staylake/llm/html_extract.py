@@ -64,51 +64,90 @@ SKIPPED_WORDS = {
     "reply", "respond", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored",
     "subscribe", "subscription", "toolbar", "widget"}
 COMMENT_WORDS = {"comment", "comments", "reply", "replies"}
+# Parts marked by these words are never content, by the others unless they hold
+# most of what varies on a host.
+FIRM_WORDS = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "disqus", "respond",
+    "sponsor", "sponsored", *COMMENT_WORDS}
+# Words that change nothing about the words they stand with, as in site-footer.
+NEUTRAL_WORDS = {
+    "area", "bar", "block", "bottom", "box", "container", "inner", "left", "link", "links", "list",
+    "main", "outer", "page", "post", "posts", "right", "section", "site", "slot", "top", "unit",
+    "wrap", "wrapper"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 HEADER_WORDS = {"header"}
 MAIN_TAGS = {"article", "main"}
+UNMARKED = (frozenset(), frozenset(), "", False)
 MARKS = re.compile(r"[%(),/]")
-OUTSIDE, CONTENT, TITLE = 0, 1, 2  # a block's place; titles of main parts always stay
+OUTSIDE, CONTENT, TITLE, MARKED = 0, 1, 2, 3  # a block's place; titles of main parts always stay
 MAX_DEPTH = 200  # deeper elements count as their ancestor there; no text is lost
-LINK_SHARE = 0.6
 KEPT_SCORES = 1_000_000  # scores held at a time for each level of two trees
 MIN_PAGES = 3
 
 
 class Node:
-    __slots__ = ("tag", "label", "children", "skipped", "main", "depth", "parent")
+    __slots__ = ("tag", "label", "children", "skipped", "marked", "main", "depth", "parent")
 
-    def __init__(self, tag, label, parent, skipped, main):
+    def __init__(self, tag, label, parent, skipped, main, marked=False):
         self.tag, self.label, self.parent = tag, label, parent
         self.children: list[Node] = []
         self.skipped, self.main = skipped, main
         self.depth = parent.depth + 1 if parent else 0
+        above = parent.marked if parent else None
+        self.marked = above or (self if marked else None)  # the outermost marked element
+
+
+def _marks(value: str, but: frozenset[str] = frozenset()) -> set[str]:
+    """Words of a class, id or role that mark it.
+
+    A name counts if all its words are marking or neutral, at least one marking:
+    cookie-notice and site-footer do, content-sidebar-wrap does not.
+    """
+    out: set[str] = set()
+    for name in value.split():
+        words = set(re.findall(r"[a-z0-9]+", name))
+        marking = words & (SKIPPED_WORDS | HEADER_WORDS) - but
+        if marking and words <= marking | NEUTRAL_WORDS:
+            out |= marking
+    return out
 
 
 @lru_cache(maxsize=4096)
-def _attributes(text: str) -> tuple[frozenset[str], str, bool]:
-    """Words of class, id and role; the first class; whether it is hidden."""
+def _attributes(text: str) -> tuple[frozenset[str], frozenset[str], str, bool]:
+    """Marking words of class and role, and of the id; the first class; if hidden."""
     words: set[str] = set()
+    ids: set[str] = set()
     first, hidden = "", False
     for name, a, b, c in ATTRIBUTE.findall(text):
         name, value = name.lower(), html.unescape(a or b or c).lower()
-        if name in ("class", "id", "role"):
-            found = re.findall(r"[a-z0-9]+", value)
-            words.update(found)
+        if name in ("class", "role"):
+            words |= _marks(value)
             if name == "class" and value.split():
                 first = value.split()[0]
+        elif name == "id":
+            ids |= _marks(value, frozenset({"discussion"}))
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             hidden = True
-    return frozenset(words), first, hidden
+    return frozenset(words), frozenset(ids), first, hidden
 
 
-def _is_skipped(tag: str, words: frozenset[str], hidden: bool, in_main: bool) -> bool:
+def _skip(tag: str, words: frozenset[str], ids: frozenset[str], hidden: bool,
+          in_main: bool) -> tuple[bool, bool]:
+    """Whether an element is never content, and whether a word marks it.
+
+    Inside article and main, and on headings, an id names a section.
+    """
     if tag in ("html", "body"):
-        return False
+        return False, False
     if tag in MAIN_TAGS:
-        return hidden or (in_main and bool(words & COMMENT_WORDS))
-    if tag in SKIPPED_TAGS or hidden or words & SKIPPED_WORDS:
-        return True
-    return not in_main and (tag == "header" or bool(words & HEADER_WORDS))
+        return hidden or (in_main and bool(words & COMMENT_WORDS)), False
+    if tag in SKIPPED_TAGS or hidden or (tag == "header" and not in_main):
+        return True, False
+    if not in_main and tag not in HEADINGS:
+        words = words | ids
+    if in_main:
+        words = words - HEADER_WORDS
+    return bool(words & FIRM_WORDS), bool(words)
 
 
 def parse(page: str) -> tuple[Node, list[list]]:
@@ -163,7 +202,7 @@ def parse(page: str) -> tuple[Node, list[list]]:
                 elif not closing and skipped_inline[-1] == tag:
                     skipped_inline.append(tag)
             elif not closing and rest and tag != "a":
-                words, _, hidden = _attributes(rest)
+                words, _, _, hidden = _attributes(rest)
                 if hidden or words & SKIPPED_WORDS:
                     skipped_inline.append(tag)
             continue
@@ -193,10 +232,10 @@ def parse(page: str) -> tuple[Node, list[list]]:
                 over = over.parent
             if last is not None:
                 node = last.parent
-        words, first, hidden = _attributes(rest) if rest else (frozenset(), "", False)
-        skipped = node.skipped or _is_skipped(tag, words, hidden, node.main)
-        child = Node(tag, _escaped(f"{tag}.{first}" if first else tag), node, skipped,
-                     node.main or tag in MAIN_TAGS)
+        words, ids, first, hidden = _attributes(rest) if rest else UNMARKED
+        never, marked = _skip(tag, words, ids, hidden, node.main)
+        child = Node(tag, _escaped(f"{tag}.{first}" if first else tag), node,
+                     node.skipped or never, node.main or tag in MAIN_TAGS, marked)
         if not node.skipped and child.depth <= MAX_DEPTH:
             node.children.append(child)
         node = child
@@ -420,21 +459,26 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 # ------------------------------------------------------------------- on Spark
 
-def page_blocks(page: str) -> tuple[str, list[tuple[int, int, str]]]:
-    """A page's shape and its blocks (node, place, text).
+def page_blocks(page: str) -> tuple[str, list[tuple[int, int, int, str]]]:
+    """A page's shape and its blocks (node, place, marked element or -1, text).
 
     Beside an article or main element that holds at least as much text as the
     rest without links, the rest is ``OUTSIDE``: content only if its slot varies.
+    An article in a marked element counts as unmarked where nothing else is.
     """
     root, blocks = parse(page)
     shape, numbers = folded(root)
-    inside = sum(len(text) for node, text, _ in blocks if node.main)
-    if not inside:
-        blocks = [b for b in blocks if b[2] <= LINK_SHARE * len(b[1])]
-    rest = sum(len(text) - links for node, text, links in blocks if not node.main)
+    plain = [b for b in blocks if not b[0].marked]
+    if not plain:
+        plain = [b for b in blocks if b[0].main]
+    free = {id(b[0]) for b in plain}
+    inside = sum(len(text) for node, text, _ in plain if node.main)
+    rest = sum(len(text) - links for node, text, links in plain if not node.main)
     around = OUTSIDE if inside and inside >= rest else CONTENT
 
     def place(node: Node) -> int:
+        if id(node) not in free:
+            return MARKED
         if not node.main:
             return around
         return TITLE if node.tag == "h1" else CONTENT
@@ -444,29 +488,31 @@ def page_blocks(page: str) -> tuple[str, list[tuple[int, int, str]]]:
             node = node.parent
         return numbers[id(node)]
 
-    return shape, [(number(n), place(n), text) for n, text, _ in blocks]
+    return shape, [(number(n), place(n), -1 if id(n) in free else number(n.marked), text)
+                   for n, text, _ in blocks]
 
 
 def content_blocks(page: str) -> tuple[str, list[tuple[int, int, str]]]:
     """A page's shape and the blocks that are content without other pages."""
     shape, blocks = page_blocks(page)
-    return shape, [b for b in blocks if b[1] != OUTSIDE]
+    return shape, [(n, p, t) for n, p, _, t in blocks if p not in (OUTSIDE, MARKED)]
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
     """(page_id, url, host, shape, blocks) of every page, one parse each."""
     ship(pages.sparkSession)
     kind = pages.schema["page_id"].dataType.simpleString()
-    block = pa.struct([("node", pa.int32()), ("place", pa.int32()), ("text", pa.string())])
+    block = pa.struct([("node", pa.int32()), ("place", pa.int32()), ("mark", pa.int32()),
+                       ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
                 for key, url, host, page in zip(*batch.columns):
                     shape, found = page_blocks(page.as_py())
-                    yield (sum(len(t) for _, _, t in found) + len(shape),
+                    yield (sum(len(t) for _, _, _, t in found) + len(shape),
                            (key.as_py(), url.as_py(), host.as_py(), shape,
-                            [{"node": n, "place": p, "text": t} for n, p, t in found]))
+                            [{"node": n, "place": p, "mark": m, "text": t} for n, p, m, t in found]))
 
         first = next(batches, None)
         if first is None:
@@ -482,16 +528,17 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
         F.coalesce(host, F.lit("")).alias("host"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     ).mapInArrow(run, f"page_id {kind}, url string, host string, shape string, "
-                      "blocks array<struct<node:int,place:int,text:string>>")
+                      "blocks array<struct<node:int,place:int,mark:int,text:string>>")
 
 
 def wrappers(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, shape_id, template, varying): node numbers by what their slot is.
+    """(host, shape_id, template, varying, overruled): node numbers by their slot.
 
     A slot is judged if at least ``min_pages`` different pages of the host have
     it: template if all have the same text, else varying.  Pages of equal content count once, and near copies share one
     count: a page counts 1 / n if half of its text, without the host's constant
-    slots, stands on n pages or more.
+    slots, stands on n pages or more.  A marked element is overruled if its varying slots
+    hold more text than the host's unmarked ones.
     """
     filled = parsed.where(F.size("blocks") > 0).withColumn("shape_id", F.xxhash64("shape"))
     shapes = stored(filled.groupBy("host", "shape_id").agg(
@@ -503,16 +550,17 @@ def wrappers(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
                      .mapInPandas(_aligned, "host string, shape_id long, node int, slot string"),
                      "html-slots")
     hashed = F.transform("blocks", lambda b: F.struct(
-        b["node"].alias("node"), F.xxhash64(b["text"]).alias("text"),
+        b["node"].alias("node"), b["mark"].alias("mark"), F.xxhash64(b["text"]).alias("text"),
         F.length(b["text"]).alias("chars")))
     pages = (filled.select("host", "shape_id", hashed.alias("blocks"))
              .groupBy("host", F.xxhash64("blocks.text").alias("page"))
              .agg(F.min(F.struct("shape_id", "blocks")).alias("p")))
-    texts = stored(
-        pages.select("host", "page", "p.shape_id", F.explode("p.blocks").alias("b"))
-        .select("host", "page", "shape_id", "b.node", "b.text", "b.chars")
-        .join(aligned, ["host", "shape_id", "node"])
-        .groupBy("host", "page", "slot", "text").agg(F.sum("chars").alias("chars")), "html-texts")
+    each = (pages.select("host", "page", "p.shape_id", F.explode("p.blocks").alias("b"))
+            .select("host", "page", "shape_id", "b.node", "b.mark", "b.text", "b.chars")
+            .join(aligned, ["host", "shape_id", "node"]))
+    texts = stored(each.groupBy("host", "page", "slot", "text").agg(
+        F.sum("chars").alias("chars"),
+        F.sum(F.when(F.col("mark") < 0, F.col("chars")).otherwise(0)).alias("plain")), "html-texts")
     spread = texts.groupBy("host", "slot").agg(
         (F.min("text") == F.max("text")).alias("constant"))
     holders = texts.groupBy("host", "slot", "text").agg(F.count(F.lit(1)).alias("holders"))
@@ -521,11 +569,26 @@ def wrappers(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
                .agg((1 / F.percentile("holders", 0.5, F.col("chars"))).alias("weight")))
     evidence = (texts.select("host", "slot", "page").distinct().join(weights, ["host", "page"])
                 .groupBy("host", "slot").agg(F.sum("weight").alias("pages")))
-    slots = spread.join(evidence, ["host", "slot"]).where(F.col("pages") >= min_pages - 1e-6)
-    return (aligned.join(slots.select("host", "slot", "constant"), ["host", "slot"])
-            .groupBy("host", "shape_id").agg(
-                F.collect_set(F.when(F.col("constant"), F.col("node"))).alias("template"),
-                F.collect_set(F.when(~F.col("constant"), F.col("node"))).alias("varying")))
+    slots = stored(spread.join(evidence, ["host", "slot"])
+                   .where(F.col("pages") >= min_pages - 1e-6)
+                   .select("host", "slot", "constant"), "html-judged")
+    varying = slots.where("not constant")
+    plain = texts.join(varying, ["host", "slot"]).groupBy("host").agg(F.sum("plain").alias("plain"))
+    overruled = (each.where(F.col("mark") >= 0).join(varying, ["host", "slot"])
+                 .groupBy("host", "shape_id", F.col("mark").alias("node"))
+                 .agg(F.sum("chars").alias("chars"))
+                 .join(aligned, ["host", "shape_id", "node"])
+                 .groupBy("host", "slot").agg(F.sum("chars").alias("chars"))
+                 .join(plain, "host").where("chars > plain")
+                 .select("host", "slot", F.lit(True).alias("overruled")))
+    known = aligned.join(slots, ["host", "slot"], "left").join(overruled, ["host", "slot"], "left")
+
+    def nodes(condition):
+        return F.collect_set(F.when(condition, F.col("node")))
+
+    return (known.where("constant is not null or overruled").groupBy("host", "shape_id").agg(
+        nodes(F.col("constant")).alias("template"), nodes(~F.col("constant")).alias("varying"),
+        nodes(F.col("overruled")).alias("overruled")))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -539,13 +602,16 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     parsed = stored(parsed_pages(pages), "html-parsed")
     template = stored(wrappers(parsed), "html-wrappers").select(
-        F.col("host").alias("_host"), F.col("shape_id").alias("_shape"), "template", "varying")
+        F.col("host").alias("_host"), F.col("shape_id").alias("_shape"), "template", "varying", "overruled")
     joined = parsed.join(template, (F.col("host") == F.col("_host"))
                          & (F.xxhash64("shape") == F.col("_shape")), "left")
-    none = F.array().cast("array<int>")
+    def held(nodes, node):
+        return F.array_contains(F.coalesce(nodes, F.array().cast("array<int>")), node)
+
     kept = F.filter("blocks", lambda b: (b["place"] == TITLE) | F.when(
-        b["place"] == OUTSIDE, F.array_contains(F.coalesce("varying", none), b["node"]))
-        .otherwise(~F.array_contains(F.coalesce("template", none), b["node"])))
+        b["place"] == OUTSIDE, held("varying", b["node"])).otherwise(
+        ~held("template", b["node"])
+        & ((b["place"] != MARKED) | held("overruled", b["mark"]))))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     return (joined.select("page_id", "url", text.alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))

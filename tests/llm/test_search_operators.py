@@ -180,6 +180,30 @@ def test_slots_decide_on_pages_with_article(spark):
     assert got[0, "http://few/"] == "the long body"
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<div class='elementor-widget-container'><p>body</p></div>", "body"),
+    ("<div class='content-sidebar-wrap'><article><p>body</p></article></div>", "body"),
+    ("<article><p>a</p><section id='discussion'><h2 id=related>D</h2><p>b</p></section></article>",
+     "a\nD\nb"),
+    ("<div class=widget><article><p>body</p></article></div>", "body"),
+    ("<p>See <a href=a>first of the linked</a></p><ul><li><a href=b>reference</a></ul>",
+     "See first of the linked\nreference"),
+    ("<div class='site-footer'>x</div><div class='x related-posts'>y</div><p>z</p>", "z"),
+])
+def test_marking_words_are_whole_names(page, text):
+    assert _text(page) == text
+
+
+def test_large_varying_parts_overrule_a_word(spark):
+    pages = [(n, f"http://wide/{n}", f"<div class=widget><h1>Title {n}</h1><p>the long body of {n}</p>"
+              f"</div><p>by {n}</p><div class=menu>Home</div>") for n in range(6)]
+    pages += [(n, f"http://thin/{n}", f"<div class=widget>see {n}</div><p>the long body of {n}</p>")
+              for n in range(6)]
+    got = _extracted(spark, pages)
+    assert got[2, "http://wide/2"] == "Title 2\nthe long body of 2\nby 2"
+    assert got[2, "http://thin/2"] == "the long body of 2"
+
+
 # ------------------------------------------------------------------- top-k
 
 def _plain_topk(vectors, k, asked):
