@@ -15,6 +15,8 @@ below accept what the base patterns accept, without their backtracking.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,14 +29,16 @@ EXPRESSIONS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Runs of words with a digit or an @: what a looser identifier could be.
-LOOSE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20[^\s0-9@]*+[0-9@]\S*+)*+"
+# A word with a digit or an @, and the space after it.
+LOOSE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+\x20?"
+# A word that a looser number of several words could begin with.
+NUMBER = r"^[\"'<\[,;:=]*[+(]?[0-9][0-9()/.-]*$"
+RUN_WORDS = 19  # words of the longest shape below: every word holds a digit
 CONTEXT_CHARS = 48
 RUN_MATCHES = 256
 MIN_SUPPORT = 10
 MIN_CONFIDENCE = 0.9
 MIN_SCORE = 0.9
-MAX_ROUNDS = 5
 SPAN = "array<struct<start:int,end:int,kind:string,value:string>>"
 
 
@@ -147,52 +151,102 @@ def _with_context(spans: str, extra) -> Column:
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text_hash, base, loose) per row: spans with the words around them.
 
-    ``loose`` holds runs that look like an identifier of some kind and do not
-    overlap a base match, without punctuation at their ends.
+    ``loose`` holds what looks like an identifier of some kind between the base
+    matches, without punctuation at its ends: words with a digit or an @, and
+    all runs of them parted by single spaces.  ``first`` and ``last`` are hashes
+    of the words from its start on and up to its end: candidates that share
+    them stand at one place.
     """
     df = docs.select(F.col(id_col).alias("id"),
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     df = base_spans(df)
-    df = _matches(df, "_loose", LOOSE, F.lit(True))
-
-    def trimmed(s):
-        lead = F.length(F.regexp_extract(s["value"], r"^[\"'<\[,;:=]*", 0))
-        value = F.regexp_replace(F.substr(s["value"], lead + 1), r"[\"'>\],;:.!?]+$", "")
-        return F.struct((s["start"] + lead).alias("start"),
-                        (s["start"] + lead + F.length(value)).alias("end"), value.alias("value"))
-
-    df = df.withColumn("_loose", F.transform("_loose", trimmed))
-    df = df.withColumn("_loose", F.filter("_loose", lambda s: (F.size(_shapes(s["value"])) > 0)
-                       & ~F.exists("base", lambda b: (b["start"] < s["end"])
-                                   & (s["start"] < b["end"]))))
+    # Base matches become line breaks, which part words and keep every offset.
+    masked = F.aggregate("base", F.col("text"), lambda t, b: F.overlay(
+        t, F.repeat(F.lit("\n"), b["end"] - b["start"]), b["start"] + 1, b["end"] - b["start"]))
+    df = df.withColumn("_text", F.col("text")).withColumn("text", masked)
+    df = _matches(df, "_words", LOOSE, F.lit(True))
+    df = df.withColumn("text", F.col("_text")).drop("_text")
+    word = lambda n: F.get(F.col("_words"), n)
+
+    def joined(n):
+        """Whether word ``n`` and the next one are parted by one space."""
+        return F.coalesce(word(n)["end"] == word(n + 1)["start"], F.lit(False)) \
+            & word(n)["value"].endswith(" ")
+
+    def reach(i, way):
+        """Words of the run from word ``i`` on, or back from it."""
+        return F.aggregate(F.sequence(F.lit(1), F.lit(RUN_WORDS - 1)), F.lit(1), lambda n, k: F.when(
+            (n == k) & (i + way * k >= 0) & joined(i + k - 1 if way > 0 else i - k), n + 1)
+            .otherwise(n))
+
+    def joint(i, n):
+        return F.rtrim(F.array_join(F.transform(
+            F.slice(F.col("_words"), i + 1, n), lambda w: w["value"]), ""))
+
+    def candidate(i, n, first):
+        run = joint(i, n)
+        lead = F.length(F.regexp_extract(run, r"^[\"'<\[,;:=]*", 0))
+        value = F.regexp_replace(F.substr(run, lead + 1), r"[\"'>\],;:.!?]+$", "")
+        start = word(i)["start"] + lead
+        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"),
+                        value.alias("value"), i.alias("i"), n.alias("n"), first.alias("first"))
+
+    def candidates(w, i):
+        number = F.rtrim(w["value"]).rlike(NUMBER)
+        longest = F.when(number, reach(i, 1)).otherwise(1)
+        # An array of one element binds what is computed once per word.
+        return F.flatten(F.transform(F.array(longest), lambda most: F.flatten(F.transform(
+            F.array(F.xxhash64(joint(i, most))), lambda first: F.filter(F.transform(
+                F.sequence(F.lit(1), most), lambda n: candidate(i, n, first)),
+                lambda c: F.size(_shapes(c["value"])) > 0)))))
+
+    def placed(c):
+        j = c["i"] + c["n"] - 1
+        return F.flatten(F.transform(F.array(reach(j, -1)), lambda n: F.array(F.struct(
+            c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value"),
+            c["first"].alias("first"), F.xxhash64(joint(j - n + 1, n)).alias("last")))))[0]
+
+    df = df.withColumn("_loose", F.transform(
+        F.flatten(F.transform("_words", candidates)), placed))
     return df.select(
         "id", F.xxhash64("text").alias("text_hash"),
         _with_context("base", lambda s: [s["kind"].alias("kind")]).alias("base"),
-        _with_context("_loose", lambda s: [_shapes(s["value"]).alias("kinds")]).alias("loose"))
+        _with_context("_loose", lambda s: [
+            _shapes(s["value"]).alias("kinds"), s["first"].alias("first"),
+            s["last"].alias("last")]).alias("loose"))
 
 
 def bootstrap(held: DataFrame, min_support: int = MIN_SUPPORT,
               min_confidence: float = MIN_CONFIDENCE, min_score: float = MIN_SCORE,
-              max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """(value, kind, score) of the unseen identifiers in ``held`` mentions."""
+              max_rounds: int | None = None) -> DataFrame:
+    """(value, kind, score) of the unseen identifiers in ``held`` mentions.
+
+    Patterns count places: candidates of one run that begin, or end, together
+    are one.  ``max_rounds`` is for tests; without it rounds go on until one
+    finds nothing.
+    """
     spark = held.sparkSession
     seeds = held.select(F.explode("base").alias("m")).select(
-        "m.value", F.array("m.kind").alias("kinds"), "m.left", "m.right", "m.kind")
+        "m.value", F.array("m.kind").alias("kinds"), "m.left", "m.right", "m.kind",
+        F.xxhash64("m.value").alias("first"), F.xxhash64("m.value").alias("last"))
     loose = held.select(F.explode("loose").alias("m")).select(
-        "m.value", "m.kinds", "m.left", "m.right", F.lit(None).cast("string").alias("kind"))
+        "m.value", "m.kinds", "m.left", "m.right", F.lit(None).cast("string").alias("kind"),
+        "m.first", "m.last")
     both = seeds.union(loose)
     edges = stored(both.select("value", "kinds", "kind", F.explode(F.array(
-        F.struct(F.lit("before").alias("side"), F.col("left").alias("word")),
-        F.struct(F.lit("after").alias("side"), F.col("right").alias("word")))).alias("p"))
-        .select("p.side", "p.word", "value", "kinds", "kind").where("word <> ''").distinct(),
+        F.struct(F.lit("before").alias("side"), F.col("left").alias("word"), F.col("first").alias("place")),
+        F.struct(F.lit("after").alias("side"), F.col("right").alias("word"),
+                 F.col("last").alias("place")))).alias("p"))
+        .select("p.side", "p.word", "p.place", "value", "kinds", "kind").where("word <> ''").distinct(),
         "pii-edges")
     known = stored(edges.where("kind is not null").select("value", "kind").distinct(), "pii-known")
     found = spark.createDataFrame([], "value string, kind string, score double")
-    for _ in range(max_rounds):
-        links = edges.select("side", "word", "value").distinct()
-        totals = links.groupBy("side", "word").agg(F.count(F.lit(1)).alias("total"))
-        hits = links.join(known, "value").groupBy("side", "word", "kind").agg(
-            F.count(F.lit(1)).alias("support")).where(F.col("support") >= min_support)
+    links = edges.select("side", "word", "place", "value").distinct()
+    totals = stored(links.select("side", "word", "place").distinct().groupBy("side", "word").agg(
+        F.count(F.lit(1)).alias("total")), "pii-totals")
+    for _ in count() if max_rounds is None else range(max_rounds):
+        hits = links.join(known, "value").select("side", "word", "kind", "place").distinct().groupBy(
+            "side", "word", "kind").agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= min_support)
         patterns = stored(
             hits.join(totals, ["side", "word"])
             .withColumn("confidence", F.col("support") / F.col("total"))
@@ -207,8 +261,8 @@ def bootstrap(held: DataFrame, min_support: int = MIN_SUPPORT,
         fresh = stored(scored.join(known, ["value", "kind"], "left_anti"), "pii-found")
         if fresh.isEmpty():
             break
-        found = found.unionByName(fresh.select("value", "kind", "score"))
-        known = known.unionByName(fresh.select("value", "kind"))
+        found = stored(found.unionByName(fresh.select("value", "kind", "score")), "pii-scores")
+        known = stored(known.unionByName(fresh.select("value", "kind")), "pii-known")
     return stored(found, "pii-identifiers")
 
 
@@ -235,8 +289,15 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select("id", "text_hash", "m", F.col("m.value").alias("value"))
              .join(found.select("value", "kind"), "value")
              .select("id", "text_hash", entry(F.col("kind"), F.col("m")).alias("span")))
-    added = stored(added.groupBy("id", "text_hash").agg(F.collect_set("span").alias("added")),
-                   "pii-added")
+    added = added.groupBy("id", "text_hash").agg(F.collect_set("span").alias("added"))
+
+    def inside(s, t):
+        return ((s["kind"] == t["kind"]) & (t["start"] <= s["start"]) & (s["end"] <= t["end"])
+                & (t["end"] - t["start"] > s["end"] - s["start"]))
+
+    # A candidate inside a longer one that was found too is a part of it.
+    added = stored(added.withColumn("added", F.filter(
+        "added", lambda s: ~F.exists("added", lambda t: inside(s, t)))), "pii-added")
     base = F.array_sort(F.transform("base", lambda s: entry(s["kind"], s)))
     marks = held.select("id", "text_hash", base.alias("base"))
     joined = marks.alias("h").join(
@@ -254,9 +315,9 @@ def _listed(spans: str) -> Column:
 
 
 def contract_columns(found: DataFrame) -> DataFrame:
-    def count(kind):
+    def counted(kind):
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
 
-    counts = [count(kind).alias(f"n_{kind}") for kind in KINDS]
+    counts = [counted(kind).alias(f"n_{kind}") for kind in KINDS]
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"),
                         _listed("spans").alias("spans"))

@@ -357,6 +357,36 @@ def test_pii_bootstrap_finds_unseen_identifiers(spark):
     assert got[200] == "" and got[202] == "" and got[0] == "email:15:29"
 
 
+def test_pii_candidates_beside_other_words_with_digits(spark):
+    texts = [(n, f"hello my mail: user{n}@mail.com bye") for n in range(40)]
+    texts += [(50 + n, f"so phone +1 555 010 20{n} ok") for n in range(10, 50)]
+    texts += [(100, "so my mail: bob@localhost 555-0100 then"),
+              (101, "phone 555 010 9999 a1 x"), (102, "my mail: amy@localhost,+15550102010 bye"),
+              (103, "so a@b.com phone 555-0177 ok")]
+    got = {r["doc_id"]: r["spans"] for r in pii.contract_columns(
+        pii.find(documents(spark, texts))).collect()}
+    assert got[100] == "email:12:25"
+    assert got[101] == "phone:6:18"
+    assert got[102] == "email:9:22,phone:23:35"
+    assert got[103] == "email:3:10,phone:17:25"
+
+
+def test_pii_goes_on_until_a_round_finds_none(spark):
+    """Every step's words are known only by the identifiers of the step before."""
+    texts = [(n, f"w0 s{n}@mail.com") for n in range(40)]
+    for step in range(7):
+        texts += [(1000 * step + n, f"{'abcdefgh'[step]}w x{step}n{n}@host") for n in range(100, 112)]
+        if step:
+            texts += [(1000 * step + n, f"{'abcdefgh'[step]}w x{step - 1}n{n}@host")
+                      for n in range(100, 112)]
+        else:
+            texts += [(500 + n, f"aw s{n}@mail.com") for n in range(40)]
+    texts += [(9999, f"{'abcdefgh'[6]}w last@host")]
+    held = pii.find(documents(spark, texts), min_confidence=0.4, min_score=0.35)
+    got = {r["doc_id"]: r["spans"] for r in pii.contract_columns(held).collect()}
+    assert got[9999] == "email:3:12"
+
+
 # -------------------------------------------------------------------- WARC
 
 def _pages(spark, extra=()):
