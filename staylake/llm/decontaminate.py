@@ -128,11 +128,22 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                     F.col("size").alias("item_shingles"), "shared", "containment"))
 
 
+def _key(id_col: str) -> Column:
+    """The id as a string, for rows without one the hash of their text."""
+    return F.coalesce(F.concat(F.lit("i"), F.col(id_col).cast("string")),
+                      F.concat(F.lit("t"), F.sha2(F.col("text").cast("string"), 256)))
+
+
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of documents that hold no test item."""
-    found = stored(contaminated(docs, items).select(F.col("doc_id").alias("held_id")).distinct(),
-                   "decontaminate-found")
-    return docs.join(found, docs["doc_id"] == found["held_id"], "left_anti")
+    """The rows of documents that hold no test item.
+
+    Rows and items with a null id are judged by their own text.
+    """
+    found = stored(contaminated(
+        docs.select(_key("doc_id").alias("key"), "text"),
+        items.select(_key("item_id").alias("item_id"), "text"), id_col="key")
+        .select(F.col("key").alias("held_key")).distinct(), "decontaminate-found")
+    return docs.join(found, _key("doc_id") == F.col("held_key"), "left_anti")
 
 
 ORACLE_SQL = r"""

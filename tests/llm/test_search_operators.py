@@ -300,6 +300,15 @@ def test_decontamination_matches_sql(spark):
     assert got == _sql(decontaminate.ORACLE_SQL, "documents", "benchmark")
 
 
+def test_decontamination_judges_rows_without_an_id(spark):
+    passage, other = ("one two three four five six seven", "seven six five four three two one")
+    docs = [(None, f"so {passage} it"), (None, "something else, not an item at all"), (1, passage),
+            (None, f"{other} x"), (2, f"y {other}"), (None, None)]
+    items = spark.createDataFrame([(5, passage), (None, other)], "item_id long, text string")
+    kept = decontaminate.remove_contaminated(documents(spark, docs), items).collect()
+    assert sorted((r["text"] or "") for r in kept) == ["", "something else, not an item at all"]
+
+
 # --------------------------------------------------------------------- PII
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
