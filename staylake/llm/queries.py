@@ -9,13 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylake.llm import (
-    bpe, decontaminate, html_extract, line_dedup, pii, quality, simhash, token_counts, topk, warc)
+    bpe, decontaminate, html_extract, lexical, line_dedup, pii, quality, records, simhash,
+    token_counts, topk, warc, whitening)
 from staylake.llm.common import table
+from staylake.session import run_dir
 
 SIMHASH_SHINGLE_WORDS = 4
 SIMHASH_MAX_BITS = 4
 TOP_K = 20
 MAX_TOKENS = 4096
+COMPONENTS = 4
+BEST_DOCUMENTS = 10
+END_ID = 2
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,10 +84,31 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), SIMHASH_SHINGLE_WORDS, SIMHASH_MAX_BITS))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector projected on the four leading whitening components."""
+    vectors = whitening.grid_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return whitening.whiten(vectors, whitening.fit(vectors, COMPONENTS))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                          BEST_DOCUMENTS)
+
+
+def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written as binary records and read back."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    path = records.write_records(table(spark, sf_dir, "documents"), run_dir(spark, "records"),
+                                 lambda: records.word_encoder(vocabulary), END_ID)
+    return records.digests(records.read_records(spark, path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_extraction, op2_exact_topk, op3_bpe, op4_line_dedup, op5_quality,
-        op6_decontamination, op7_token_counts, op8_pii, op9_warc_fixity, op10_simhash)}
+        op6_decontamination, op7_token_counts, op8_pii, op9_warc_fixity, op10_simhash,
+        op11_whitening, op12_lexical_search, op13_token_records)}
 
 # The others have no SQL form; tests hold them against brute force.
 ORACLE: dict[str, str] = {
@@ -90,4 +116,5 @@ ORACLE: dict[str, str] = {
     "op4_line_dedup": line_dedup.ORACLE_SQL,
     "op6_decontamination": decontaminate.ORACLE_SQL,
     "op9_warc_fixity": warc.ORACLE_SQL,
+    "op12_lexical_search": lexical.ORACLE_SQL,
 }
