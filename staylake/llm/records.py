@@ -5,8 +5,9 @@ A data file is a run of frames, one per document, in ascending order of ids::
     uint64 length | uint32 masked crc of the length | body | uint32 masked crc of the body
 
 All numbers are little-endian.  The body holds a byte that is 1 if the document
-has an id, its id (int64), the number of token ids before it in this file
-(uint64) and its token ids (uint32 each).  Checksums are CRC-32, turned by 15
+has an id, the width of its token ids, its id (int64), the number of token ids
+before it in this file (uint64) and its token ids, 2 bytes each (uint16) if the
+vocabulary has no more than 65,536 of them, else 4 (uint32).  Checksums are CRC-32, turned by 15
 bits and offset by a constant, so a checksum stored inside a body does not check
 itself.  Beside each data file lies an index: one frame whose body is the
 offset of every frame of the data file and, as the last entry, the file's length.
@@ -19,6 +20,7 @@ file, is committed by Spark and alone says which files count.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -36,12 +38,14 @@ from staylake.llm.common import emit, ship
 
 MASK_TURN = 15
 MASK_DELTA = 0xA282EAD8
-_LENGTH, _CRC, _HEAD = "<QI", "<I", "<BqQ"
+_LENGTH, _CRC, _HEAD = "<QI", "<I", "<BBqQ"
 LENGTH_BYTES, CRC_BYTES, HEAD_BYTES = map(struct.calcsize, (_LENGTH, _CRC, _HEAD))
 BLOCK_BYTES = 8 << 20  # a reading task opens a file for about this many bytes
 OPEN_INDEXES = 64  # indexes that a reading task keeps
 CACHED_WORDS = 300_000  # words whose ids a Python worker remembers
 CACHED_LENGTH = 48
+# letters up to U+00FF, then ASCII marks
+PLAIN_WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
 _MANIFEST = ("file_no long, data string, idx string, records long, ids long, bytes long")
 
 
@@ -83,7 +87,11 @@ class WordEncoder:
     """Token ids of whole texts under a vocabulary whose tokens never hold ASCII
     white space: what the library gives for the words between, one after another.
 
-    The ids of short words are remembered as bytes; the library encodes the rest.
+    The vocabulary file lower-cases and cuts letters from marks, so a word of
+    plain letters has the ids of its lower-case letters and then those of the
+    marks behind them.
+    The ids of short words are remembered as bytes, ``width`` for each id, in two
+    generations; the library encodes every other word.
     """
 
     def __init__(self, path: str) -> None:
@@ -93,24 +101,37 @@ class WordEncoder:
         library = Tokenizer.from_file(path)
         library.no_truncation()
         library.no_padding()
-
-        def encoded(word: bytes) -> bytes:
-            ids = library.encode(word.decode("utf-8"), add_special_tokens=False).ids
-            return np.array(ids, dtype="<u4").tobytes()
+        self.width = 2 if library.get_vocab_size() <= 1 << 16 else 4
+        kind = np.dtype(f"<u{self.width}")
+        older: dict[bytes, bytes] = {}
 
         class Known(dict):
             def __missing__(self, word: bytes) -> bytes:
-                ids = encoded(word)
+                ids = older.get(word)
+                if ids is None:
+                    ids = self.made(word)
                 if len(word) <= CACHED_LENGTH:
                     if len(self) >= CACHED_WORDS:
+                        older.clear()
+                        older.update(self)
                         self.clear()
                     self[word] = ids
                 return ids
 
+            def made(self, word: bytes) -> bytes:
+                cut = PLAIN_WORD.fullmatch(word)
+                if cut:
+                    letters, marks = cut.groups()
+                    low = letters.decode("utf-8").lower().encode("utf-8")
+                    if low != word:
+                        return self[low] + (self[marks] if marks else b"")
+                ids = library.encode(word.decode("utf-8"), add_special_tokens=False).ids
+                return np.array(ids, dtype=kind).tobytes()
+
         self._ids_of = Known().__getitem__
 
     def encode(self, text: bytes) -> bytes:
-        """Ids of a UTF-8 text as little-endian uint32."""
+        """Ids of a UTF-8 text, little-endian and ``width`` bytes each."""
         # bytes split at ASCII white space only
         return b"".join(map(self._ids_of, text.split()))
 
@@ -140,19 +161,19 @@ def write_records(docs: DataFrame, path: str, encoder: Callable[[], WordEncoder]
     """Encode every whole text and write its ids below ``path``.
 
     ``encoder`` is called in the task and gives an object whose ``encode`` turns
-    UTF-8 into little-endian uint32 ids; ``end_id`` closes every document.  Null
+    UTF-8 into little-endian ids of ``width`` bytes; ``end_id`` closes every document.  Null
     texts count as empty; documents without an id come first.  An empty table
     gives an empty manifest.  The folder has to be one that all executors share.
     """
     ship(docs.sparkSession)
-    end = b"" if end_id is None else struct.pack(_CRC, end_id)
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = _place(path)
         number = TaskContext.get().partitionId()
         name = f"part-{number:07d}-{uuid.uuid4().hex[:12]}"
-        data, encode = None, encoder().encode
-        offsets, before, at = [], 0, 0
+        words = encoder()
+        encode, width = words.encode, words.width
+        end = b"" if end_id is None else end_id.to_bytes(width, "little")
+        data, offsets, before, at = None, [], 0, 0
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if data is None:
@@ -160,10 +181,10 @@ def write_records(docs: DataFrame, path: str, encoder: Callable[[], WordEncoder]
                     data = fs.open_output_stream(f"{folder}/{name}.rec",
                                                  buffer_size=1 << 20)
                 ids = encode(text.as_py()) + end
-                framed = frame(struct.pack(_HEAD, doc is not None, doc or 0, before) + ids)
+                framed = frame(struct.pack(_HEAD, doc is not None, width, doc or 0, before) + ids)
                 data.write(framed)
                 offsets.append(at)
-                before += len(ids) // 4
+                before += len(ids) // width
                 at += len(framed)
         if data is None:
             return
@@ -251,8 +272,9 @@ def _reader(path: str):
             for batch in batches:
                 for row in batch.to_pylist():
                     for body in frames(row):
-                        has_id, doc, before = struct.unpack_from(_HEAD, body)
-                        ids = body[HEAD_BYTES:]
+                        has_id, width, doc, before = struct.unpack_from(_HEAD, body)
+                        ids = np.frombuffer(body, f"<u{width}", offset=HEAD_BYTES)
+                        ids = ids.astype("<u4").tobytes()
                         yield len(ids), (doc if has_id else None, row["ids_before"] + before,
                                          len(ids) // 4, ids)
 

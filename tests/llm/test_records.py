@@ -31,6 +31,12 @@ def _ids(text):
     return np.array(ids, dtype="<u4").tobytes()
 
 
+def _wide(encoder, text):
+    """An encoder's ids of a text and the end id, 4 bytes each."""
+    ids = np.frombuffer(encoder.encode(text.encode()), f"<u{encoder.width}")
+    return ids.astype("<u4").tobytes() + b"\2\0\0\0"
+
+
 def _check(spark, docs):
     path = _written(spark, docs)
     got = sorted(records.digests(records.read_records(spark, path)).collect(),
@@ -120,14 +126,16 @@ def test_words_encoded_apart_equal_the_library():
     rng = random.Random(5)
     parts = ["́", "e", "\x1c", "\x85", "\xa0", "　", "<|endoftext|>", "Σ", "ΑΣ", "ß", "İ",
              "'s", "'LL", "1", "中", "😀", "​", "ﬁ", "\x00", "a", "<|startoftext|>", "<|end",
-             "oftext|>", " ", "\n", "\t", "\x0b", "  ", "\r\n"]
+             "oftext|>", " ", "\n", "\t", "\x0b", "  ", "\r\n", "J", "The", "x,", "Y.", "!", "?", "É",
+             "×", "'", "_^", "Ñ&&&",
+             "\u030c", "\u0308"]
     encoder = records.WordEncoder(VOCABULARY)
     for _ in range(3000):
         text = "".join(rng.choices(parts, k=rng.randint(1, 14)))
-        assert encoder.encode(text.encode()) + b"\2\0\0\0" == _ids(text)
+        assert _wide(encoder, text) == _ids(text)
 
 
 def test_a_full_cache_starts_anew(monkeypatch):
     monkeypatch.setattr(records, "CACHED_WORDS", 3)
     text = "one two three four five one two " + "x" * 100
-    assert records.WordEncoder(VOCABULARY).encode(text.encode()) + b"\2\0\0\0" == _ids(text)
+    assert _wide(records.WordEncoder(VOCABULARY), text) == _ids(text)
