@@ -88,14 +88,16 @@ class WordEncoder:
     white space: what the library gives for the words between, one after another.
 
     The vocabulary file lower-cases and cuts letters from marks, so a word of
-    plain letters has the ids of its lower-case letters and then those of the
-    marks behind them.
+    plain letters has the ids of its lower-case letters, which the library's model
+    gives without another pass of its normaliser, and then those of the marks
+    behind them.
     The ids of short words are remembered as bytes, ``width`` for each id, in two
     generations; the library encodes every other word.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         library = Tokenizer.from_file(path)
@@ -104,6 +106,8 @@ class WordEncoder:
         self.width = 2 if library.get_vocab_size() <= 1 << 16 else 4
         kind = np.dtype(f"<u{self.width}")
         older: dict[bytes, bytes] = {}
+        model = library.model
+        as_characters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
         class Known(dict):
             def __missing__(self, word: bytes) -> bytes:
@@ -122,10 +126,13 @@ class WordEncoder:
                 cut = PLAIN_WORD.fullmatch(word)
                 if cut:
                     letters, marks = cut.groups()
-                    low = letters.decode("utf-8").lower().encode("utf-8")
-                    if low != word:
-                        return self[low] + (self[marks] if marks else b"")
-                ids = library.encode(word.decode("utf-8"), add_special_tokens=False).ids
+                    low = letters.decode("utf-8").lower()
+                    if marks or letters != low.encode("utf-8"):
+                        return self[low.encode("utf-8")] + (self[marks] if marks else b"")
+                    characters = low if low.isascii() else as_characters(low)[0][0]
+                    ids = [token.id for token in model.tokenize(characters)]
+                else:
+                    ids = library.encode(word.decode("utf-8"), add_special_tokens=False).ids
                 return np.array(ids, dtype=kind).tobytes()
 
         self._ids_of = Known().__getitem__
