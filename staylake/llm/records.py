@@ -41,6 +41,7 @@ MASK_DELTA = 0xA282EAD8
 _LENGTH, _CRC, _HEAD = "<QI", "<I", "<BBqQ"
 LENGTH_BYTES, CRC_BYTES, HEAD_BYTES = map(struct.calcsize, (_LENGTH, _CRC, _HEAD))
 BLOCK_BYTES = 8 << 20  # a reading task opens a file for about this many bytes
+TASK_BYTES = 4 * BLOCK_BYTES  # of data files for one reading task
 OPEN_INDEXES = 64  # indexes that a reading task keeps
 CACHED_WORDS = 300_000  # words whose ids a Python worker remembers
 CACHED_LENGTH = 48
@@ -235,7 +236,9 @@ def read_records(spark: SparkSession, path: str, order: Column | None = None) ->
         until = F.floor((F.col("piece") + 1) * F.col("records") / pieces)
         blocks = blocks.select("data", "idx", "ids_before", first.alias("at"),
                                until.alias("until"))
-        blocks = blocks.repartition(F.col("data"), F.col("at"))
+        # rows are few and small, their work is not: a fixed count is not coalesced
+        size = files.agg(F.sum("bytes")).first()[0] or 0
+        blocks = blocks.repartition(max(1, -(-size // TASK_BYTES)), F.col("data"), F.col("at"))
     else:
         blocks = files.withColumn("at", F.explode(F.sequence(
             F.lit(0).cast("long"), F.col("records") - 1)))
