@@ -46,6 +46,9 @@ OPEN_INDEXES = 64  # indexes that a reading task keeps
 CACHED_WORDS = 300_000  # words whose ids a Python worker remembers
 CACHED_LENGTH = 48
 # letters up to U+00FF, then ASCII marks
+LAST_MARKS = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=[\t-\r ]|\Z)")
+SPECIAL = b"<|"  # begins the special tokens, which are not folded
+COMBINING = b"\xcc"  # begins U+0300 to U+033F: folding first could change what composes
 PLAIN_WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
 _MANIFEST = ("file_no long, data string, idx string, records long, ids long, bytes long")
 
@@ -105,7 +108,7 @@ class WordEncoder:
         library.no_truncation()
         library.no_padding()
         self.width = 2 if library.get_vocab_size() <= 1 << 16 else 4
-        kind = np.dtype(f"<u{self.width}")
+        kind = "H" if self.width == 2 else "I"
         older: dict[bytes, bytes] = {}
         model = library.model
         as_characters = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -134,12 +137,15 @@ class WordEncoder:
                     ids = [token.id for token in model.tokenize(characters)]
                 else:
                     ids = library.encode(word.decode("utf-8"), add_special_tokens=False).ids
-                return np.array(ids, dtype=kind).tobytes()
+                return struct.pack(f"<{len(ids)}{kind}", *ids)
 
         self._ids_of = Known().__getitem__
 
     def encode(self, text: bytes) -> bytes:
         """Ids of a UTF-8 text, little-endian and ``width`` bytes each."""
+        if SPECIAL not in text and COMBINING not in text:
+            text = text.lower()  # ASCII only
+        text = LAST_MARKS.sub(rb" \1", text)
         # bytes split at ASCII white space only
         return b"".join(map(self._ids_of, text.split()))
 
