@@ -17,7 +17,8 @@ way for every size:
 4. the row counts of the partitions (one row each) become running offsets,
    which are joined back: id = start + offset[partition] + position + 1.
 
-Ids equal ``row_number() OVER (ORDER BY key)``.
+Rows that a caller knows to fit one partition (``buckets=1``) have no offsets,
+so steps 3 and 4 fall away.  Ids equal ``row_number() OVER (ORDER BY key)``.
 """
 
 from __future__ import annotations
@@ -40,6 +41,10 @@ def assign_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
     spark = df.sparkSession
     order = [F.col(c).asc_nulls_first() for c in order_cols] + [F.col("__tie").asc()]
     tied = df.withColumn("__tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    if buckets == 1:
+        position = F.monotonically_increasing_id()      # of the only partition
+        return (tied.repartition(1).sortWithinPartitions(*order).drop("__tie")
+                .withColumn(id_col, (F.lit(start + 1).cast("long") + position).cast("long")))
     ranged = (tied.repartitionByRange(buckets, *order) if buckets
               else tied.repartitionByRange(*order))
     stage = run_dir(spark, "numbered")

@@ -1,8 +1,12 @@
 """Insert-only merges into Parquet targets.
 
 ``WHEN NOT MATCHED THEN INSERT`` with no update branch is a left-anti join
-of the source against the target's key columns followed by an append.  The
-new rows are written once below ``<target>/_pending`` (which readers skip)
+of the source against the target's key columns followed by an append.
+
+``merge_into`` adds the new rows as a load of a versioned warehouse: several
+tables become visible together, and a membership index keeps a small batch from
+reading the whole target.  ``insert_only_merge`` serves a plain folder of Parquet
+files: new rows are written once below ``<target>/_pending`` (which readers skip)
 and their finished files are then moved into the target.  A merge that finds
 a finished pending load publishes the rest of it first; an unfinished one is
 discarded.  So a failed load is completed or repeated, never half-counted.
@@ -10,16 +14,24 @@ discarded.  So a failed load is completed or repeated, never half-counted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import run_dir
 from ..sources.files import path_exists, publish_files, remove_path
+from ..sources.snapshots import Load, Snapshot, Transaction
 from .keys import assign_keys
+from .membership import buckets_for, candidate_files, key_bitmaps
 from .quality import all_of
 
+SORTED_ROWS = 250_000       # rows that one task numbers
+INDEXED_ROWS = 100_000      # a smaller load costs less to read than to index
+PROBES = 50_000_000         # (key, file) pairs that a merge tests against bitmaps
+INDEX = "_index"            # below a load's folder; readers of the load skip it
+
 _ORDERED = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -83,11 +95,46 @@ def finish_pending(spark: SparkSession, target_path: str) -> None:
         remove_path(spark, pending)
 
 
+def write_new_rows(source: DataFrame, held: Callable[[DataFrame], DataFrame | None],
+                   folder: str, keys: Sequence[str], schema: T.StructType | None = None,
+                   id_col: str | None = None, start: int = 0,
+                   order_cols: Sequence[str] | None = None, null_safe: bool = False,
+                   distinct_source: bool = False, dedupe_on_key: bool = False) -> int:
+    """Write the source rows whose keys are not held yet to ``folder``; returns
+    their number.
+
+    The source is evaluated once, into a table of the shared folder; what the
+    merge needs to know of it (size, key range, hashed keys) is read from there.
+    ``held`` gets that table and gives the target's rows that can match, or None.
+    """
+    spark = source.sparkSession
+    src = source.distinct() if distinct_source else source
+    if dedupe_on_key:
+        src = first_per_key(src, keys, order_cols or keys)
+    # Parquet has no column of nulls only
+    src = src.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name)
+                       if isinstance(f.dataType, T.NullType) else F.col(f"`{f.name}`")
+                       for f in src.schema.fields])
+    stage = run_dir(spark, "merge-source")
+    src.write.parquet(stage)
+    staged = spark.read.schema(src.schema).parquet(stage)
+    target = held(staged)
+    new = staged if target is None else anti_join(staged, target, keys, null_safe)
+    if id_col:
+        parts = -(-staged.count() // SORTED_ROWS)         # from the footers
+        new = assign_keys(new, list(order_cols or keys), id_col, start=start,
+                          buckets=max(1, parts))
+    if schema is not None:
+        new = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    new.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(new.schema).parquet(folder).count()          # from the footers
+
+
 def insert_only_merge(source: DataFrame, target_path: str, keys: Sequence[str],
                       schema: T.StructType | None = None, id_col: str | None = None,
                       order_cols: Sequence[str] | None = None, null_safe: bool = False,
                       distinct_source: bool = False, dedupe_on_key: bool = False) -> int:
-    """Append source rows whose ``keys`` are not in the target yet.
+    """Append source rows whose ``keys`` are not in the target folder yet.
 
     ``id_col`` gets dense ids continuing after the target's maximum, ordered
     by ``order_cols`` (default: the keys).  ``distinct_source`` removes
@@ -98,25 +145,94 @@ def insert_only_merge(source: DataFrame, target_path: str, keys: Sequence[str],
     spark = source.sparkSession
     finish_pending(spark, target_path)
     target = read_target(spark, target_path, schema)
-    src = source.distinct() if distinct_source else source
-    if dedupe_on_key:
-        src = first_per_key(src, keys, order_cols or keys)
-    if target is None:
-        new = src
-    else:
-        held = in_key_range(target.select(*keys), source, keys[0], null_safe)
-        new = anti_join(src, held, keys, null_safe)
-    if id_col:
-        # Answered from Parquet footers when aggregate pushdown is on.
-        start = 0 if target is None else target.agg(F.max(id_col)).first()[0] or 0
-        new = assign_keys(new, list(order_cols or keys), id_col, start=start)
-    if schema is not None:
-        new = new.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    # Answered from Parquet footers when aggregate pushdown is on.
+    start = target.agg(F.max(id_col)).first()[0] or 0 if id_col and target is not None else 0
     pending = f"{target_path.rstrip('/')}/_pending"
-    new.write.mode("overwrite").parquet(pending)
-    inserted = spark.read.schema(new.schema).parquet(pending).count()     # from the footers
+
+    def held(staged: DataFrame) -> DataFrame | None:
+        if target is None:
+            return None
+        return in_key_range(target.select(*keys), staged, keys[0], null_safe)
+
+    inserted = write_new_rows(source, held, pending, keys, schema, id_col, start, order_cols,
+                              null_safe, distinct_source, dedupe_on_key)
     if inserted == 0 and target is not None:
         remove_path(spark, pending)
     else:
         publish_files(spark, pending, target_path)
     return inserted
+
+
+def matching_rows(snapshot: Snapshot, table: str, batch: DataFrame, keys: Sequence[str],
+                  schema: T.StructType, null_safe: bool = False) -> DataFrame | None:
+    """Key columns of a table's rows that can match a row of ``batch``.
+
+    Indexed loads are read at the files whose bitmaps hold a key of the batch;
+    the others, and all of them for a batch with more than ``PROBES`` pairs of
+    key and file to test, within the batch's key range.
+    """
+    spark = batch.sparkSession
+    size = batch.count()
+    same = all(batch.schema[k].dataType == schema[k].dataType for k in keys)
+    folders = []
+    for load in snapshot.tables.get(table, ()):
+        folder = f"{snapshot.root}/{load.folder}"
+        if same and load.index_keys == tuple(keys) and size * load.files <= PROBES:
+            index = spark.read.parquet(f"{folder}/{INDEX}")
+            files = candidate_files(index, batch, keys, load.index_buckets).collect()
+            folders += [f"{folder}/{r['file']}" for r in files]
+        else:
+            folders.append(folder)
+    if not folders:
+        return None
+    rows = spark.read.schema(schema).parquet(*folders).select(*keys)
+    return in_key_range(rows, batch, keys[0], null_safe)
+
+
+def merge_into(tx: Transaction, table: str, source: DataFrame, keys: Sequence[str],
+               schema: T.StructType, id_col: str | None = None,
+               order_cols: Sequence[str] | None = None, null_safe: bool = False,
+               distinct_source: bool = False, dedupe_on_key: bool = False) -> int:
+    """The same merge into a table of a versioned warehouse: the new rows become
+    a load of the transaction, visible when it is committed.  A load of at least
+    ``INDEXED_ROWS`` rows gets a membership index on the merge's keys."""
+    spark, before = tx.spark, tx.current
+    name = tx.new_folder(table)
+    folder = f"{before.root}/{name}"
+    start = before.max_id(table)
+
+    def held(staged: DataFrame) -> DataFrame | None:
+        if not before.tables.get(table):
+            return None
+        return matching_rows(before, table, staged, keys, schema, null_safe)
+
+    inserted = write_new_rows(source, held, folder, keys, schema, id_col, start, order_cols,
+                              null_safe, distinct_source, dedupe_on_key)
+    if not inserted:
+        remove_path(spark, folder)
+        return 0
+    files = buckets = 0
+    if inserted >= INDEXED_ROWS:
+        rows = spark.read.schema(schema).parquet(folder)
+        files = len(rows.inputFiles())
+        buckets = buckets_for(inserted, files)
+        key_bitmaps(rows, keys, buckets).write.parquet(f"{folder}/{INDEX}")
+    tx.add(table, Load(name, inserted, start + inserted if id_col else None,
+                       tuple(keys) if buckets else (), buckets, files))
+    return inserted
+
+
+def compact(tx: Transaction, table: str, schema: T.StructType, keys: Sequence[str]) -> None:
+    """Write a table's loads as one, with a membership index on ``keys``."""
+    before = tx.current
+    if len(before.tables.get(table, ())) < 2:
+        return
+    name = tx.new_folder(table)
+    folder = f"{before.root}/{name}"
+    before.read(tx.spark, table, schema).write.parquet(folder)
+    rows = tx.spark.read.schema(schema).parquet(folder)
+    files = len(rows.inputFiles())
+    buckets = buckets_for(before.rows(table), files)
+    key_bitmaps(rows, keys, buckets).write.parquet(f"{folder}/{INDEX}")
+    tx.replace(table, Load(name, before.rows(table), before.max_id(table) or None,
+                           tuple(keys), buckets, files))

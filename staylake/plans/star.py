@@ -3,7 +3,8 @@
 Dimensions are loaded first (property, category, date, location), the fact
 last because it joins the category dimension.  Every load is an
 insert-only merge keyed like the source warehouse's MERGE statements, so
-re-running a load adds nothing new.
+re-running a load adds nothing new.  All tables of a load are published
+together, as one version of the warehouse.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.dates import date_parts, epoch_ms_to_timestamp
-from ..operators.merge import insert_only_merge
-from ..sources.files import (ensure_database, ensure_table, read_stage, replace_stage,
-                             with_computed_column)
+from ..operators.merge import merge_into
+from ..sources.files import ensure_database, read_stage, replace_stage, with_computed_column
+from ..sources.snapshots import Snapshot, Transaction, read_snapshot
 
 
 def load_staging(df: DataFrame, stage_dir: str, table: str | None = None) -> DataFrame:
@@ -75,21 +76,29 @@ def streaming_options() -> StarOptions:
         fact_keys=("scrape_timestamp", "listing_key", "category_id", *S.FACT_MEASURES))
 
 
-def star_paths(warehouse: str) -> dict[str, str]:
-    return {name: f"{warehouse.rstrip('/')}/{name}" for name in S.STAR_SCHEMAS}
-
-
 def _cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields
                        if f.name in df.columns])
 
 
-def register_star(spark: SparkSession, warehouse: str, database: str) -> list[str]:
-    """Create the database and the five star tables (empty, typed) at their
-    folders if absent, so the catalog shows what the merges write."""
+def register_star(spark: SparkSession, snapshot: Snapshot, database: str) -> list[str]:
+    """Create the database and a view of each star table at one version.
+
+    The catalog replaces views one by one; ``read_star`` reads all five tables
+    of one version.
+    """
     ensure_database(spark, database)
-    return [ensure_table(spark, f"{database}.{name}", S.STAR_SCHEMAS[name], path)
-            for name, path in star_paths(warehouse).items()]
+    names = []
+    for table, schema in S.STAR_SCHEMAS.items():
+        columns = ", ".join(f"`{f.name}`" for f in schema.fields)
+        parts = [f"SELECT {columns} FROM parquet.`{folder}`" for folder in snapshot.folders(table)]
+        if not parts:
+            nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+                              for f in schema.fields)
+            parts = [f"SELECT {nulls} WHERE false"]
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS " + " UNION ALL ".join(parts))
+        names.append(f"{database}.{table}")
+    return names
 
 
 def build_star(staging: DataFrame, warehouse: str,
@@ -99,33 +108,33 @@ def build_star(staging: DataFrame, warehouse: str,
     The four dimension merges are independent, so they are submitted to
     Spark concurrently (one driver thread each; the cluster runs their
     small jobs side by side); the fact follows once the category dimension
-    is complete.  Returns rows appended per table.
+    is complete.  The five loads become one new version of the warehouse: a
+    reader sees the star before or after, also if this stops half-way.  Returns
+    rows appended per table.
     """
     opts = opts or StarOptions()
-    paths = star_paths(warehouse)
     spark = staging.sparkSession
-    if database:
-        register_star(spark, warehouse, database)
+    tx = Transaction(spark, warehouse)
 
     prop_cols = list(_PROPERTY_COLS)
     ts = F.col("normalized_timestamp")
     dims = {
-        "dim_property": lambda: insert_only_merge(
-            _cast_to(staging.select(*prop_cols).distinct(), S.DIM_PROPERTY), paths["dim_property"],
+        "dim_property": lambda: merge_into(
+            tx, "dim_property", _cast_to(staging.select(*prop_cols).distinct(), S.DIM_PROPERTY),
             keys=list(opts.property_keys), schema=S.DIM_PROPERTY, id_col="property_id",
             order_cols=prop_cols, dedupe_on_key=opts.dedupe_property_on_url,
             null_safe=opts.null_safe),
-        "dim_category": lambda: insert_only_merge(
-            staging.select("category").distinct(), paths["dim_category"],
+        "dim_category": lambda: merge_into(
+            tx, "dim_category", staging.select("category").distinct(),
             keys=["category"], schema=S.DIM_CATEGORY, id_col="category_id",
             null_safe=opts.null_safe),
-        "dim_date": lambda: insert_only_merge(
-            staging.select(ts.alias("scrape_timestamp"), *date_parts(ts)), paths["dim_date"],
+        "dim_date": lambda: merge_into(
+            tx, "dim_date", staging.select(ts.alias("scrape_timestamp"), *date_parts(ts)),
             keys=["scrape_timestamp"], schema=S.DIM_DATE, id_col="date_id",
             order_cols=["scrape_timestamp", "day", "month", "year", "weekday"],
             distinct_source=opts.distinct_dates, null_safe=opts.null_safe),
-        "dim_location": lambda: insert_only_merge(
-            staging.select("city", "zone").distinct(), paths["dim_location"],
+        "dim_location": lambda: merge_into(
+            tx, "dim_location", staging.select("city", "zone").distinct(),
             keys=["city", "zone"], schema=S.DIM_LOCATION, id_col="location_id",
             null_safe=opts.null_safe_location or opts.null_safe),
     }
@@ -133,15 +142,15 @@ def build_star(staging: DataFrame, warehouse: str,
         futures = {name: pool.submit(fn) for name, fn in dims.items()}
         added = {name: f.result() for name, f in futures.items()}
 
-    categories = spark.read.schema(S.DIM_CATEGORY).parquet(paths["dim_category"])
-    added["fact_property_reviews"] = insert_only_merge(
-        fact_source(staging, categories), paths["fact_property_reviews"],
+    categories = tx.current.read(spark, "dim_category", S.DIM_CATEGORY)
+    added["fact_property_reviews"] = merge_into(
+        tx, "fact_property_reviews", fact_source(staging, categories),
         keys=list(opts.fact_keys), schema=S.FACT_REVIEWS, id_col="fact_id",
         order_cols=["scrape_timestamp", "listing_key"], null_safe=opts.null_safe,
         distinct_source=opts.distinct_facts)
+    snapshot = tx.commit()
     if database:
-        for name in paths:
-            spark.catalog.refreshTable(f"{database}.{name}")
+        register_star(spark, snapshot, database)
     return added
 
 
@@ -155,6 +164,8 @@ def fact_source(staging: DataFrame, categories: DataFrame) -> DataFrame:
     return rows.join(categories.select("category", "category_id"), on="category", how="inner")
 
 
-def read_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    return {name: spark.read.schema(S.STAR_SCHEMAS[name]).parquet(path)
-            for name, path in star_paths(warehouse).items()}
+def read_star(spark: SparkSession, warehouse: str,
+              version: int | None = None) -> dict[str, DataFrame]:
+    """The five tables of one version (the newest by default)."""
+    snapshot = read_snapshot(spark, warehouse, version)
+    return {name: snapshot.read(spark, name, schema) for name, schema in S.STAR_SCHEMAS.items()}

@@ -72,20 +72,20 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite",
     return name
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists; storage errors propagate."""
-    fs, location = _file_system(spark, path)
+    fs, location = file_system(spark, path)
     return fs.exists(location)
 
 
 def first_line(spark: SparkSession, path: str) -> str:
     """The first line of a text file, reading no further than its block."""
-    fs, location = _file_system(spark, path)
+    fs, location = file_system(spark, path)
     java = spark._jvm.java.io
     reader = java.BufferedReader(java.InputStreamReader(fs.open(location), "UTF-8"))
     try:
@@ -95,7 +95,7 @@ def first_line(spark: SparkSession, path: str) -> str:
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
-    fs, location = _file_system(spark, path)
+    fs, location = file_system(spark, path)
     fs.delete(location, True)
 
 
@@ -105,8 +105,8 @@ def publish_files(spark: SparkSession, done_dir: str, target_dir: str) -> None:
     Each move is one rename; a run that stops half-way leaves the rest in
     ``done_dir``, and calling this again finishes it, adding nothing twice.
     """
-    fs, source = _file_system(spark, done_dir)
-    _, target = _file_system(spark, target_dir)
+    fs, source = file_system(spark, done_dir)
+    _, target = file_system(spark, target_dir)
     fs.mkdirs(target)
     path = spark._jvm.org.apache.hadoop.fs.Path
     for status in fs.listStatus(source):
