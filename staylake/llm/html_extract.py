@@ -39,7 +39,14 @@ RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW_TEXT}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em",
     "font", "i", "ins", "kbd", "label", "mark", "q", "ruby", "s", "samp", "small", "span",
-    "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
+    "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
+    # formulas are part of their sentence
+    "maction", "math", "menclose", "merror", "mfenced", "mfrac", "mi", "mmultiscripts", "mn", "mo",
+    "mover", "mpadded", "mphantom", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub",
+    "msubsup", "msup", "mtable", "mtd", "mtext", "mtr", "munder", "munderover", "semantics"}
+# Source forms of a formula, beside the formula itself.
+ANNOTATIONS = {"annotation", "annotation-xml"}
+QUOTING = {"code", "kbd", "samp"}  # a class in here names a kind of token, not of content
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
 # An opening tag closes these open elements, up to the nearest one that holds them.
@@ -52,18 +59,27 @@ NEVER_IN_P = {
     "address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer",
     "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p",
     "pre", "section", "table", "ul"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 SKIPPED_TAGS = {
-    "head", "nav", "footer", "aside", "form", "button", "select", "svg", "canvas", "object",
-    "dialog", "audio", "video", "math", *RAW_TEXT}
+    "head", "nav", "footer", "aside", "button", "select", "canvas", "object", "dialog", "audio",
+    "video", *RAW_TEXT}
+# A drawing ends at its end tag, or where one of these begins, as in browsers.
+DRAWING = re.compile(r"<(/?)svg\b((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.I)
+BREAKOUT = re.compile(
+    r"<(?:/?(?:body|p|div|h[1-6]|ul|ol|dl|li|table|blockquote|pre|article|main|section)\b"
+    r"|foreignobject\b)", re.I)
+# Text in these speaks for a form that holds the page, not one to fill in.
+PROSE_TAGS = HEADINGS | {"p", "li", "blockquote", "td", "dd", "pre", "figcaption"}
 SKIPPED_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert", "banner",
-    "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo",
+    "breadcrumb", "breadcrumbs", "comment", "commentlist", "comments", "complementary", "consent", "contentinfo",
     "cookie", "cookies", "discussion", "disqus", "footer", "login", "masthead", "menu", "modal",
     "nav", "navbar", "navigation", "newsletter", "notice", "notices", "overlay", "pager",
     "pagination", "popup", "promo", "promotion", "promotions", "recommended", "related", "replies",
     "reply", "respond", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored",
     "subscribe", "subscription", "toolbar", "widget"}
-COMMENT_WORDS = {"comment", "comments", "reply", "replies"}
+COMMENT_WORDS = {"comment", "comments", "commentlist", "reply", "replies"}
+COMMENT_PARTS = {"aside", "div", "ol", "section", "ul"}  # their ids count inside main parts, too
 # Parts marked by these words are never content, by the others unless they hold
 # most of what varies on a host.
 FIRM_WORDS = {
@@ -74,7 +90,6 @@ NEUTRAL_WORDS = {
     "area", "bar", "block", "bottom", "box", "container", "inner", "left", "link", "links", "list",
     "main", "outer", "page", "post", "posts", "right", "section", "site", "slot", "top", "unit",
     "wrap", "wrapper"}
-HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 HEADER_WORDS = {"header"}
 MAIN_TAGS = {"article", "main"}
 UNMARKED = (frozenset(), frozenset(), "", False)
@@ -83,16 +98,20 @@ OUTSIDE, CONTENT, TITLE, MARKED = 0, 1, 2, 3  # a block's place; titles of main
 MAX_DEPTH = 200  # deeper elements count as their ancestor there; no text is lost
 KEPT_SCORES = 1_000_000  # scores held at a time for each level of two trees
 MIN_PAGES = 3
+SLOT_ROWS = 50_000  # named nodes that a task holds at a time, and those of one shape
 
 
 class Node:
-    __slots__ = ("tag", "label", "children", "skipped", "marked", "main", "depth", "parent")
+    __slots__ = ("tag", "label", "children", "skipped", "marked", "main", "depth", "parent", "form",
+                 "prose")
 
     def __init__(self, tag, label, parent, skipped, main, marked=False):
         self.tag, self.label, self.parent = tag, label, parent
         self.children: list[Node] = []
         self.skipped, self.main = skipped, main
         self.depth = parent.depth + 1 if parent else 0
+        self.form = parent.form if parent else 0  # number of the outermost form, from 1
+        self.prose = tag in PROSE_TAGS or (parent.prose if parent else False)
         above = parent.marked if parent else None
         self.marked = above or (self if marked else None)  # the outermost marked element
 
@@ -135,7 +154,8 @@ def _skip(tag: str, words: frozenset[str], ids: frozenset[str], hidden: bool,
           in_main: bool) -> tuple[bool, bool]:
     """Whether an element is never content, and whether a word marks it.
 
-    Inside article and main, and on headings, an id names a section.
+    Inside article and main, and on headings, an id names a section, but for
+    parts that it names comments.
     """
     if tag in ("html", "body"):
         return False, False
@@ -145,18 +165,41 @@ def _skip(tag: str, words: frozenset[str], ids: frozenset[str], hidden: bool,
         return True, False
     if not in_main and tag not in HEADINGS:
         words = words | ids
+    elif in_main and tag in COMMENT_PARTS:
+        words = words | (ids & COMMENT_WORDS)
     if in_main:
         words = words - HEADER_WORDS
-    return bool(words & FIRM_WORDS), bool(words)
+    return bool(words & FIRM_WORDS), bool(words) or tag == "form"
 
 
 def parse(page: str) -> tuple[Node, list[list]]:
-    """The tree of block elements and the blocks (node, text, link characters)."""
+    """The tree of block elements and the blocks (node, text, link characters).
+
+    A form that holds the page, a main part or more prose than there is text
+    beside that prose, is read as any container.
+    """
+    root, blocks = _parse(page, frozenset())
+    prose: dict[int, int] = {}
+    other: dict[int, int] = {}
+    holders = set()
+    for node, text, _ in blocks:
+        if node.form and node.main:
+            holders.add(node.form)
+        kind = prose if node.form and node.prose else other
+        kind[node.form] = kind.get(node.form, 0) + (
+            len(text) if node.form or not node.marked else 0)
+    holders |= {form for form, chars in prose.items()
+                if chars > other.get(0, 0) + other.get(form, 0)}
+    return _parse(page, frozenset(holders)) if holders else (root, blocks)
+
+
+def _parse(page: str, open_forms: frozenset[int]) -> tuple[Node, list[list]]:
     root = node = Node("", "", None, False, False)
     blocks: list[list] = []
     pieces: list[str] = []
-    links = linked = 0
+    links = linked = forms = quoting = 0
     skipped_inline: list[str] = []
+    last_drawing = page.lower().rfind("</svg")
 
     def close_block():
         nonlocal links
@@ -193,7 +236,19 @@ def parse(page: str) -> tuple[Node, list[list]]:
             end = RAW_END[tag].search(page, at)
             at = end.end() if end else size
             continue
+        if tag == "svg":
+            if not closing and not rest.rstrip().endswith("/"):
+                at = _after_drawing(page, at, last_drawing)
+            continue
+        if tag in ANNOTATIONS:
+            if closing and skipped_inline and skipped_inline[-1] == tag:
+                skipped_inline.pop()
+            elif not closing and not rest.rstrip().endswith("/"):
+                skipped_inline.append(tag)
+            continue
         if tag in INLINE:
+            if tag in QUOTING:
+                quoting = max(0, quoting + (-1 if closing else 1))
             if tag == "a":
                 linked = 0 if closing else 1
             if skipped_inline:  # inside a hidden or advert span
@@ -203,14 +258,14 @@ def parse(page: str) -> tuple[Node, list[list]]:
                     skipped_inline.append(tag)
             elif not closing and rest and tag != "a":
                 words, _, _, hidden = _attributes(rest)
-                if hidden or words & SKIPPED_WORDS:
+                if hidden or (words & SKIPPED_WORDS and not quoting and node.tag != "pre"):
                     skipped_inline.append(tag)
             continue
         if tag in ("br", "wbr", "img"):
             pieces.append(" ")
             continue
         close_block()
-        linked = 0
+        linked = quoting = 0
         skipped_inline.clear()
         if tag in VOID:
             continue
@@ -234,8 +289,14 @@ def parse(page: str) -> tuple[Node, list[list]]:
                 node = last.parent
         words, ids, first, hidden = _attributes(rest) if rest else UNMARKED
         never, marked = _skip(tag, words, ids, hidden, node.main)
+        forms += tag == "form"
+        if tag == "form" and forms in open_forms:
+            marked = bool(words)
+        # a main part inside a header or an aside is the main part all the same
         child = Node(tag, _escaped(f"{tag}.{first}" if first else tag), node,
-                     node.skipped or never, node.main or tag in MAIN_TAGS, marked)
+                     never or (node.skipped and tag != "main"), node.main or tag in MAIN_TAGS, marked)
+        if tag == "form" and not child.form and forms not in open_forms:
+            child.form = forms
         if not node.skipped and child.depth <= MAX_DEPTH:
             node.children.append(child)
         node = child
@@ -245,6 +306,30 @@ def parse(page: str) -> tuple[Node, list[list]]:
     return root, blocks
 
 
+def _after_drawing(page: str, at: int, last: int) -> int:
+    """Where the content goes on after a drawing that begins before ``at``."""
+    end, depth = at, 1
+    while depth:
+        if end > last:
+            end = -1
+            break
+        found = DRAWING.search(page, end)
+        if found is None:
+            end = -1
+            break
+        end = found.end()
+        if found.group(1):
+            depth -= 1
+        elif not found.group(2).rstrip().endswith("/"):
+            depth += 1
+    if end < 0:
+        return at  # never ends: its tags hold no text of their own
+    out = BREAKOUT.search(page, at, end)
+    if out and not out.group().lower().startswith("<foreign"):
+        return out.start()
+    return end
+
+
 def _signature(root: Node) -> dict[int, str]:
     """Shape of every subtree, runs of equal siblings folded."""
     order, stack = [], [root]
@@ -446,6 +531,9 @@ def align(a: Shape, b: Shape) -> dict[int, int]:
 
 
 def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def frame(rows):
+        return pd.DataFrame(rows, columns=["host", "shape_id", "node", "slot"])
+
     for rows in batches:
         out = []
         for host, shape_id, shape, reference in rows[["host", "shape_id", "shape", "reference"]
@@ -454,7 +542,10 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             names = align(own, Shape(reference))
             out += [(host, shape_id, n, f"={names[n]}" if n in names else path)
                     for n, path in enumerate(own.paths)]
-        yield pd.DataFrame(out, columns=["host", "shape_id", "node", "slot"])
+            if len(out) >= SLOT_ROWS:
+                yield frame(out)
+                out = []
+        yield frame(out)
 
 
 # ------------------------------------------------------------------- on Spark
@@ -564,8 +655,9 @@ def wrappers(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     spread = texts.groupBy("host", "slot").agg(
         (F.min("text") == F.max("text")).alias("constant"))
     holders = texts.groupBy("host", "slot", "text").agg(F.count(F.lit(1)).alias("holders"))
-    weights = (texts.join(spread.where("not constant"), ["host", "slot"])
-               .join(holders, ["host", "slot", "text"]).groupBy("host", "page")
+    # one row per text of a slot before the join: a constant slot is one row
+    shared = holders.join(spread.where("not constant"), ["host", "slot"])
+    weights = (texts.join(shared, ["host", "slot", "text"]).groupBy("host", "page")
                .agg((1 / F.percentile("holders", 0.5, F.col("chars"))).alias("weight")))
     evidence = (texts.select("host", "slot", "page").distinct().join(weights, ["host", "page"])
                 .groupBy("host", "slot").agg(F.sum("weight").alias("pages")))
@@ -573,7 +665,8 @@ def wrappers(parsed: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
                    .where(F.col("pages") >= min_pages - 1e-6)
                    .select("host", "slot", "constant"), "html-judged")
     varying = slots.where("not constant")
-    plain = texts.join(varying, ["host", "slot"]).groupBy("host").agg(F.sum("plain").alias("plain"))
+    plain = (texts.groupBy("host", "slot").agg(F.sum("plain").alias("plain"))
+             .join(varying, ["host", "slot"]).groupBy("host").agg(F.sum("plain").alias("plain")))
     overruled = (each.where(F.col("mark") >= 0).join(varying, ["host", "slot"])
                  .groupBy("host", "shape_id", F.col("mark").alias("node"))
                  .agg(F.sum("chars").alias("chars"))
