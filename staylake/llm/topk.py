@@ -31,6 +31,8 @@ ANNULI = 4
 BLOCK_ROWS = 1024
 QUERY_ROWS = 4096
 FIRST_ROUNDS = (1, 4)  # annuli that a query visits in the first rounds; then all left
+MAX_ANNULI = 64
+LOWEST = -(1 << 63)  # of a long
 SLACK = 1e-9  # of the squared scale: covers rounding in the bounds
 
 
@@ -38,7 +40,8 @@ def integer_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: int =
     """(vid, dim, norm, vec): floor(scale * x) of every usable vector.
 
     Null ids, null or empty vectors and vectors with a null or non-finite
-    component are left out.
+    component are left out.  A component beyond the range of a long takes its
+    nearest end.  ``norm``, the squared norm, is a double: it only serves bounds.
     """
     x = F.col(vec_col).cast("array<double>")
     usable = (F.col(id_col).isNotNull() & (F.size(x) > 0)
@@ -48,16 +51,21 @@ def integer_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: int =
         F.col(id_col).cast("long").alias("vid"),
         F.transform(x, lambda v: F.floor(v * scale).cast("long")).alias("vec"))
     return rows.select("vid", F.size("vec").alias("dim"), F.aggregate(
-        "vec", F.lit(0).cast("long"), lambda t, v: t + v * v).alias("norm"), "vec")
+        "vec", F.lit(0.0), lambda t, v: t + v.cast("double") * v.cast("double")).alias("norm"),
+        "vec")
 
 
-def _matrix(column) -> np.ndarray:
-    """Vectors of one dimension as rows of doubles (integers, kept exact)."""
-    flat = column.values if isinstance(column, pa.ListArray) else None
-    if flat is not None:
+def _integers(column) -> np.ndarray:
+    """Vectors of one dimension as rows of longs."""
+    if isinstance(column, pa.ListArray):
         flat = column.flatten().to_numpy(zero_copy_only=False)
-        return flat.reshape(len(column), -1).astype(np.float64) if len(column) else flat
-    return np.array(list(column), dtype=np.float64)
+        return flat.reshape(len(column), -1).astype(np.int64) if len(column) else flat
+    return np.array(list(column), dtype=np.int64)
+
+
+def _matrix(column) -> np.ndarray:
+    """The same as doubles, for bounds."""
+    return _integers(column).astype(np.float64)
 
 
 def _lifted(matrix: np.ndarray, norms: np.ndarray, largest: float) -> np.ndarray:
@@ -70,11 +78,14 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products; doubles are exact below 2^53."""
-    bound = np.abs(a).max(initial=0.0) * np.abs(b).max(initial=0.0) * a.shape[1]
-    if bound < 2**53:
-        return (a @ b.T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+    """Inner products of rows of longs; one beyond a long takes its nearest end."""
+    x, y = a.astype(np.float64), b.astype(np.float64)
+    bound = np.abs(x).max(initial=0.0) * np.abs(y).max(initial=0.0) * a.shape[1]
+    if bound < 2**53:  # doubles are exact
+        return (x @ y.T).astype(np.int64)
+    if bound < 2**62:
+        return a @ b.T
+    return np.clip(a.astype(object) @ b.T.astype(object), LOWEST, -LOWEST - 1).astype(np.int64)
 
 
 def _best(query, vid, score, k):
@@ -86,12 +97,22 @@ def _best(query, vid, score, k):
     return query[rank < k], vid[rank < k], score[rank < k]
 
 
+def _asked_blocks(blocks: DataFrame, asked: DataFrame) -> DataFrame:
+    """A copy of each block for every part of the queries that visits it."""
+    visits = asked.select(F.col("annulus").alias("at"), F.col("piece").alias("of"),
+                          F.col("part").alias("by")).distinct()
+    same = (F.col("annulus") == F.col("at")) & (F.col("piece") == F.col("of"))
+    return blocks.join(visits, same).select(*blocks.columns, F.col("by").alias("part"))
+
+
 def _search_dimension(base: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, vid, score) candidates that hold every query's k best."""
     spark = base.sparkSession
     stats = base.agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("m")).first()
     total, largest = stats["n"], float(stats["m"] or 0)
     n_pivots = max(1, min(MAX_PIVOTS, max(16, math.isqrt(total) // 8)))
+    # thinner annuli for a larger table, which leave the bounds less room
+    annuli = max(ANNULI, min(MAX_ANNULI, total // (n_pivots * BLOCK_ROWS)))
     sample = base.orderBy(F.xxhash64("vid"), "vid").limit(n_pivots).select("norm", "vec").collect()
     points = np.array([r["vec"] for r in sample], dtype=np.float64)
     pivots = np.unique(_lifted(points, np.array([r["norm"] for r in sample], float), largest),
@@ -109,9 +130,9 @@ def _search_dimension(base: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                     ["vid", "norm", "vec", "pivot", "far"])
 
     placed = stored(base.select("vid", "norm", "vec").mapInArrow(
-        place, "vid long, norm long, vec array<long>, pivot int, far double"), "topk-placed")
+        place, "vid long, norm double, vec array<long>, pivot int, far double"), "topk-placed")
     edges = placed.groupBy("pivot").agg(F.percentile_approx(
-        "far", [n / ANNULI for n in range(1, ANNULI)], 1000).alias("edges"))
+        "far", [n / annuli for n in range(1, annuli)], 1000).alias("edges"))
     ringed = stored(placed.join(edges, "pivot").select(
         "vid", "norm", "vec", "pivot", "far",
         F.size(F.filter("edges", lambda e: F.col("far") > e)).alias("ring")), "topk-rings")
@@ -152,6 +173,7 @@ def _search_dimension(base: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                 order = np.argsort(bound, axis=1, kind="stable")
                 stop = len(rings) if more is None else visited + more
                 worst = batch.column(4).to_numpy(zero_copy_only=False).astype(np.float64)
+                worst = np.where(worst <= LOWEST, np.nan, worst)  # cut: says nothing
                 # squared distance of the k-th best; none yet: no bound
                 limit = np.where(np.isnan(worst), np.inf, largest + norms - 2.0 * worst)
                 at, which = [], []
@@ -173,7 +195,7 @@ def _search_dimension(base: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         out = {"query_id": [], "vid": [], "score": []}
         if len(vectors) and len(asked):
             q, v = asked["query_id"].to_numpy(), vectors["vid"].to_numpy()
-            score = _products(_matrix(asked["vec"]), _matrix(vectors["vec"]))
+            score = _products(_integers(asked["vec"]), _integers(vectors["vec"]))
             worst = asked["worst"].to_numpy(dtype=np.float64, na_value=np.nan)
             good = np.where(np.isnan(worst)[:, None], True, score >= worst[:, None])
             good &= q[:, None] != v[None, :]
@@ -192,15 +214,15 @@ def _search_dimension(base: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                                             F.min("score").alias("s"))
         kth = kth.where(F.col("n") >= k).select("query_id", F.col("s").cast("double").alias(
             "worst"))
-        asked = (waiting.join(kth, "query_id", "left")
+        asked = stored(waiting.join(kth, "query_id", "left")
                  .select("query_id", "norm", "vec", "part", "worst")
                  .mapInArrow(plan(visited, more), "query_id long, vec array<long>, part int, "
                                                   "worst double, annulus int")
                  .join(F.broadcast(table.select("annulus", "pieces")), "annulus")
-                 .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))))
-        copies = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+                 .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))),
+                       "topk-visits")
         keys = ["annulus", "piece", "part"]
-        compared = copies.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(
+        compared = _asked_blocks(blocks, asked).groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(
             compare, "query_id long, vid long, score long")
         found = stored(found.unionByName(compared).distinct().withColumn(
             "rank", F.row_number().over(by_query)).where(F.col("rank") <= k).drop("rank"),
@@ -214,7 +236,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     Both inputs are as :func:`integer_vectors` gives them.  Candidates are all
     vectors of the query's dimension except those of its own id; score is the
-    integer inner product, ties go to the smaller id.  Repeated rows of an id
+    integer inner product, ties go to the smaller id; one beyond the range of a
+    long takes its nearest end and ties with others there.  Repeated rows of an id
     count once per distinct score; a query with fewer candidates gets all of
     them, one without any gets no row.
     """

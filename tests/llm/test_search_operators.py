@@ -46,6 +46,58 @@ def test_content_of_a_page(page, text):
     assert _text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    # a form around the page is a container, one to fill in is not content
+    ("<form id='aspnetForm'><div class=menu>m</div><h1>T</h1><p>long prose here</p><input></form>",
+     "T\nlong prose here"),
+    ("<form><article><h1>A</h1><p>b</p></article></form>", "A\nb"),
+    ("<p>intro text</p><form><label>name</label><input><button>go</button></form>", "intro text"),
+    ("<form><label>User name</label><label>Password</label><p>Log in</p></form>", ""),
+    # drawings end where they close, or where the page goes on
+    ("<article><svg class='icon'/><h1>Title</h1><p>x</p></article>", "Title\nx"),
+    ("<article><svg class='icon'><h1>Title</h1><p>x</p></article>", "Title\nx"),
+    ("<article><svg><path d='>'/><h1>T</h1><p>x <svg><text>no</text></svg> y</p></article>", "T\nx y"),
+    ("<p>a <svg><svg><text>q</text></svg><title>z</title></svg> b</p>", "a b"),
+    ("<p>a <svg><foreignObject><p>in</p></foreignObject></svg> b</p>", "a b"),
+    # formulas belong to their sentence, their source forms do not
+    ("<p>energy is <math><mi>E</mi><mo>=</mo><semantics><mi>m</mi><annotation>TeX</annotation>"
+     "</semantics></math> as said</p>", "energy is E=m as said"),
+    # classes inside code name tokens
+    ("<p><code>x = 1 <span class='token comment'># keep</span></code> y "
+     "<span class='comment'>drop</span></p>", "x = 1 # keep y"),
+    ("<pre>x <span class='comment'># keep</span></pre>", "x # keep"),
+    # comments inside main parts
+    ("<main><p>art</p><div id='comments'><ol><li>Reader 1</li></ol></div></main>", "art"),
+    ("<article><p>art</p><ol class='commentlist'><li>Reader 1</li></ol></article>", "art"),
+    ("<article><h2 id='comments'>On comments</h2><p>x</p></article>", "On comments\nx"),
+    ("<header><p>menu</p><main><p>body</p></main></header>", "body"),
+])
+def test_parts_that_look_like_others(page, text):
+    assert _text(page) == text
+
+
+@pytest.mark.parametrize("n", [1, 3, 6])
+def test_articles_survive_their_surroundings(spark, n):
+    def body(k):
+        return f"Story {k} tells of {' '.join(f'thing{k}x{j}' for j in range(30))}."
+
+    wraps = {
+        "form": lambda k: f"<body><form id=f><div class=menu>Home</div><h1>Head {k}</h1>"
+                          f"<p>{body(k)}</p><input></form></body>",
+        "formed": lambda k: f"<form><article><h1>Head {k}</h1><p>{body(k)}</p></article></form>",
+        "icon": lambda k: f"<article><svg class=icon/><h1>Head {k}</h1><p>{body(k)}</p></article>",
+        "notes": lambda k: f"<main><h1>Head {k}</h1><p>{body(k)}</p><div id=comments>"
+                           f"<ol class=commentlist><li>Reader {k} says no {k}</li></ol></div></main>",
+        "search": lambda k: f"<form><label>Find</label><input></form><article><h1>Head {k}</h1>"
+                            f"<p>{body(k)}</p></article>",
+    }
+    pages = [(f"{name}{k}", f"https://{name}.example.com/{k}", wrap(k))
+             for name, wrap in wraps.items() for k in range(n)]
+    got = html_extract.extract(spark.createDataFrame(pages, "page_id string, url string, html string"))
+    want = {f"{name}{k}": f"Head {k}\n{body(k)}" for name in wraps for k in range(n)}
+    assert {r["page_id"]: r["text"] for r in got.collect()} == want
+
+
 def test_simple_tree_matching_names_the_right_sibling():
     whole = html_extract.Shape(html_extract.content_blocks(
         "<body><div>ad</div><div><p>1</p><p>2</p></div><h2>t</h2></body>")[0])
@@ -238,6 +290,45 @@ def test_topk_matches_brute_force(spark, n):
     assert got == _plain_topk(single, 20, lambda ids: [i for i in ids if i % 20 == 0])
 
 
+def test_topk_of_huge_components(spark):
+    vectors = [(0, [5e7, 1.0]), (1, [4.9e7, 2.0]), (2, [-5e7, 3.0]), (3, [1e300, 1.0]),
+               (4, [0.5, -0.5]), (20, [1e9, 1e9]), (21, [-1e300, -1e300]), (40, [-1e18, 5.0])]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    ready = topk.integer_vectors(frame, "vec_id", "embedding")
+    ends = -(1 << 63), (1 << 63) - 1
+
+    def cut(n):
+        return min(max(n, ends[0]), ends[1])
+
+    whole = {i: [cut(int(64 * x // 1)) if abs(x) < 1e17 else ends[x > 0] for x in v]
+             for i, v in vectors}
+    want = []
+    for q in (0, 20, 40):
+        scored = sorted((-cut(sum(a * b for a, b in zip(whole[q], v))), i)
+                        for i, v in whole.items() if i != q)
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:20])]
+    assert rows(topk.top_k(ready, ready.where("vid % 20 = 0"), 20)) == sorted(want, key=repr)
+
+
+def test_only_blocks_that_are_asked_for_are_copied(spark):
+    blocks = spark.createDataFrame([(a, p, 10 * a + p) for a in range(6) for p in range(3)],
+                                   "annulus int, piece int, vid long")
+    asked = spark.createDataFrame([(1, 0, 0), (1, 0, 7), (1, 0, 7), (4, 2, 3)],
+                                  "annulus int, piece int, part int")
+    assert rows(topk._asked_blocks(blocks, asked)) == [(1, 0, 10, 0), (1, 0, 10, 7), (4, 2, 42, 3)]
+
+
+def test_topk_with_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
+    draw = random.Random(1)
+    vectors = [(i, [draw.gauss(0, 1) for _ in range(4)]) for i in range(600)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    ready = topk.integer_vectors(frame, "vec_id", "embedding")
+    assert rows(topk.top_k(ready, ready.where("vid % 20 = 0"), 20)) == _plain_topk(
+        vectors, 20, lambda ids: [i for i in ids if i % 20 == 0])
+
+
 @needs_tables
 def test_topk_matches_sql(spark):
     ready = topk.integer_vectors(spark.read.parquet(f"{SF}/embeddings.parquet"), "vec_id", "embedding")
