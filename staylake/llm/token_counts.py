@@ -59,17 +59,22 @@ class PieceCounter:
         return next((at for at in range(begin + 1, end) if self.stable(text, at)), None)
 
     def chunks(self, text: str, step: int, overlap: int) -> Iterator[tuple[int, int, int, bool]]:
-        """(begin, end, where the overlap with the next chunk begins, last)."""
+        """(begin, end, where the overlap with the next chunk begins, last).
+
+        Where an overlap holds no stable boundary, one scan finds the next: the
+        chunk is widened to it and the following chunk begins there, so that
+        nothing but overlaps is encoded twice.
+        """
         begin, size = 0, len(text)
         while True:
             following = begin + step
-            end, width = following + overlap, overlap
-            while end < size and self.first_stable(text, following, end) is None:
-                width *= 2  # no proven boundary: widen
-                end = following + width
-            if end >= size:
+            end = following + overlap
+            at = self.first_stable(text, following, size) if end < size else None
+            if at is None:
                 yield begin, size, size, True
                 return
+            if at >= end:
+                following, end = at - 1, at + 1
             yield begin, end, following, False
             begin = following
 

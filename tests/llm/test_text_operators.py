@@ -93,6 +93,21 @@ def test_token_counts_match_the_library(spark, chunk, overlap):
     assert got == _counts(TEXTS)
 
 
+@pytest.mark.parametrize("char", ["=", "a"])
+def test_long_runs_are_encoded_once(char):
+    counter = token_counts.load(PIECE)
+    prose = "".join(f"Some words, number {n}, go here.\n" for n in range(12_000))
+    text = char * 200_000 + prose
+    chunks = list(counter.chunks(text, token_counts.CHUNK_CHARS, token_counts.OVERLAP_CHARS))
+    assert sum(end - begin for begin, end, _, _ in chunks) <= 1.5 * len(text)
+    total = head = 0
+    for begin, end, following, last in chunks:
+        tail = 0 if last else end - following
+        total += counter.spliced(text[begin:end], head, tail)
+        head = tail
+    assert total == counter.count(text)
+
+
 def test_token_counts_of_awkward_text(spark):
     draw = random.Random(8)
     parts = ["a", "aa", " ", "  ", "▁", "é", "😀", "\n", "<s>", "the", "\0", "中", "\t"]
