@@ -29,7 +29,9 @@ from ..session import run_dir
 from ..sources import csv as csvio
 from ..sources import files
 from ..sources.pages import read_pages
+from ..sources.snapshots import read_snapshot
 from ..streaming.incremental import incremental_merge, incremental_star
+from ..streaming.stateful import incremental_distinct
 from .clean import CleanConfig, clean_listings
 from .etl import RunConfig, run_etl
 from .listing_pages import extract_listings
@@ -1394,3 +1396,22 @@ def incremental_load(spark, sf):
                           checkpoint_dir=f"{d}/checkpoint-{attempt}", target_schema=_INC_SCHEMA,
                           max_files_per_trigger=2)
     return spark.read.schema(_INC_SCHEMA).parquet(f"{d}/target")
+
+
+_SK_SCHEMA = T.StructType([*_INC_SCHEMA.fields, T.StructField("order_sk", T.LongType())])
+
+
+@query("stateful_load", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       row_number() OVER (ORDER BY o_orderkey) AS order_sk FROM orders""")
+def stateful_load(spark, sf):
+    """Orders land in two overlapping folders and are loaded by stream state,
+    then all files again under a new checkpoint."""
+    o = table(spark, sf, "orders").select(*[f.name for f in _INC_SCHEMA.fields])
+    d = run_dir(spark, "stateful")
+    csvio.write_csv(o.where(F.col("o_orderstatus").isin("F", "O")), f"{d}/landing", mode="append")
+    csvio.write_csv(o.where(F.col("o_orderstatus").isin("O", "P")), f"{d}/landing", mode="append")
+    for attempt in range(2):
+        incremental_distinct(spark, f"{d}/landing", _INC_SCHEMA, f"{d}/warehouse", "orders",
+                             ["o_orderkey"], f"{d}/checkpoint-{attempt}", id_col="order_sk")
+    return read_snapshot(spark, f"{d}/warehouse").read(spark, "orders", _SK_SCHEMA)
