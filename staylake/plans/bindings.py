@@ -24,7 +24,7 @@ from .. import schemas as S
 from ..functions.dates import (date_parts, epoch_ms_to_timestamp, normalize_timestamp,
                                parse_timestamp, run_id, timestamp_to_epoch_ms)
 from ..functions.text import json_field
-from ..operators import extract, keys, merge, metrics, quality, reviews
+from ..operators import extract, keys, merge, metrics, nearest, quality, reviews
 from ..session import run_dir
 from ..sources import csv as csvio
 from ..sources import files
@@ -1415,3 +1415,34 @@ def stateful_load(spark, sf):
         incremental_distinct(spark, f"{d}/landing", _INC_SCHEMA, f"{d}/warehouse", "orders",
                              ["o_orderkey"], f"{d}/checkpoint-{attempt}", id_col="order_sk")
     return read_snapshot(spark, f"{d}/warehouse").read(spark, "orders", _SK_SCHEMA)
+
+
+_SPOT = [  # a third of the orders fall into one small area
+    ("o_orderkey", "o_orderkey"),
+    ("latitude", "CASE WHEN o_orderkey % 3 = 0 THEN 31.6 + CAST(o_orderkey % 97 AS DOUBLE) / CAST(9700 AS DOUBLE) "
+                 "ELSE CAST(o_orderkey * 7919 % 18000 AS DOUBLE) / CAST(100 AS DOUBLE) - 90 END"),
+    ("longitude", "CASE WHEN o_orderkey % 3 = 0 THEN -8.0 + CAST(o_orderkey % 89 AS DOUBLE) / CAST(8900 AS DOUBLE) "
+                  "ELSE CAST(o_orderkey * 104729 % 36000 AS DOUBLE) / CAST(100 AS DOUBLE) - 180 END"),
+]
+_PLACE = [
+    ("c_custkey", "c_custkey"),
+    ("latitude", "CASE WHEN c_custkey % 2 = 0 THEN 31.6 + CAST(c_custkey % 101 AS DOUBLE) / CAST(10100 AS DOUBLE) "
+                 "ELSE CAST(c_custkey * 6007 % 18000 AS DOUBLE) / CAST(100 AS DOUBLE) - 90 END"),
+    ("longitude", "CASE WHEN c_custkey % 2 = 0 THEN -8.0 + CAST(c_custkey % 103 AS DOUBLE) / CAST(10300 AS DOUBLE) "
+                  "ELSE CAST(c_custkey * 50021 % 36000 AS DOUBLE) / CAST(100 AS DOUBLE) - 180 END"),
+]
+
+
+@query("nearest_place", f"""
+WITH {_cte('o', _SPOT, 'orders')}, {_cte('c', _PLACE, 'customer')},
+pairs AS (SELECT o_orderkey, o.latitude, o.longitude, c_custkey,
+                 (c.latitude - o.latitude) * (c.latitude - o.latitude)
+                 + (c.longitude - o.longitude) * (c.longitude - o.longitude) AS distance_sq
+          FROM o, c)
+SELECT o_orderkey, latitude, longitude, c_custkey, distance_sq FROM pairs
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY distance_sq, c_custkey) = 1""")
+def nearest_place_q(spark, sf):
+    """The customer's place nearest to every order's coordinate; half of the
+    places and a third of the orders crowd one area."""
+    return nearest.nearest_place(_view(table(spark, sf, "orders"), _SPOT),
+                                 _view(table(spark, sf, "customer"), _PLACE), "c_custkey")
