@@ -109,11 +109,12 @@ def canonical_links(links: DataFrame, order_cols: Sequence[str], token: str,
 
 # Everything that is not visible text: scripts, styles, the head, comments, tags.
 INVISIBLE_PATTERN = (r"(?is)<(script|style|head|noscript|template)\b.*?(</\1\s*>|\z)"
-                     r"|<!--.*?(-->|\z)|<[^>]*(>|\z)")
+                     r"|<!--.*?(-->|\z)|<[a-z/!?][^>]*(>|\z)")
 
 
 def visible_text(html: str | Column) -> Column:
-    """The page without what a reader does not see; tags become spaces."""
+    """The page without what a reader does not see; tags become spaces.  A "<"
+    without a letter, "/", "!" or "?" behind it is text."""
     col = F.col(html) if isinstance(html, str) else html
     return F.regexp_replace(col, INVISIBLE_PATTERN, " ")
 

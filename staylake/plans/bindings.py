@@ -24,7 +24,8 @@ from .. import schemas as S
 from ..functions.dates import (date_parts, epoch_ms_to_timestamp, normalize_timestamp,
                                parse_timestamp, run_id, timestamp_to_epoch_ms)
 from ..functions.text import json_field
-from ..operators import extract, keys, merge, metrics, nearest, quality, reviews
+from ..operators import (extract, firstseen, keys, merge, metrics, nearest, quality, reviews,
+                         summaries)
 from ..session import run_dir
 from ..sources import csv as csvio
 from ..sources import files
@@ -539,7 +540,7 @@ _STATUS_PATTERN = 'href="(/e[^"]*)"'
 
 
 _SQL_VISIBLE = (r"regexp_replace(html, '<(script|style|head|noscript|template)\b.*?"
-                r"(</(script|style|head|noscript|template)\s*>|\z)|<!--.*?(-->|\z)|<[^>]*(>|\z)', ' ', 'gis')")
+                r"(</(script|style|head|noscript|template)\s*>|\z)|<!--.*?(-->|\z)|<[a-z/!?][^>]*(>|\z)', ' ', 'gis')")
 
 
 @query("page_status", f"""
@@ -1446,3 +1447,39 @@ def nearest_place_q(spark, sf):
     places and a third of the orders crowd one area."""
     return nearest.nearest_place(_view(table(spark, sf, "orders"), _SPOT),
                                  _view(table(spark, sf, "customer"), _PLACE), "c_custkey")
+
+
+@query("links_over_runs", f"""
+WITH {_LINKS_SQL},
+f AS (SELECT *, split_part(href, '?', 1) AS canonical, CASE WHEN page_id % 2 = 0 THEN 0 ELSE 1 END AS run FROM l),
+r AS (SELECT *, row_number() OVER (PARTITION BY canonical ORDER BY run, page_id, pos) AS rn FROM f)
+SELECT canonical, page_id, pos, href, run FROM r WHERE rn = 1""")
+def links_over_runs(spark, sf):
+    """Unique links over two runs: even pages, then all pages."""
+    pages = table(spark, sf, "pages")
+    d = run_dir(spark, "links")
+    name = f"staylake_links_{d.rsplit('-', 1)[-1]}"
+    for run, part in enumerate((pages.where("page_id % 2 = 0"), pages)):
+        firstseen.record_links(extract.page_links(part), name, f"{d}/seen", ["page_id", "pos"], run,
+                               buckets=16)
+    return spark.table(name)
+
+
+@query("maintained_summary", f"""
+WITH {_PARSED_SQL}, now AS (
+  SELECT user_id, kind, CASE WHEN event_type = 'purchase' THEN CAST(5.5 AS DOUBLE) ELSE score END AS score
+  FROM typed)
+SELECT user_id, CASE WHEN grouping(kind) = 1 THEN 'all' ELSE kind END AS kind,
+       {_EXACT_AVG} AS avg_score, count(*) AS review_count
+FROM now GROUP BY GROUPING SETS ((user_id, kind), (user_id))""")
+def maintained_summary(spark, sf):
+    """Review summaries after three passes: clicks and views, purchases, and a
+    correction that sets every purchase's score."""
+    cards = review_cards(spark, sf)
+    bought = cards.where(F.col("event_type") == "purchase")
+    d = run_dir(spark, "summaries")
+    fixed = (bought.withColumn("sign", F.lit(-1))
+             .unionByName(bought.withColumn("score", F.lit(5.5)).withColumn("sign", F.lit(1))))
+    for part in (cards.where(~F.col("event_type").eqNullSafe("purchase")), bought, fixed):
+        summaries.add_reviews(spark, d, part, "user_id")
+    return summaries.read_summaries(spark, d, "user_id", cards.schema["user_id"].dataType)

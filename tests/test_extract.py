@@ -156,9 +156,10 @@ def test_each_source_is_searched_once_in_the_plan(spark):
 
 def test_status_reads_visible_text_only(spark):
     pages = ["<script src='/verify.js'>captcha</script><p>hello</p>", "<p>Please <b>verify</b> yourself</p>",
-             "<!-- no results --><title>x</title>", "<div class='captcha'>No results</div>", None]
+             "<!-- no results --><title>x</title>", "<div class='captcha'>No results</div>", None,
+             "price a < b, sorry no results", "if 3 <4 then captcha here", "<!doctype no results <p>x"]
     assert _col(spark, extract.page_status("v", F.lit(False)), [(p,) for p in pages]) == \
-        ["unknown", "suspect", "unknown", "empty", "unknown"]
+        ["unknown", "suspect", "unknown", "empty", "unknown", "empty", "suspect", "unknown"]
 
 
 def test_lookup_that_repeats_a_key_multiplies_nothing(spark):
