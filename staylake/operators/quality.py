@@ -123,14 +123,24 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 def duplicated_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Every copy of the rows whose (``cols``) tuple occurs more than once.
 
-    Counting is a partial aggregation (skew-safe); the repeated tuples are
-    then matched back with a null-safe left-semi join, whose hot keys AQE
-    splits across tasks.  No window holds a whole group.
+    A first pass counts 64-bit hashes of the tuples, so only 8 bytes a row are
+    shuffled; tuples whose hash occurs once are single.  Only the others, the
+    candidates, are counted by value: a partial aggregation (skew-safe), whose
+    repeated tuples are matched back with a null-safe left-semi join, whose hot
+    keys AQE splits across tasks.  No window holds a whole group, and two tuples
+    that share a hash are told apart.
     """
     cols = list(cols or df.columns)
     keys = [f"__k{i}" for i in range(len(cols))]
-    dup_keys = (df.groupBy(*[F.col(f"`{c}`").alias(k) for c, k in zip(cols, keys)])
+    # -0.0 and 0.0 are one value to grouping, and hash alike
+    hashed = df.withColumn("__h", F.xxhash64(*[F.col(f"`{c}`") for c in cols]))
+    repeated = (hashed.groupBy(F.col("__h").alias("__r")).agg(F.count(F.lit(1)).alias("__n"))
+                .where(F.col("__n") > 1).select("__r"))
+    candidates = hashed.join(repeated, F.col("__h") == F.col("__r"), "left_semi")
+    dup_keys = (candidates.groupBy(*[F.col(f"`{c}`").alias(k) for c, k in zip(cols, keys)],
+                                   F.col("__h").alias("__kh"))
                 .agg(F.count(F.lit(1)).alias("__n"))
                 .where(F.col("__n") > 1).drop("__n"))
-    cond = [F.col(f"`{c}`").eqNullSafe(F.col(k)) for c, k in zip(cols, keys)]
-    return df.join(dup_keys, on=all_of(cond), how="left_semi")
+    cond = [F.col("__h") == F.col("__kh"),
+            *[F.col(f"`{c}`").eqNullSafe(F.col(k)) for c, k in zip(cols, keys)]]
+    return candidates.join(dup_keys, on=all_of(cond), how="left_semi").drop("__h")

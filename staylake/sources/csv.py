@@ -65,6 +65,25 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, l
     return headers
 
 
+def distinct_names(header: Sequence[str]) -> list[str]:
+    """Header names with a number behind the second and later of a name.
+
+    Spark compares names without case, so ``City`` repeats ``city``."""
+    taken = {h.lower() for h in header}
+    seen: set[str] = set()
+    out = []
+    for name in header:
+        new, n = name, 2
+        if name.lower() in seen:
+            while f"{name}_{n}".lower() in taken:
+                n += 1
+            new = f"{name}_{n}"
+        seen.add(new.lower())
+        taken.add(new.lower())
+        out.append(new)
+    return out
+
+
 _FLOATING = (T.DoubleType, T.FloatType)
 _INTEGRAL = (T.IntegerType, T.LongType, T.ShortType, T.ByteType)
 
@@ -76,9 +95,10 @@ def _read_schema(header: Sequence[str], schema: T.StructType | None) -> T.Struct
     becomes NULL in PERMISSIVE mode); the others are read as text and
     finished in ``_typed``.
     """
-    declared = {f.name: f.dataType for f in schema.fields} if schema else {}
-    return T.StructType([T.StructField(h, declared[h] if isinstance(declared.get(h), _FLOATING)
-                                       else T.StringType()) for h in header])
+    declared = {f.name.lower(): f.dataType for f in schema.fields} if schema else {}
+    types = [declared.get(h.lower()) for h in header]
+    return T.StructType([T.StructField(h, t if isinstance(t, _FLOATING) else T.StringType())
+                         for h, t in zip(header, types)])
 
 
 def _integral(text: Column, dtype: T.DataType) -> Column:
@@ -97,13 +117,13 @@ def _typed(df: DataFrame, schema: T.StructType | None,
     ``try_cast`` (every token gives NULL).  Only text columns compare against
     the token list.
     """
-    declared = {f.name: f.dataType for f in schema.fields} if schema else {}
+    declared = {f.name.lower(): f.dataType for f in schema.fields} if schema else {}
     tokens = [t for t in null_tokens if t.strip()]
     cols = []
     for field in df.schema.fields:
         name = field.name
         raw = F.col(f"`{name}`")
-        dtype = declared.get(name)
+        dtype = declared.get(name.lower())
         if isinstance(field.dataType, _FLOATING):
             clean = F.nanvl(raw, F.lit(None).cast(field.dataType))
         elif isinstance(dtype, _INTEGRAL):
@@ -126,13 +146,13 @@ def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str],
     Columns of ``schema`` come first in its order and type (absent ones are
     NULL); columns not in the schema follow as text in first-seen order when
     ``keep_extra``.  A malformed cell becomes NULL instead of failing the
-    job.  If all files share one header, the folder is read as a whole.
+    job.  Of a header that names a column twice, the first holds the name and
+    the later ones are extra columns ``name_2``, ``name_3`` and so on.
     """
     headers = file_headers(spark, paths)
-    folders = [paths] if isinstance(paths, str) else list(paths)
     groups: "OrderedDict[tuple[str, ...], list[str]]" = OrderedDict()
     for path in sorted(headers):
-        groups.setdefault(tuple(headers[path]), []).append(path)
+        groups.setdefault(tuple(distinct_names(headers[path])), []).append(path)
 
     parts = []
     for header, files in groups.items():
@@ -141,9 +161,7 @@ def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str],
         reader = (spark.read.schema(_read_schema(header, schema)).options(**DIALECT)
                   .option("multiLine", str(multi_line).lower())
                   .option("enforceSchema", "true").option("mode", "PERMISSIVE"))
-        if len(groups) == 1:
-            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-            files = folders
+        # the files whose headers were read, not what has landed since
         part = reader.csv([literal_path(f) for f in files])
         parts.append(_typed(part, schema, null_tokens))
 
@@ -158,12 +176,12 @@ def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str],
 
 
 def align_to_schema(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> DataFrame:
-    present = set(df.columns)
-    cols = [(F.col(f"`{f.name}`").cast(f.dataType) if f.name in present
+    present = {c.lower() for c in df.columns}
+    cols = [(F.col(f"`{f.name}`").cast(f.dataType) if f.name.lower() in present
              else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
     if keep_extra:
-        names = {f.name for f in schema.fields}
-        cols += [F.col(f"`{c}`") for c in df.columns if c not in names]
+        names = {f.name.lower() for f in schema.fields}
+        cols += [F.col(f"`{c}`") for c in df.columns if c.lower() not in names]
     return df.select(*cols)
 
 

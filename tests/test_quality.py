@@ -85,3 +85,18 @@ def test_count_consistency_filter_is_optional(spark):
     kept = clean_listings(both, CleanConfig(enforce_count_consistency=True))
     assert "bad" not in {r[0] for r in kept.select("property_id").collect()}
     assert "count_sum" not in kept.columns
+
+
+def test_duplicates_whose_hashes_collide(spark, monkeypatch):
+    rows = [(n, f"v{n % 7}" if n % 3 else None) for n in range(40)] * 2 + [(n, "once") for n in range(20)]
+    df = spark.createDataFrame([(None, None), *rows], "a int, b string")
+    whole = sorted(map(repr, quality.duplicated_rows(df).collect()))
+    assert len(whole) == 80
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *cols: quality.F.lit(1).cast("long"))
+    assert sorted(map(repr, quality.duplicated_rows(df).collect())) == whole
+
+
+def test_twenty_copies_among_many_rows(spark):
+    df = spark.range(20_000).select((F.col("id") % 19_990).alias("k"), F.repeat(F.lit("x"), 200).alias("v"))
+    plan = quality.duplicated_rows(df)
+    assert plan.count() == 20

@@ -32,6 +32,30 @@ def test_read_by_header_name(spark, scratch):
     assert len(rows) == 5
 
 
+def test_a_name_that_a_header_repeats(spark, scratch):
+    _write(f"{scratch}/a.csv", "id,name,name,City,city,name_2\n1,a,b,X,Y,c\n")
+    _write(f"{scratch}/b.csv", "name,id\nz,2\n")
+    got = csvio.read_csv_by_name(spark, scratch, SCHEMA).orderBy("id")
+    assert got.columns == ["id", "name", "score", "city", "name_3", "city_2", "name_2"]
+    first, second = got.collect()
+    assert (first["name"], first["name_3"], first["name_2"], first["city_2"]) == ("a", "b", "c", "Y")
+    assert second["name"] == "z" and second["name_3"] is None
+    assert csvio.read_csv_by_name(spark, scratch, SCHEMA, keep_extra=False).columns == SCHEMA.names
+
+
+def test_files_that_land_after_the_listing_are_left_for_the_next_read(spark, scratch, monkeypatch):
+    _write(f"{scratch}/a.csv", "id,name\n1,a\n")
+    real = csvio.file_headers
+
+    def listed(*args):
+        found = real(*args)
+        _write(f"{scratch}/late.csv", "name,id\nb,2\n")
+        return found
+
+    monkeypatch.setattr(csvio, "file_headers", listed)
+    assert [r["id"] for r in csvio.read_csv_by_name(spark, scratch, SCHEMA).collect()] == [1]
+
+
 def test_header_of_every_file(spark, scratch):
     _write(f"{scratch}/x.csv", "a,b\n1,2\n")
     _write(f"{scratch}/sub/y.csv", "b,a\n3,4\n")
