@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions.dates import (date_parts, epoch_ms_to_timestamp, normalize_timestamp,
                                parse_timestamp, run_id, timestamp_to_epoch_ms)
+from ..functions import variants
 from ..functions.text import json_field
 from ..operators import (extract, firstseen, keys, merge, metrics, nearest, quality, reviews,
                          summaries)
@@ -1483,3 +1484,16 @@ def maintained_summary(spark, sf):
     for part in (cards.where(~F.col("event_type").eqNullSafe("purchase")), bought, fixed):
         summaries.add_reviews(spark, d, part, "user_id")
     return summaries.read_summaries(spark, d, "user_id", cards.schema["user_id"].dataType)
+
+
+@query("event_variants", """
+SELECT event_id, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), -1) AS k,
+       json_extract_string(props, '$.missing') AS missing, CAST(json(props) AS VARCHAR) AS props
+FROM events""")
+def event_variants(spark, sf):
+    """Events with their JSON parsed once, stored and read by path, whole fields kept."""
+    e = table(spark, sf, "events").select("event_id", "props")
+    held = variants.store_parsed(e, ["props"], f"{run_dir(spark, 'variants')}/events")
+    return held.select("event_id", variants.variant_field("props", "$.k", "bigint", -1).alias("k"),
+                       variants.variant_field("props", "$.missing").alias("missing"),
+                       F.to_json("props").alias("props"))
