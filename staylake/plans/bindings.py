@@ -25,7 +25,7 @@ from ..functions.dates import (date_parts, epoch_ms_to_timestamp, normalize_time
                                parse_timestamp, run_id, timestamp_to_epoch_ms)
 from ..functions import variants
 from ..functions.text import json_field
-from ..operators import (extract, firstseen, keys, merge, metrics, nearest, quality, reviews,
+from ..operators import (extract, firstseen, keys, merge, metrics, nearest, profiles, quality, reviews,
                          summaries)
 from ..session import run_dir
 from ..sources import csv as csvio
@@ -1497,3 +1497,37 @@ def event_variants(spark, sf):
     return held.select("event_id", variants.variant_field("props", "$.k", "bigint", -1).alias("k"),
                        variants.variant_field("props", "$.missing").alias("missing"),
                        F.to_json("props").alias("props"))
+
+
+_PROFILED = ["l_quantity", "l_extendedprice", "l_suppkey"]
+
+
+@query("profile_runs", """
+WITH f AS (SELECT count(*) AS n, count_if(NOT coalesce(l_quantity < 25, FALSE)) AS failed_small,
+                  count_if(NOT coalesce(l_discount > 0, FALSE)) AS failed_discounted FROM lineitem),
+c AS (SELECT 'l_quantity' AS "column", count(l_quantity) AS held FROM lineitem
+      UNION ALL SELECT 'l_extendedprice', count(l_extendedprice) FROM lineitem
+      UNION ALL SELECT 'l_suppkey', count(l_suppkey) FROM lineitem)
+SELECT "column", n AS rows, n - held AS nulls, CAST(failed_small AS BIGINT) AS failed_small,
+       CAST(failed_discounted AS BIGINT) AS failed_discounted,
+       TRUE AS distinct_close, TRUE AS median_close FROM c, f""")
+def profile_runs(spark, sf):
+    """Line items profiled in two runs by return flag, the profiles merged; the
+    sketches' figures are held against exact ones in the last two columns."""
+    li = table(spark, sf, "lineitem")
+    d = run_dir(spark, "profiles")
+    rules = {"small": F.col("l_quantity") < 25, "discounted": F.col("l_discount") > 0}
+    returned = F.col("l_returnflag").eqNullSafe("R")
+    for run, part in enumerate((li.where(returned), li.where(~returned))):
+        profiles.record_profile(spark, d, profiles.profile(part, _PROFILED, rules, run))
+    merged = profiles.estimates(profiles.merged(profiles.read_profiles(spark, d)), (0.5,))
+    exact = li.agg(*[F.struct(F.count_distinct(F.col(c).cast("double")).alias("n"), F.percentile(
+        c, F.array(F.lit(0.47), F.lit(0.53))).alias("p")).alias(c) for c in _PROFILED])
+    exact = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("of"), F.col(f"{c}.n").alias("n"),
+                                                      F.col(f"{c}.p").alias("p")) for c in _PROFILED])).alias("e"))
+    joined = merged.join(exact.select("e.*"), F.col("column") == F.col("of"))
+    return joined.select(
+        "column", "rows", "nulls", F.col("failed.small").alias("failed_small"),
+        F.col("failed.discounted").alias("failed_discounted"),
+        (F.abs(F.col("distinct_values") - F.col("n")) <= F.col("n") * 0.08).alias("distinct_close"),
+        F.col("q50").between(F.col("p")[0], F.col("p")[1]).alias("median_close"))
