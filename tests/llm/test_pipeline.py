@@ -12,7 +12,7 @@ from tests.llm.helpers import HAVE_TABLES, SF, documents
 
 def test_entry_registers_every_operator():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
     assert set(queries.ORACLE) <= set(entry.oracle_sql())
 
