@@ -2,9 +2,8 @@
 
 A plain ``spark.read.csv(folder)`` assigns columns by position, so files
 with reordered or extra columns are silently misread.  Here the first line
-of every file is read (its first block only), files are grouped by header,
-every group is read with its own column order and the groups are unioned by
-name.
+of every file is found in tasks, files are grouped by header, every group is
+read with its own column order and the groups are unioned by name.
 
 Text is quoted as RFC 4180 has it: a quote inside a value is doubled, and
 quoted values may hold commas and line breaks.  Reading line breaks inside
@@ -17,14 +16,14 @@ from __future__ import annotations
 import csv as _csv
 from collections import OrderedDict
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import TEXT_DEFAULT_FIELDS
-from .files import first_line, path_exists
+from .files import path_exists
 
 # Fixed value: text tokens read as missing, as common CSV readers do.
 NULL_TOKENS = ["", "NA", "N/A", "NaN", "nan", "NULL", "null", "None", "<NA>"]
@@ -32,7 +31,7 @@ NULL_TOKENS = ["", "NA", "N/A", "NaN", "nan", "NULL", "null", "None", "<NA>"]
 
 # One dialect for reading and writing.
 DIALECT = {"header": "true", "quote": '"', "escape": '"'}
-HEADER_THREADS = 32
+WHOLE_BYTES = 1 << 20  # files up to this size are read whole for their header
 _GLOB = str.maketrans({c: "\\" + c for c in "\\{}[]*?"})
 
 
@@ -41,26 +40,65 @@ def literal_path(path: str) -> str:
     return path.translate(_GLOB)
 
 
+def _listed(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The ``.csv`` files below ``paths``, listed once; contents only if asked for."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.csv").load([literal_path(p) for p in paths]))
+
+
 def csv_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
     """The ``.csv`` files below ``paths`` (a listing, no file is read)."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", "*.csv").load([literal_path(p) for p in paths]))
-    return sorted(r["path"] for r in listed.select("path").collect())
+    return sorted(r["path"] for r in _listed(spark, paths).select("path").collect())
+
+
+def header_lines(listed: DataFrame) -> DataFrame:
+    """(path, line) of the listed files: their first lines, found in tasks.
+
+    Files of up to ``WHOLE_BYTES`` share tasks that read them whole.  A larger
+    one has no line yet; see :func:`_first_lines`.
+    """
+    small = listed.where(F.col("length") <= WHOLE_BYTES).select(
+        "path", F.regexp_extract(F.col("content").cast("string"), r"\A[^\r\n]*", 0).alias("line"))
+    large = listed.where(F.col("length") > WHOLE_BYTES).select(
+        "path", F.lit(None).cast("string").alias("line"))
+    return small.union(large)
+
+
+def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """First lines of large files: a task each, which stops after one record."""
+    session = spark.newSession()
+    # Files that hold line breaks are never split: one file per partition.
+    session.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lines = (session.read.schema("line string").option("multiLine", "true").option("sep", "\x01")
+             .option("quote", "").option("header", "false").csv([literal_path(p) for p in paths])
+             .select(F.col("_metadata.file_path").alias("path"), "line"))
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    return {unquote(r["path"]): r["line"] or ""
+            for r in lines.mapInArrow(first, "path string, line string").collect()}
 
 
 def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
     """Every ``.csv`` file below ``paths`` -> its parsed header line.
 
-    Opens each file and reads its first block, many files at a time; no data
-    beyond the header line is parsed.
+    The driver opens no file: it receives one line per file, as the lists of
+    files to read are the driver's to make.
     """
-    files = csv_files(spark, paths)
-    with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
-        lines = pool.map(lambda path: first_line(spark, path), files)
+    lines = {r["path"]: r["line"] for r in header_lines(_listed(spark, paths)).collect()}
+    large = [path for path, line in lines.items() if line is None]
+    if large:
+        found = _first_lines(spark, large)
+        lines.update((path, found.get(path, "")) for path in large)
     headers = {}
-    for path, line in zip(files, lines):
-        line = line.lstrip("\ufeff")
+    for path in sorted(lines):
+        line = lines[path].lstrip("\ufeff")
         headers[path] = next(_csv.reader([line])) if line else []
     return headers
 

@@ -83,17 +83,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location)
 
 
-def first_line(spark: SparkSession, path: str) -> str:
-    """The first line of a text file, reading no further than its block."""
-    fs, location = file_system(spark, path)
-    java = spark._jvm.java.io
-    reader = java.BufferedReader(java.InputStreamReader(fs.open(location), "UTF-8"))
-    try:
-        return reader.readLine() or ""
-    finally:
-        reader.close()
-
-
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, location = file_system(spark, path)
     fs.delete(location, True)

@@ -148,6 +148,32 @@ def test_headers_read_only_the_first_line(spark, scratch):
     assert sorted(map(tuple, csvio.file_headers(spark, scratch).values())) == [("id", "name")]
 
 
+def test_headers_of_many_files_are_found_in_tasks(spark, scratch, monkeypatch):
+    for n in range(10_000):
+        _write(f"{scratch}/{n % 100}/{n}.csv", ("id,name\n" if n % 2 else "name,id,x\n") + "1,2,3\n")
+
+    def opened(*args):
+        raise AssertionError("the driver opens files")
+
+    monkeypatch.setattr(files, "file_system", opened)
+    heads = csvio.file_headers(spark, scratch)
+    assert len(heads) == 10_000
+    assert all(tuple(h) == (("id", "name") if int(p.rsplit("/", 1)[1][:-4]) % 2 else ("name", "id", "x"))
+               for p, h in heads.items())
+
+
+def test_headers_of_large_files(spark, scratch, monkeypatch):
+    folder = f"{scratch}/a b [1] {{x}}%20é"
+    _write(f"{folder}/one.csv", "\ufeffid,\"na,me\"\r\n" + "1,x\r\n" * 100_000)
+    _write(f"{folder}/two.csv", "name,id\n" + "\"a\nb\",2\n" * 50_000)
+    _write(f"{folder}/three.csv", "id\n3\n")
+    small = csvio.file_headers(spark, scratch)
+    assert sorted(map(tuple, small.values())) == [("id",), ("id", "na,me"), ("name", "id")]
+    monkeypatch.setattr(csvio, "WHOLE_BYTES", 6)
+    assert csvio.file_headers(spark, scratch) == small
+    assert csvio.read_csv_by_name(spark, scratch, SCHEMA).count() == 150_001
+
+
 def test_append_reads_header_and_fills_defaults(spark, scratch):
     a = spark.createDataFrame([(None, 1.0)], "category string, min_price double")
     csvio.append_records(a, scratch, ["category"])
