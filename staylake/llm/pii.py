@@ -36,6 +36,7 @@ NUMBER = r"^[\"'<\[,;:=]*[+(]?[0-9][0-9()/.-]*$"
 RUN_WORDS = 19  # words of the longest shape below: every word holds a digit
 CONTEXT_CHARS = 48
 RUN_MATCHES = 256
+PIECE_CHARS = 256
 MIN_SUPPORT = 10
 MIN_CONFIDENCE = 0.9
 MIN_SCORE = 0.9
@@ -67,6 +68,56 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _folded(n: Column, nothing: Column, step) -> Column:
+    """(at, out): ``step(state, i)`` gives the next ``at`` and an entry of ``out``
+    for every i below ``n``, which is at least 1."""
+    def append(state, i):
+        at, entry = step(state, i)
+        return F.struct(at.cast("int").alias("at"),
+                        F.array_append(state["out"], entry).alias("out"))
+
+    def chunk(state, c):
+        """Entries of one run: appending copies, so runs are short."""
+        run = F.aggregate(
+            F.sequence(c * RUN_MATCHES, F.least((c + 1) * RUN_MATCHES, n) - 1),
+            F.struct(state["at"].alias("at"), nothing.alias("out")), append)
+        return F.transform(F.array(run), lambda r: F.struct(
+            r["at"].alias("at"), F.concat(state["out"], r["out"]).alias("out")))[0]
+
+    return F.aggregate(F.sequence(F.lit(0), F.floor((n - 1) / RUN_MATCHES).cast("int")),
+                       F.struct(F.lit(0).alias("at"), nothing.alias("out")), chunk)
+
+
+def _pieces(text: str) -> Column:
+    """The text in pieces of PIECE_CHARS code points: a span of a long text is
+    cut from the pieces it lies in, not looked up from the text's start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))
+
+
+def _cut(start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of the text behind the column ``_pieces``."""
+    first = F.floor(start / PIECE_CHARS).cast("int")
+    held = F.slice("_pieces", first + 1, F.floor((end - 1) / PIECE_CHARS).cast("int") - first + 1)
+    return F.substr(F.array_join(held, ""), start - first * PIECE_CHARS + 1, end - start)
+
+
+def _masked() -> Column:
+    """The text with base matches as line breaks, which part words and keep
+    every offset."""
+    def step(state, i):
+        s = F.get(F.col("_sorted"), i)
+        end = F.greatest(s["end"], state["at"])
+        gap = F.when(s["start"] > state["at"], _cut(state["at"], s["start"])).otherwise("")
+        return end, F.concat(gap, F.repeat(
+            F.lit("\n"), end - F.greatest(s["start"], state["at"])))
+
+    done = _folded(F.size("_sorted"), F.array().cast("array<string>"), step)
+    # An array of one element binds what is folded once per text.
+    return F.when(F.size("_sorted") > 0, F.transform(F.array(done), lambda d: F.concat(
+        F.array_join(d["out"], ""), F.when(d["at"] < F.length("text"), _cut(
+            d["at"], F.length("text"))).otherwise("")))[0]).otherwise(F.col("text"))
+
+
 def _matches(df: DataFrame, name: str, pattern: str, hint: Column) -> DataFrame:
     """Adds ``name``: array<struct<start,end,value>> of all matches."""
     found, parts = f"_{name}_found", f"_{name}_parts"
@@ -79,24 +130,11 @@ def _matches(df: DataFrame, name: str, pattern: str, hint: Column) -> DataFrame:
     def step(state, i):
         start = state["at"] + F.length(F.get(F.col(parts), i))
         end = start + F.length(F.get(F.col(found), i))
-        return F.struct(end.alias("at"), F.array_append(state["out"], F.struct(
-            start.alias("start"), end.alias("end"), F.get(F.col(found), i).alias("value"))
-        ).alias("out"))
+        return end, F.struct(start.alias("start"), end.alias("end"),
+                             F.get(F.col(found), i).alias("value"))
 
     nothing = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    last = F.size(found) - 1
-
-    def chunk(state, c):
-        """Spans of one run of matches: appending copies, so runs are short."""
-        run = F.aggregate(
-            F.sequence(c * RUN_MATCHES, F.least((c + 1) * RUN_MATCHES - 1, last)),
-            F.struct(state["at"].alias("at"), nothing.alias("out")), step)
-        return F.transform(F.array(run), lambda r: F.struct(
-            r["at"].alias("at"), F.concat(state["out"], r["out"]).alias("out")))[0]
-
-    spans = F.when(F.size(found) > 0, F.aggregate(
-        F.sequence(F.lit(0), F.floor(last / RUN_MATCHES).cast("int")),
-        F.struct(F.lit(0).alias("at"), nothing.alias("out")), chunk)["out"]).otherwise(nothing)
+    spans = F.when(F.size(found) > 0, _folded(F.size(found), nothing, step)["out"]).otherwise(nothing)
     return df.withColumn(name, spans).drop(found, parts)
 
 
@@ -134,12 +172,9 @@ def _word(context: Column, pattern: str) -> Column:
 
 def _with_context(spans: str, extra) -> Column:
     """Spans of an array column with the words around them."""
-    text = F.col("text")
-
     def one(s):
-        begin = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-        before = F.substr(text, begin + 1, s["start"] - begin)
-        after = F.substr(text, s["end"] + 1, F.lit(CONTEXT_CHARS))
+        before = _cut(F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)), s["start"])
+        after = _cut(s["end"], s["end"] + CONTEXT_CHARS)
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), *extra(s),
                         s["value"].alias("value"),
                         _word(before, r"(\S{1,40})\s*$").alias("left"),
@@ -160,10 +195,9 @@ def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     df = docs.select(F.col(id_col).alias("id"),
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     df = base_spans(df)
-    # Base matches become line breaks, which part words and keep every offset.
-    masked = F.aggregate("base", F.col("text"), lambda t, b: F.overlay(
-        t, F.repeat(F.lit("\n"), b["end"] - b["start"]), b["start"] + 1, b["end"] - b["start"]))
-    df = df.withColumn("_text", F.col("text")).withColumn("text", masked)
+    df = df.withColumn("_sorted", F.array_sort("base")).withColumn("_pieces", _pieces("text"))
+    df = df.withColumn("_masked", _masked()).drop("_sorted")
+    df = df.withColumn("_text", F.col("text")).withColumn("text", F.col("_masked")).drop("_masked")
     df = _matches(df, "_words", LOOSE, F.lit(True))
     df = df.withColumn("text", F.col("_text")).drop("_text")
     word = lambda n: F.get(F.col("_words"), n)
