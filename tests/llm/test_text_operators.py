@@ -1,6 +1,7 @@
 """Encoding, token counts, line dedup, SimHash and quality against plain versions."""
 
 import hashlib
+import math
 import random
 import re
 import unicodedata
@@ -316,3 +317,82 @@ def test_quality_without_both_labels(spark):
         scores = {r["score"] for r in quality.score(docs, quality.train(docs, some)).collect()}
         assert len(scores) == 1
     assert quality.score(documents(spark, []), quality.train(docs, labels)).count() == 0
+
+
+def _plain_tree(g, h, depth, least):
+    """Newton steps per bin of the best tree, one cut after another."""
+    step = sum(g) / (sum(h) + 1.0)
+    best, at = -1.0, None
+    for i in range(1, len(g)) if depth else ():
+        if sum(h[:i]) >= least and sum(h[i:]) >= least:
+            gain = (sum(g[:i])**2 / (sum(h[:i]) + 1.0) + sum(g[i:])**2 / (sum(h[i:]) + 1.0))
+            if gain > best:
+                best, at = gain, i
+    if at is None:
+        return [step] * len(g)
+    return (_plain_tree(g[:at], h[:at], depth - 1, least)
+            + _plain_tree(g[at:], h[at:], depth - 1, least))
+
+
+def _plain_fit(x, y, model, rounds, rate):
+    """The feature tables of cyclic boosting over the model's bins, row by row."""
+    bins = [[sum(v >= c for c in cuts) for v in x[:, j]] for j, cuts in enumerate(model.cuts)]
+    tables = [[0.0] * (len(cuts) + 1) for cuts in model.cuts]
+    total = [model.intercept] * len(y)
+    for _ in range(rounds):
+        for j, table in enumerate(tables):
+            p = [1 / (1 + math.exp(-t)) for t in total]
+            g, h, n = [0.0] * len(table), [0.0] * len(table), [0] * len(table)
+            for at, label, chance in zip(bins[j], y, p):
+                g[at] += label - chance
+                h[at] += chance * (1 - chance)
+                n[at] += 1
+            mean = sum(p) / len(p)
+            least = max(2.0, 0.0005 * len(y)) * mean * (1 - mean)
+            steps = [rate * min(4.0, max(-4.0, s)) for s in _plain_tree(g, h, 2, least)]
+            tables[j] = [t + (s if rows else 0.0) for t, s, rows in zip(table, steps, n)]
+            total = [t + steps[at] for t, at in zip(total, bins[j])]
+    return tables
+
+
+def _some_features(n):
+    draw = np.random.default_rng(3)
+    x = np.round(draw.normal(size=(n, len(quality.FEATURES))), 3)
+    chance = 1 / (1 + np.exp(-(2 * x[:, 0] - x[:, 3] + 1.5 * x[:, 1] * x[:, 2])))
+    return x, (draw.random(n) < chance).astype(float)
+
+
+def test_quality_tables_equal_plain_boosting():
+    x, y = _some_features(150)
+    model = quality.fit(x, y, rounds=4, bins=8, pair_rounds=0)
+    for table, plain in zip(model.tables, _plain_fit(x, y, model, 4, 0.15)):
+        assert np.allclose(table, plain, atol=1e-9)
+
+
+def test_quality_scores_equal_a_plain_sum():
+    x, y = _some_features(400)
+    model = quality.fit(x, y, rounds=20)
+    assert model.pairs and any(np.abs(t).max() > 0 for t in model.pair_tables)
+
+    def at(cuts, value):
+        return sum(value >= c for c in cuts)
+
+    for row, got in zip(x, model.score(x)):
+        total = model.intercept + sum(
+            table[at(model.cuts[j], row[j])] for j, table in enumerate(model.tables))
+        for (a, b), table in zip(model.pairs, model.pair_tables):
+            total += table[at(model.coarse[a], row[a])][at(model.coarse[b], row[b])]
+        assert got == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-12)
+
+
+@pytest.mark.skipif(not HAVE_TABLES, reason="test tables not present")
+def test_quality_of_the_given_labels(spark):
+    """Ranking of the held-out labelled documents: area under the ROC curve."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), quality.train(docs, labels))
+    held = scored.where("held_out").join(labels, "doc_id").select("score", "quality").collect()
+    good = [r["score"] for r in held if r["quality"] == 1]
+    bad = [r["score"] for r in held if r["quality"] == 0]
+    assert good and bad
+    wins = sum((a > b) + 0.5 * (a == b) for a in good for b in bad)
+    assert wins / len(good) / len(bad) >= 0.9
