@@ -176,6 +176,28 @@ def csv_inferred_read(spark, sf):
     return csvio.read_csv_inferred(spark, d)
 
 
+@query("csv_inferred_documents", """
+SELECT CAST(doc_id AS INTEGER) AS doc_id, '"' || text || '", ' || chr(10) || ' end' AS body,
+       nullif(lang, 'en') AS lang, CAST(n_chars AS INTEGER) AS n_chars,
+       n_chars / 4.0E0 AS quarter FROM documents""")
+def csv_inferred_documents(spark, sf):
+    """Inferred types of a growing table with quotes, line breaks and nulls."""
+    d = run_dir(spark, "csv_inferred_documents")
+    csvio.write_csv(table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit('"'), "text", F.lit('", \n end')).alias("body"),
+        F.nullif("lang", F.lit("en")).alias("lang"), "n_chars",
+        (F.col("n_chars") / 4.0).alias("quarter")), d)
+    return csvio.read_csv_inferred(spark, d)
+
+
+@query("raw_snapshot_orders", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
+def raw_snapshot_orders(spark, sf):
+    path = csvio.snapshot_csv(table(spark, sf, "orders"), run_dir(spark, "raw_snapshot_orders"),
+                              "20250904_081719")
+    return csvio.read_csv_by_name(spark, path, ORDERS_SCHEMA, keep_extra=False)
+
+
 @query("raw_snapshot", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def raw_snapshot(spark, sf):
     d = run_dir(spark, "raw_snapshot")
@@ -272,6 +294,24 @@ def append_with_new_fields(spark, sf):
     return csvio.read_csv_by_name(spark, d, schema)
 
 
+@query("append_orders_with_new_fields", """
+SELECT o_orderkey AS key, o_orderstatus AS status, CAST(NULL AS BIGINT) AS customer,
+       CAST(NULL AS DOUBLE) AS price FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT o_orderkey, o_orderstatus, o_custkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F'""")
+def append_orders_with_new_fields(spark, sf):
+    """Appends whose later rows bring fields that the folder does not have."""
+    d = run_dir(spark, "append_orders")
+    o = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("price"), F.col("o_custkey").alias("customer"))
+    csvio.append_records(o.where("status = 'F'").select("key", "status"), d, ["key", "status"], fill=False)
+    csvio.append_records(o.where("status <> 'F'"), d, ["key", "status"], batch_size=10_000, fill=False)
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("status", T.StringType()),
+                           T.StructField("customer", T.LongType()), T.StructField("price", T.DoubleType())])
+    return csvio.read_csv_by_name(spark, d, schema)
+
+
 _FILL_EXPRS = [
     ("o_orderkey", "o_orderkey"),
     ("category", "nullif(o_orderpriority, '5-LOW')"),
@@ -470,6 +510,14 @@ def search_urls(spark, sf):
         "n_nationkey", extract.search_url("n_name", _BASE_URL, _SEARCH_DAY).alias("url"))
 
 
+@query("search_urls_customers", f"""
+SELECT c_custkey, concat('{_BASE_URL}', 'ss=', c_name, '&checkin=2025-09-04&checkout=2025-09-05',
+       '&group_adults=1&no_rooms=1&group_children=0') AS url FROM customer""")
+def search_urls_customers(spark, sf):
+    return table(spark, sf, "customer").select(
+        "c_custkey", extract.search_url("c_name", _BASE_URL, _SEARCH_DAY).alias("url"))
+
+
 @query("helper_column", """
 SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem
 WHERE l_extendedprice / l_quantity > 1000""")
@@ -490,6 +538,20 @@ def run_stamped_rows(spark, sf):
     return (spark.read.options(**csvio.DIALECT).schema(NATION_SCHEMA.add("run", "string")).csv(d))
 
 
+@query("run_stamped_orders", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       CASE WHEN o_orderstatus = 'F' THEN '20250904_081719' ELSE '20250905_081719' END AS run
+FROM orders""")
+def run_stamped_orders(spark, sf):
+    """Two runs below one folder, each under its own id."""
+    d = run_dir(spark, "run_stamped_orders")
+    o = table(spark, sf, "orders").select(*ORDERS_SCHEMA.names)
+    for day, part in ((4, "o_orderstatus = 'F'"), (5, "o_orderstatus <> 'F'")):
+        csvio.snapshot_csv(o.where(part), d, run_id(_dt.datetime(2025, 9, day, 9, 17, 19)))
+    schema = T.StructType([*ORDERS_SCHEMA.fields, T.StructField("run", T.StringType())])
+    return spark.read.options(**csvio.DIALECT).schema(schema).csv(d)
+
+
 # ---------------------------------------------------------------------------
 # Pages: links and status
 # ---------------------------------------------------------------------------
@@ -1291,19 +1353,23 @@ def streamed_fact(spark, sf):
 
 @query("streamed_dimensions", f"""
 WITH {CLEAN_SQL}
-SELECT 'property' AS dimension, CAST(to_json([property_url, address, wifi_speed]) AS VARCHAR) AS value
+SELECT 'property' AS dimension, CAST(to_json([property_url, address, wifi_speed]) AS VARCHAR) AS value,
+       latitude, longitude
 FROM (SELECT DISTINCT property_url, address, wifi_speed, latitude, longitude FROM cleaned)
-UNION ALL SELECT 'category', to_json([category]) FROM (SELECT DISTINCT category FROM cleaned)
-UNION ALL SELECT 'date', to_json([strftime(scrape_timestamp, '%Y-%m-%d %H:%M:%S')])
+UNION ALL SELECT 'category', to_json([category]), NULL, NULL FROM (SELECT DISTINCT category FROM cleaned)
+UNION ALL SELECT 'date', to_json([strftime(scrape_timestamp, '%Y-%m-%d %H:%M:%S')]), NULL, NULL
 FROM (SELECT DISTINCT scrape_timestamp FROM cleaned)
-UNION ALL SELECT 'location', to_json([city, zone]) FROM (SELECT DISTINCT city, zone FROM cleaned)""")
+UNION ALL SELECT 'location', to_json([city, zone]), NULL, NULL FROM (SELECT DISTINCT city, zone FROM cleaned)""")
 def streamed_dimensions(spark, sf):
     """Every row of the four streamed dimensions."""
     star = read_star(spark, f"{_streamed_star(spark, sf, 'streamed_dimensions')}/warehouse")
 
     def rows(name, *cols):
-        return star[f"dim_{name}"].select(F.lit(name).alias("dimension"), F.to_json(
-            F.array(*cols), {"ignoreNullFields": "false"}).alias("value"))
+        dim = star[f"dim_{name}"]
+        places = [(F.col(c) if c in dim.columns else F.lit(None).cast("double")).alias(c)
+                  for c in ("latitude", "longitude")]
+        return dim.select(F.lit(name).alias("dimension"), F.to_json(
+            F.array(*cols), {"ignoreNullFields": "false"}).alias("value"), *places)
 
     return (rows("property", "property_url", "address", "wifi_speed")
             .unionByName(rows("category", "category"))
@@ -1320,20 +1386,27 @@ def _loaded_star(spark, sf, name: str) -> dict[str, DataFrame]:
 @query("star_dimension_keys", f"""
 WITH {CLEAN_SQL}
 SELECT 'property' AS dimension, row_number() OVER (ORDER BY {_PROP_ORDER}) AS id,
-       property_url AS name FROM (SELECT DISTINCT {_PROP_ORDER} FROM cleaned)
-UNION ALL SELECT 'category', row_number() OVER (ORDER BY category), category
-FROM (SELECT DISTINCT category FROM cleaned)
+       property_url AS name, address, wifi_speed, latitude, longitude, NULL AS zone
+FROM (SELECT DISTINCT {_PROP_ORDER} FROM cleaned)
+UNION ALL SELECT 'category', row_number() OVER (ORDER BY category), category,
+       NULL, NULL, NULL, NULL, NULL FROM (SELECT DISTINCT category FROM cleaned)
 UNION ALL SELECT 'date', row_number() OVER (ORDER BY scrape_timestamp),
-       strftime(scrape_timestamp, '%Y-%m-%d %H:%M:%S') FROM (SELECT DISTINCT scrape_timestamp FROM cleaned)
-UNION ALL SELECT 'location', row_number() OVER (ORDER BY city, zone NULLS FIRST), city
-FROM (SELECT DISTINCT city, zone FROM cleaned)""")
+       strftime(scrape_timestamp, '%Y-%m-%d %H:%M:%S'), NULL, NULL, NULL, NULL, NULL
+FROM (SELECT DISTINCT scrape_timestamp FROM cleaned)
+UNION ALL SELECT 'location', row_number() OVER (ORDER BY city, zone NULLS FIRST), city,
+       NULL, NULL, NULL, NULL, zone FROM (SELECT DISTINCT city, zone FROM cleaned)""")
 def star_dimension_keys(spark, sf):
-    """Surrogate ids of every row of the four batch-loaded dimensions."""
+    """Surrogate ids and columns of every row of the four batch-loaded dimensions."""
     star = _loaded_star(spark, sf, "star_dims")
+    kinds = {"address": "string", "wifi_speed": "string", "latitude": "double",
+             "longitude": "double", "zone": "string"}
 
     def rows(name, key):
-        return star[f"dim_{name}"].select(F.lit(name).alias("dimension"),
-                                          F.col(f"{name}_id").alias("id"), key.alias("name"))
+        dim = star[f"dim_{name}"]
+        others = [(F.col(c) if c in dim.columns else F.lit(None).cast(kind)).alias(c)
+                  for c, kind in kinds.items()]
+        return dim.select(F.lit(name).alias("dimension"), F.col(f"{name}_id").alias("id"),
+                          key.alias("name"), *others)
 
     return (rows("property", F.col("property_url")).unionByName(rows("category", F.col("category")))
             .unionByName(rows("date", F.date_format("scrape_timestamp", "yyyy-MM-dd HH:mm:ss")))
