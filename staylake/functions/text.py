@@ -23,12 +23,15 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+WHITE = " \t\n\x0b\f\r"
+
+
 def trim_ws(c: ColumnOrName) -> Column:
     """Strip leading/trailing whitespace of any kind (tabs, newlines too).
 
-    Spark's ``trim`` removes only spaces, so a regex is used.
+    Spark's ``trim`` removes only spaces, so the characters are named.
     """
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    return F.btrim(_col(c), F.lit(WHITE))
 
 
 def contains_text(c: ColumnOrName, needle: str) -> Column:
@@ -66,7 +69,8 @@ def digits_to_long(c: ColumnOrName) -> Column:
 
 def text_after(c: ColumnOrName, marker: str, as_type: str = "double") -> Column:
     """The piece after the first ``marker``, stripped, cast (NULL on failure)."""
-    piece = F.get(F.split(_col(c), re.escape(marker), -1), 1)
+    col = _col(c)
+    piece = F.when(col.contains(marker), F.split_part(col, F.lit(marker), F.lit(2)))
     return trim_ws(piece).try_cast(as_type)
 
 

@@ -43,11 +43,9 @@ def normalize_traveler_type(label: str | Column,
     """Lower-case, spaces and hyphens -> '_', then map known spellings;
     unknown spellings pass through."""
     col = F.col(label) if isinstance(label, str) else label
+    known = F.create_map(*[F.lit(x) for pair in mappings.items() for x in pair])
     key = F.translate(F.lower(col), " -", "__")
-    out = None
-    for k, v in mappings.items():
-        out = F.when(key == k, F.lit(v)) if out is None else out.when(key == k, F.lit(v))
-    return out.otherwise(key)
+    return F.coalesce(F.try_element_at(known, key), key)
 
 
 def parse_cards(cards: DataFrame, score_text: str = "score_text",
