@@ -21,6 +21,11 @@ FANOUT_BITS = 4  # 16 children
 LEVELS = 4  # 16^3 slots in a file at least: levels 0 (records) to 3 (root)
 
 
+def _file(file_records: int) -> Column:
+    """The file of a page id, rounded down in whole numbers."""
+    return F.expr(f"page_id div {file_records} - if(page_id % {file_records} < 0, 1, 0)")
+
+
 def warc_records(pages: DataFrame, file_records: int = FILE_RECORDS) -> DataFrame:
     """(file, slot, page_id, position, length, record) of response records.
 
@@ -39,7 +44,7 @@ def warc_records(pages: DataFrame, file_records: int = FILE_RECORDS) -> DataFram
         F.octet_length(html).cast("string"), F.lit("\r\n\r\n"))
     record = F.concat(head, html, F.lit("\r\n\r\n"))
     rows = pages.where("page_id is not null").select(
-        F.floor(F.col("page_id") / file_records).cast("long").alias("file"),
+        _file(file_records).cast("long").alias("file"),
         F.pmod("page_id", F.lit(file_records)).cast("int").alias("slot"),
         F.col("page_id").cast("long").alias("page_id"), record.alias("record"))
     return rows.select("file", "slot", "page_id",
@@ -50,7 +55,7 @@ def leaves(records: DataFrame) -> DataFrame:
     """(file, slot, page_id, position, length, copies, digest) of each slot.
 
     The digest is the SHA-256 of the slot's record; of several rows in a slot
-    the digests are combined in order.  Only digests and lengths are grouped
+    the digests are combined whatever their order.  Only digests and lengths are grouped
     and ordered, never records.
     """
     hashed = records.select("file", "slot", "page_id", "length",
@@ -142,7 +147,7 @@ def audit(original: DataFrame, replica: DataFrame) -> DataFrame:
 def damaged_copy(pages: DataFrame, file_records: int = FILE_RECORDS) -> DataFrame:
     html = F.when(F.pmod("page_id", F.lit(47)) == 5, F.reverse("html")).otherwise(F.col("html"))
     kept = pages.where(
-        ~((F.pmod(F.floor(F.col("page_id") / file_records), F.lit(7)) == 3)
+        ~((F.pmod(_file(file_records), F.lit(7)) == 3)
           & (F.pmod("page_id", F.lit(file_records)) >= file_records - 25)))
     return kept.withColumn("html", html)
 

@@ -584,6 +584,14 @@ def _pages(spark, extra=()):
                                  "page_id long, url string, html string, file string")
 
 
+def test_files_of_large_and_negative_page_ids(spark):
+    ids = [9007199254741999, 9007199254741000, 2**63 - 1, -2**63, -1, -1000, -1001, 0, 999, 1000]
+    got = warc.warc_records(_pages(spark).limit(0).union(spark.createDataFrame(
+        [(n, "u", "h", "x") for n in ids], "page_id long, url string, html string, file string")))
+    assert {r["page_id"]: (r["file"], r["slot"]) for r in got.collect()} == {
+        n: divmod(n, 1000) for n in ids}
+
+
 def test_audit_locates_damage(spark):
     extra = [(3000, None, None, "x"), (None, "u", "lost", "x"), (5, "http://h/5", "again", "x")]
     original = _pages(spark, extra)
