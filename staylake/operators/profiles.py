@@ -10,11 +10,13 @@ run's sketch against the earlier ones' tells how far its values have moved.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import run_dir
 from ..sources.snapshots import Load, Snapshot, Transaction, read_snapshot
 
 TABLE = "profiles"
@@ -91,6 +93,52 @@ def estimates(profiles: DataFrame, ranks: Sequence[float] = (0.25, 0.5, 0.75)) -
         for r in ranks})
 
 
+def exact_figures(df: DataFrame, columns: Sequence[str], ranks: Sequence[float]) -> DataFrame:
+    """(of, n, p): every numeric column's number of distinct values and its
+    exact percentiles, interpolated as ``percentile`` does; NULL without values.
+
+    Values are counted and the counts ordered by range in tasks; only parts in
+    which a wanted position falls are summed row by row.
+    """
+    spark = df.sparkSession
+    counts = reduce(DataFrame.union, [
+        df.select(F.col(f"`{c}`").cast("double").alias("v")).where("v IS NOT NULL")
+        .groupBy("v").agg(F.count(F.lit(1)).alias("held")).select(F.lit(c).alias("of"), "v", "held")
+        for c in columns])
+    stage = run_dir(spark, "counted")
+    # Boundaries are sampled anew by every job: parts are written once.
+    (counts.repartitionByRange("of", "v").withColumn("part", F.spark_partition_id())
+     .write.parquet(stage))
+    counted = spark.read.parquet(stage)
+    # One row per column and part: small enough to broadcast.
+    earlier = Window.partitionBy("of").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (counted.groupBy("of", "part").agg(F.sum("held").alias("rows"), F.count(F.lit(1)).alias("n"))
+             .withColumns({"before": F.coalesce(F.sum("rows").over(earlier), F.lit(0)),
+                           "last": F.sum("rows").over(Window.partitionBy("of")) - 1}))
+    spot = F.array(*[F.col("last") * F.lit(float(r)) for r in ranks])
+    wanted = F.array_distinct(F.flatten(F.transform(spot, lambda x: F.array(F.floor(x), F.ceil(x)))))
+
+    def inside(k: Column) -> Column:
+        return (k >= F.col("before")) & (k < F.col("before") + F.col("rows"))
+
+    asked = parts.withColumn("wanted", F.filter(wanted, inside)).where(F.size("wanted") > 0)
+    run = Window.partitionBy("of", "part").orderBy("v")
+    found = (counted.join(F.broadcast(asked.select("of", "part", "before", "wanted")), ["of", "part"])
+             .withColumn("upto", F.col("before") + F.sum("held").over(run))
+             .withColumn("k", F.explode(F.filter("wanted", lambda k: (k < F.col("upto"))
+                                                 & (k >= F.col("upto") - F.col("held")))))
+             .groupBy("of").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("at")))
+
+    def percentile(x: Column) -> Column:
+        low, high = F.element_at("at", F.floor(x)), F.element_at("at", F.ceil(x))
+        return F.when(low == high, low).otherwise((F.ceil(x) - x) * low + (x - F.floor(x)) * high)
+
+    figures = (parts.groupBy("of").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+               .join(found, "of").select("of", "n", F.transform(spot, percentile).alias("p")))
+    names = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("of"))
+    return names.join(figures, "of", "left").select("of", F.coalesce("n", F.lit(0)).alias("n"), "p")
+
+
 def drift(current: DataFrame, earlier: DataFrame) -> DataFrame:
     """(column, drift): how far the current run's values moved against earlier
     runs, as the largest difference of rank at the percentiles of both (0: alike,

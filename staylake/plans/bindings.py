@@ -1594,11 +1594,8 @@ def profile_runs(spark, sf):
     for run, part in enumerate((li.where(returned), li.where(~returned))):
         profiles.record_profile(spark, d, profiles.profile(part, _PROFILED, rules, run))
     merged = profiles.estimates(profiles.merged(profiles.read_profiles(spark, d)), (0.5,))
-    exact = li.agg(*[F.struct(F.count_distinct(F.col(c).cast("double")).alias("n"), F.percentile(
-        c, F.array(F.lit(0.47), F.lit(0.53))).alias("p")).alias(c) for c in _PROFILED])
-    exact = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("of"), F.col(f"{c}.n").alias("n"),
-                                                      F.col(f"{c}.p").alias("p")) for c in _PROFILED])).alias("e"))
-    joined = merged.join(exact.select("e.*"), F.col("column") == F.col("of"))
+    exact = profiles.exact_figures(li, _PROFILED, (0.47, 0.53))
+    joined = merged.join(exact, F.col("column") == F.col("of"))
     return joined.select(
         "column", "rows", "nulls", F.col("failed.small").alias("failed_small"),
         F.col("failed.discounted").alias("failed_discounted"),

@@ -60,3 +60,15 @@ def test_no_rows(spark, scratch):
     profiles.record_profile(spark, scratch, profiles.profile(_run(spark, 0, 0), COLUMNS, _rules(), 0))
     rows = profiles.estimates(profiles.merged(profiles.read_profiles(spark, scratch))).collect()
     assert {(r["rows"], r["nulls"], r["q50"], r["distinct_values"]) for r in rows} == {(0, 0, None, 0)}
+
+
+def test_exact_figures_equal_the_aggregates(spark):
+    df = _run(spark, 0, 10_001).withColumn("w", F.when(F.col("k") % 2 == 0, F.col("k") / 3))
+    columns, ranks = [*COLUMNS, "w"], (0.0, 0.1, 0.47, 0.53, 0.999, 1.0)
+    found = {r["of"]: r for r in profiles.exact_figures(df, columns, ranks).collect()}
+    assert sorted(found) == sorted(columns)
+    for c in columns:
+        exact = df.agg(F.count_distinct(c).alias("n"),
+                       F.percentile(c, F.array(*[F.lit(r) for r in ranks])).alias("p")).first()
+        assert found[c]["n"] == exact["n"]
+        assert found[c]["p"] == (exact["p"] and pytest.approx(exact["p"], nan_ok=True))
