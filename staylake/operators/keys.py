@@ -39,17 +39,19 @@ def assign_keys(df: DataFrame, order_cols: Sequence[str], id_col: str,
     first).  Ties get distinct ids by a hash of the row.  ``buckets`` fixes
     the number of partitions; by default Spark sizes them."""
     spark = df.sparkSession
-    order = [F.col(c).asc_nulls_first() for c in order_cols] + [F.col("__tie").asc()]
-    tied = df.withColumn("__tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    if not set(df.columns) <= set(order_cols):      # else tied rows are equal
+        # an expression of the order, so no row carries it through the shuffle
+        order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc())
     if buckets == 1:
         position = F.monotonically_increasing_id()      # of the only partition
-        return (tied.repartition(1).sortWithinPartitions(*order).drop("__tie")
+        return (df.repartition(1).sortWithinPartitions(*order)
                 .withColumn(id_col, (F.lit(start + 1).cast("long") + position).cast("long")))
-    ranged = (tied.repartitionByRange(buckets, *order) if buckets
-              else tied.repartitionByRange(*order))
+    ranged = (df.repartitionByRange(buckets, *order) if buckets
+              else df.repartitionByRange(*order))
     stage = run_dir(spark, "numbered")
-    (ranged.sortWithinPartitions(*order).drop("__tie")
-     .withColumn("__pos", F.monotonically_increasing_id()).write.parquet(stage))
+    (ranged.sortWithinPartitions(*order).withColumn("__pos", F.monotonically_increasing_id())
+     .write.option("compression", "zstd").parquet(stage))
     rows = spark.read.parquet(stage).withColumn("__part", F.shiftright("__pos", _POS_BITS))
     # One row per partition: small enough for one window and one broadcast.
     earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

@@ -116,7 +116,7 @@ def write_new_rows(source: DataFrame, held: Callable[[DataFrame], DataFrame | No
                        if isinstance(f.dataType, T.NullType) else F.col(f"`{f.name}`")
                        for f in src.schema.fields])
     stage = run_dir(spark, "merge-source")
-    src.write.parquet(stage)
+    src.write.option("compression", "zstd").parquet(stage)
     staged = spark.read.schema(src.schema).parquet(stage)
     target = held(staged)
     new = staged if target is None else anti_join(staged, target, keys, null_safe)

@@ -120,3 +120,13 @@ def test_target_scan_is_pruned_by_the_source_range(spark, scratch):
     held = merge.in_key_range(target, spark.range(40, 60), "id", False)
     plan = held._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(id,40)" in plan and "LessThanOrEqual(id,59)" in plan
+
+
+def test_only_the_rows_themselves_are_dealt_by_range(spark, scratch, monkeypatch):
+    df = spark.range(0, 6000).select((F.col("id") % 50).alias("k"), (F.col("id") * 7919 % 6007).alias("v"))
+    seen, real = [], type(df).repartitionByRange
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda d, *a: seen.append(d.columns) or real(d, *a))
+    out = keys.assign_keys(df, ["k"], "sk", buckets=5)
+    tie = F.xxhash64("k", "v")                  # rows of one key go by their hash
+    expected = df.withColumn("sk", F.row_number().over(Window.orderBy("k", tie)).cast("long"))
+    assert seen == [["k", "v"]] and out.exceptAll(expected).count() == 0 and out.count() == 6000
