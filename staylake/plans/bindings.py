@@ -176,6 +176,10 @@ def csv_inferred_read(spark, sf):
     return csvio.read_csv_inferred(spark, d)
 
 
+# A file with line breaks in its values is one task's to read, so files of texts are kept small.
+_FILE_TEXTS = 5_000
+
+
 @query("csv_inferred_documents", """
 SELECT CAST(doc_id AS INTEGER) AS doc_id, '"' || text || '", ' || chr(10) || ' end' AS body,
        nullif(lang, 'en') AS lang, CAST(n_chars AS INTEGER) AS n_chars,
@@ -186,7 +190,7 @@ def csv_inferred_documents(spark, sf):
     csvio.write_csv(table(spark, sf, "documents").select(
         "doc_id", F.concat(F.lit('"'), "text", F.lit('", \n end')).alias("body"),
         F.nullif("lang", F.lit("en")).alias("lang"), "n_chars",
-        (F.col("n_chars") / 4.0).alias("quarter")), d)
+        (F.col("n_chars") / 4.0).alias("quarter")), d, max_records_per_file=_FILE_TEXTS)
     return csvio.read_csv_inferred(spark, d)
 
 
@@ -219,8 +223,10 @@ def csv_quoted_text(spark, sf):
     docs = table(spark, sf, "documents").select(
         "doc_id", F.concat(F.lit('"'), "text", F.lit('", \n end')).alias("body"),
         F.concat(F.col("n_chars").cast("string"), F.lit(".0")).alias("n_chars"))
-    csvio.write_csv(docs.where("doc_id % 2 = 0"), f"{d}/even")
-    csvio.write_csv(docs.where("doc_id % 2 = 1").select("n_chars", "body", "doc_id"), f"{d}/odd")
+    csvio.write_csv(docs.where("doc_id % 2 = 0"), f"{d}/even",
+                    max_records_per_file=_FILE_TEXTS)
+    csvio.write_csv(docs.where("doc_id % 2 = 1").select("n_chars", "body", "doc_id"), f"{d}/odd",
+                    max_records_per_file=_FILE_TEXTS)
     return csvio.read_csv_by_name(spark, d, _TEXT_SCHEMA)
 
 
