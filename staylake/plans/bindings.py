@@ -1306,8 +1306,9 @@ def etl_run(spark, sf):
     d = run_dir(spark, "etl")
     lst = listings(spark, sf)
     # Two crawler runs whose files carry the columns in different orders.
-    csvio.write_csv(lst.where(F.col("category") == "Hotel"), f"{d}/raw/run1")
-    csvio.write_csv(lst.where(F.col("category") != "Hotel").select(*reversed(lst.columns)), f"{d}/raw/run2")
+    csvio.write_csv(lst.where(F.col("category") == "Hotel"), f"{d}/raw/run1", compression="gzip")
+    csvio.write_csv(lst.where(F.col("category") != "Hotel").select(*reversed(lst.columns)), f"{d}/raw/run2",
+                    compression="gzip")
     run_etl(spark, RunConfig(raw_dir=f"{d}/raw", out_dir=f"{d}/out", now=_dt.datetime(2025, 9, 4, 9),
                              snapshots=False))
     star = read_star(spark, f"{d}/out/warehouse")
@@ -1320,8 +1321,8 @@ def _streamed_star(spark, sf, name: str) -> str:
     it in; returns the folder."""
     d = run_dir(spark, name)
     lst = listings(spark, sf)
-    csvio.write_csv(lst.where(F.col("category") == "Hotel"), f"{d}/landing/hotels")
-    csvio.write_csv(lst.select(*reversed(lst.columns)), f"{d}/landing/all")
+    csvio.write_csv(lst.where(F.col("category") == "Hotel"), f"{d}/landing/hotels", compression="gzip")
+    csvio.write_csv(lst.select(*reversed(lst.columns)), f"{d}/landing/all", compression="gzip")
     incremental_star(spark, f"{d}/landing", f"{d}/warehouse", f"{d}/checkpoint",
                      max_files_per_trigger=4)
     return d

@@ -16,7 +16,7 @@ from __future__ import annotations
 import csv as _csv
 from collections import OrderedDict
 from collections.abc import Iterable, Sequence
-from urllib.parse import unquote
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +31,9 @@ NULL_TOKENS = ["", "NA", "N/A", "NaN", "nan", "NULL", "null", "None", "<NA>"]
 
 # One dialect for reading and writing.
 DIALECT = {"header": "true", "quote": '"', "escape": '"'}
+CSV_NAMES = "*.csv{,.gz}"  # plain and gzip files
 WHOLE_BYTES = 1 << 20  # files up to this size are read whole for their header
+HEADER_JOBS = 8        # first lines asked for at a time
 _GLOB = str.maketrans({c: "\\" + c for c in "\\{}[]*?"})
 
 
@@ -41,10 +43,10 @@ def literal_path(path: str) -> str:
 
 
 def _listed(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """The ``.csv`` files below ``paths``, listed once; contents only if asked for."""
+    """The ``.csv`` and ``.csv.gz`` files below ``paths``, listed once; contents only if asked for."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.csv").load([literal_path(p) for p in paths]))
+            .option("pathGlobFilter", CSV_NAMES).load([literal_path(p) for p in paths]))
 
 
 def csv_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
@@ -56,33 +58,28 @@ def header_lines(listed: DataFrame) -> DataFrame:
     """(path, line) of the listed files: their first lines, found in tasks.
 
     Files of up to ``WHOLE_BYTES`` share tasks that read them whole.  A larger
-    one has no line yet; see :func:`_first_lines`.
+    or compressed one has no line yet; see :func:`_first_lines`.
     """
-    small = listed.where(F.col("length") <= WHOLE_BYTES).select(
+    whole = (F.col("length") <= WHOLE_BYTES) & ~F.col("path").endswith(".gz")
+    small = listed.where(whole).select(
         "path", F.regexp_extract(F.col("content").cast("string"), r"\A[^\r\n]*", 0).alias("line"))
-    large = listed.where(F.col("length") > WHOLE_BYTES).select(
+    large = listed.where(~whole).select(
         "path", F.lit(None).cast("string").alias("line"))
     return small.union(large)
 
 
 def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """First lines of large files: a task each, which stops after one record."""
-    session = spark.newSession()
-    # Files that hold line breaks are never split: one file per partition.
-    session.conf.set("spark.sql.files.maxPartitionBytes", "1")
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    lines = (session.read.schema("line string").option("multiLine", "true").option("sep", "\x01")
-             .option("quote", "").option("header", "false").csv([literal_path(p) for p in paths])
-             .select(F.col("_metadata.file_path").alias("path"), "line"))
+    """First lines of large or compressed files: a task each, which stops after one record."""
+    # Records of several lines, as such files are never split: one task sees the start.
+    reader = (spark.read.schema("line string").option("multiLine", "true").option("sep", "\x01")
+              .option("quote", "").option("header", "false"))
 
-    def first(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
+    def first(path: str) -> str:
+        row = reader.csv(literal_path(path)).first()
+        return (row["line"] or "") if row else ""
 
-    return {unquote(r["path"]): r["line"] or ""
-            for r in lines.mapInArrow(first, "path string, line string").collect()}
+    with ThreadPoolExecutor(max_workers=HEADER_JOBS) as pool:
+        return dict(zip(paths, pool.map(first, paths)))
 
 
 def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
@@ -227,15 +224,15 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Exploration read with type inference (an extra pass over the data;
     production paths declare the schema instead)."""
     return (spark.read.options(**DIALECT).option("inferSchema", "true").option("multiLine", "true")
-            .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+            .option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_NAMES)
             .csv(literal_path(path)))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
-              max_records_per_file: int | None = None) -> str:
+              max_records_per_file: int | None = None, compression: str = "none") -> str:
     """CSV with a header line; ``max_records_per_file`` cuts output into
-    batches of at most that many rows per file."""
-    writer = (df.write.mode(mode).options(**DIALECT)
+    batches of at most that many rows per file; ``compression`` may be ``gzip``."""
+    writer = (df.write.mode(mode).options(**DIALECT).option("compression", compression)
               .option("ignoreLeadingWhiteSpace", "false")
               .option("ignoreTrailingWhiteSpace", "false"))
     if max_records_per_file:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.merge import insert_only_merge
-from ..sources.csv import read_csv_by_name
+from ..sources.csv import CSV_NAMES, read_csv_by_name
 
 MAX_FILES_PER_TRIGGER = 1000
 # The binaryFile source's fixed columns; only ``path`` is selected.
@@ -45,7 +45,7 @@ def incremental_merge(spark: SparkSession, landing_dir: str, schema: T.StructTyp
     """Start the stream; returns the ``StreamingQuery`` (already finished
     when ``available_now``)."""
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-             .option("pathGlobFilter", "*.csv")
+             .option("pathGlobFilter", CSV_NAMES)
              .option("recursiveFileLookup", "true")
              .option("maxFilesPerTrigger", int(max_files_per_trigger))
              .load(landing_dir)
@@ -83,7 +83,7 @@ def incremental_star(spark: SparkSession, landing_dir: str, warehouse: str, chec
     from ..plans.star import build_star, load_staging, streaming_options
 
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-             .option("pathGlobFilter", "*.csv")
+             .option("pathGlobFilter", CSV_NAMES)
              .option("recursiveFileLookup", "true")
              .option("maxFilesPerTrigger", int(max_files_per_trigger))
              .load(landing_dir)

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from ..operators.keys import assign_keys
 from ..operators.merge import SORTED_ROWS, first_per_key
 from ..operators.quality import all_of
-from ..sources.csv import read_csv_by_name
+from ..sources.csv import CSV_NAMES, read_csv_by_name
 from ..sources.files import path_exists
 from ..sources.snapshots import Load, Transaction, read_snapshot
 from .incremental import BINARY_FILE_SCHEMA, MAX_FILES_PER_TRIGGER
@@ -39,7 +39,7 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 def _parse_landing(spark: SparkSession, landing_dir: str, schema: T.StructType,
                    keys: Sequence[str], checkpoint_dir: str, max_files_per_trigger: int) -> None:
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-             .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", CSV_NAMES).option("recursiveFileLookup", "true")
              .option("maxFilesPerTrigger", int(max_files_per_trigger))
              .load(landing_dir).select("path"))
 

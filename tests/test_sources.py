@@ -182,3 +182,32 @@ def test_append_reads_header_and_fills_defaults(spark, scratch):
     assert order == ["category", "min_price", "max_price"]
     text = sorted({r["value"] for r in spark.read.option("recursiveFileLookup", "true").text(scratch).collect()})
     assert text == ['"",1.0', "category,min_price", "category,min_price,max_price", "h,0,0.0"]
+
+
+def test_the_header_of_a_large_file_is_read_from_its_start(spark, scratch):
+    csvio.write_csv(spark.range(0, 200_000, numPartitions=1).selectExpr("id", "repeat('x', 150) AS name"), scratch)
+    held = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics()
+    before = held.get("file").getLong("bytesRead")
+    assert list(csvio.file_headers(spark, scratch).values()) == [["id", "name"]]
+    assert held.get("file").getLong("bytesRead") - before < 8_000_000       # of 31 MB
+
+
+def test_compressed_files_are_read_beside_plain_ones(spark, scratch):
+    rows = spark.range(0, 300, numPartitions=2).selectExpr(
+        "concat('a, \"', id, '\"', char(10), 'b') AS name", "id")
+    csvio.write_csv(rows.where("id < 200"), f"{scratch}/packed", compression="gzip")
+    csvio.write_csv(rows.where("id >= 200").select("id", "name"), f"{scratch}/plain")
+    assert {p.rsplit(".csv", 1)[1] for p in csvio.csv_files(spark, scratch)} == {".gz", ""}
+    got = csvio.read_csv_by_name(spark, scratch, SCHEMA).select("name", "id")
+    assert sorted(got.collect()) == sorted(rows.collect())
+
+
+def test_texts_land_in_files_of_bounded_size(spark, scratch, monkeypatch):
+    from staylake.plans import bindings
+
+    spark.range(1, 12_001, numPartitions=1).selectExpr(
+        "id AS doc_id", "concat('t', id) AS text", "'en' AS lang", "CAST(3 AS BIGINT) AS n_chars"
+    ).write.parquet(f"{scratch}/in/documents.parquet")
+    monkeypatch.setattr(bindings, "run_dir", lambda spark, name: f"{scratch}/{name}")
+    assert bindings.csv_inferred_documents(spark, f"{scratch}/in").count() == 12_000
+    assert len(csvio.csv_files(spark, f"{scratch}/csv_inferred_documents")) == 3
