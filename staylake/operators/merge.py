@@ -24,15 +24,17 @@ from ..session import run_dir
 from ..sources.files import path_exists, publish_files, remove_path
 from ..sources.snapshots import Load, Snapshot, Transaction
 from .keys import assign_keys
-from .membership import buckets_for, candidate_files, key_bitmaps
+from .membership import buckets_for, candidate_files, key_bitmaps, rows_maybe_in
 from .quality import all_of
 
 SORTED_ROWS = 250_000       # rows that one task numbers
 INDEXED_ROWS = 100_000      # a smaller load costs less to read than to index
+HASH = "__key_hash"         # of the keys, in a merge's staged source
 PROBES = 50_000_000         # (key, file) pairs that a merge tests against bitmaps
 INDEX = "_index"            # below a load's folder; readers of the load skip it
 
 _ORDERED = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_PLAIN = (*_ORDERED, T.BooleanType, T.BinaryType)      # equal values have equal hashes
 
 
 def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -59,21 +61,42 @@ def in_key_range(target: DataFrame, source: DataFrame, key: str, null_safe: bool
 
 
 def anti_join(source: DataFrame, target: DataFrame | None, keys: Sequence[str],
-              null_safe: bool = False) -> DataFrame:
+              null_safe: bool = False, hash_col: str | None = None,
+              size: int | None = None) -> DataFrame:
     """Source rows whose key has no match in the target.
 
     With ``null_safe`` False (SQL ``=``), a NULL key never matches, so such
-    rows are inserted on every run, as a MERGE on ``=`` does.
+    rows are inserted on every run, as a MERGE on ``=`` does.  ``hash_col`` holds
+    the source's hashed keys, for key columns of the target's types: rows then meet
+    by one long and are told apart by value.  With the source's ``size`` as well,
+    target rows that it cannot hold are left out before they are shuffled.
     """
     if target is None:
         return source
     renamed = [f"__t{i}" for i in range(len(keys))]
+    theirs = target.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)])
+    pairs = [(F.col(k), F.col(r)) for k, r in zip(keys, renamed)]
+    cond = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
+    if hash_col:
+        # Behind the renamed columns: Spark infers a constraint from a hash for every
+        # subset of the columns that are renamed after it.
+        theirs = theirs.withColumn("__th", F.xxhash64(*renamed))
+        # Written as two bounds, since every = and <=> becomes a join key (or two).
+        cond = [(a <= b) & (a >= b) for a, b in pairs]
+        if null_safe:
+            cond = [F.coalesce(c, a.isNull() & b.isNull()) for c, (a, b) in zip(cond, pairs)]
+        cond.append(F.col(hash_col) == F.col("__th"))
+        if size is not None:
+            theirs = rows_maybe_in(theirs, "__th", source, hash_col, size)
     # Only distinct target keys matter: a key repeated in the target (e.g. a
     # timestamp shared by many facts) ships one row to the join.
-    tkeys = target.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)]).distinct()
-    cond = [(F.col(k).eqNullSafe(F.col(r)) if null_safe else F.col(k) == F.col(r))
-            for k, r in zip(keys, renamed)]
-    return source.join(tkeys, on=all_of(cond), how="left_anti")
+    return source.join(theirs.distinct(), on=all_of(cond), how="left_anti")
+
+
+def hashable(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether equal keys of both tables have equal hashes: plain columns of one type each."""
+    types = [(source.schema[k].dataType, target.schema[k].dataType) for k in keys]
+    return all(a == b and isinstance(a, _PLAIN) for a, b in types)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -99,13 +122,15 @@ def write_new_rows(source: DataFrame, held: Callable[[DataFrame], DataFrame | No
                    folder: str, keys: Sequence[str], schema: T.StructType | None = None,
                    id_col: str | None = None, start: int = 0,
                    order_cols: Sequence[str] | None = None, null_safe: bool = False,
-                   distinct_source: bool = False, dedupe_on_key: bool = False) -> int:
+                   distinct_source: bool = False, dedupe_on_key: bool = False,
+                   large_target: bool = False) -> int:
     """Write the source rows whose keys are not held yet to ``folder``; returns
     their number.
 
     The source is evaluated once, into a table of the shared folder; what the
     merge needs to know of it (size, key range, hashed keys) is read from there.
-    ``held`` gets that table and gives the target's rows that can match, or None.
+    ``held`` gets that table and gives the target's rows that can match, or None;
+    of a ``large_target`` those that the source cannot hold are not shuffled.
     """
     spark = source.sparkSession
     src = source.distinct() if distinct_source else source
@@ -116,12 +141,28 @@ def write_new_rows(source: DataFrame, held: Callable[[DataFrame], DataFrame | No
                        if isinstance(f.dataType, T.NullType) else F.col(f"`{f.name}`")
                        for f in src.schema.fields])
     stage = run_dir(spark, "merge-source")
+    plain = [k for k in keys if isinstance(src.schema[k].dataType, _PLAIN)]
+    src = src.withColumn(HASH, F.xxhash64(*plain) if plain else F.lit(0).cast("long"))
     src.write.option("compression", "zstd").parquet(stage)
     staged = spark.read.schema(src.schema).parquet(stage)
     target = held(staged)
-    new = staged if target is None else anti_join(staged, target, keys, null_safe)
+    count = staged.count() if id_col or target is not None else 0      # from the footers
+    new = staged
+    if target is not None and hashable(staged, target, keys):
+        new = anti_join(staged, target, keys, null_safe, HASH, count if large_target else None)
+    elif target is not None:
+        new = anti_join(staged, target, keys, null_safe)
+    new = new.drop(HASH)
     if id_col:
-        parts = -(-staged.count() // SORTED_ROWS)         # from the footers
+        if target is not None and count > SORTED_ROWS:
+            # numbering reads its rows twice (sampled, then sorted), so the join is written
+            unseen = run_dir(spark, "merge-new")
+            new.write.option("compression", "zstd").parquet(unseen)
+            new = spark.read.schema(new.schema).parquet(unseen)
+            count = new.count()
+            if not count:
+                return 0
+        parts = -(-count // SORTED_ROWS)
         new = assign_keys(new, list(order_cols or keys), id_col, start=start,
                           buckets=max(1, parts))
     if schema is not None:
@@ -168,8 +209,8 @@ def matching_rows(snapshot: Snapshot, table: str, batch: DataFrame, keys: Sequen
     """Key columns of a table's rows that can match a row of ``batch``.
 
     Indexed loads are read at the files whose bitmaps hold a key of the batch;
-    the others, and all of them for a batch with more than ``PROBES`` pairs of
-    key and file to test, within the batch's key range.
+    the others, and those with fewer rows than pairs of key and file to test (or more
+    than ``PROBES`` such pairs), within the batch's key range.
     """
     spark = batch.sparkSession
     size = batch.count()
@@ -177,7 +218,7 @@ def matching_rows(snapshot: Snapshot, table: str, batch: DataFrame, keys: Sequen
     folders = []
     for load in snapshot.tables.get(table, ()):
         folder = f"{snapshot.root}/{load.folder}"
-        if same and load.index_keys == tuple(keys) and size * load.files <= PROBES:
+        if same and load.index_keys == tuple(keys) and size * load.files <= min(PROBES, load.rows):
             index = spark.read.parquet(f"{folder}/{INDEX}")
             files = candidate_files(index, batch, keys, load.index_buckets).collect()
             folders += [f"{folder}/{r['file']}" for r in files]
@@ -207,7 +248,8 @@ def merge_into(tx: Transaction, table: str, source: DataFrame, keys: Sequence[st
         return matching_rows(before, table, staged, keys, schema, null_safe)
 
     inserted = write_new_rows(source, held, folder, keys, schema, id_col, start, order_cols,
-                              null_safe, distinct_source, dedupe_on_key)
+                              null_safe, distinct_source, dedupe_on_key,
+                              large_target=before.rows(table) >= INDEXED_ROWS)
     if not inserted:
         remove_path(spark, folder)
         return 0

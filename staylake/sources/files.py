@@ -88,6 +88,20 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(location, True)
 
 
+def create_empty(spark: SparkSession, path: str) -> None:
+    """An empty file, replaced if it exists."""
+    fs, location = file_system(spark, path)
+    fs.create(location, True).close()
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder; none if it does not exist."""
+    fs, location = file_system(spark, folder)
+    if not fs.exists(location):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(location)]
+
+
 def publish_files(spark: SparkSession, done_dir: str, target_dir: str) -> None:
     """Move the part files of a finished write into a table's folder.
 

@@ -130,3 +130,41 @@ def test_only_the_rows_themselves_are_dealt_by_range(spark, scratch, monkeypatch
     tie = F.xxhash64("k", "v")                  # rows of one key go by their hash
     expected = df.withColumn("sk", F.row_number().over(Window.orderBy("k", tie)).cast("long"))
     assert seen == [["k", "v"]] and out.exceptAll(expected).count() == 0 and out.count() == 6000
+
+
+def test_hashed_anti_join_tells_keys_apart_by_value(spark):
+    rows = [(0.0, "a"), (-0.0, "b"), (float("nan"), "c"), (None, "d"), (None, None), (1.0, None), (2.0, "e")]
+    held = [(-0.0, "a"), (0.0, "b"), (float("nan"), "c"), (None, "d"), (None, None), (2.0, "f"), (2.0, "f")]
+    schema = "x double, y string"
+    source, target = spark.createDataFrame(rows, schema), spark.createDataFrame(held, schema)
+    for null_safe, new in ((True, {(1.0, None), (2.0, "e")}),
+                           (False, {(1.0, None), (2.0, "e"), (None, "d"), (None, None)})):
+        plain = merge.anti_join(source, target, ["x", "y"], null_safe)
+        hashed = source.withColumn("h", F.xxhash64("x", "y"))
+        for size in (None, len(rows), 10 ** 9):
+            got = merge.anti_join(hashed, target, ["x", "y"], null_safe, "h", size).drop("h")
+            assert set(map(tuple, got.collect())) == new == set(map(tuple, plain.collect()))
+        # equal hashes decide nothing
+        same = source.withColumn("h", F.lit(7).cast("long"))
+        assert merge.anti_join(same, target, ["x", "y"], null_safe).count() == len(new)
+
+
+def test_a_wide_merge_is_joined_by_one_long(spark):
+    wide = spark.range(50).select(*[(F.col("id") * n).alias(f"c{n}") for n in range(1, 19)])
+    hashed = wide.withColumn("h", F.xxhash64(*wide.columns))
+    new = merge.anti_join(hashed, wide.where("c1 < 20"), wide.columns, True, "h", 50)
+    assert new.count() == 30
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "LeftAnti" in line]
+    assert joins and not any("isnull(c1" in line.split("LeftAnti")[0] for line in joins)
+
+
+def test_rows_maybe_in_keeps_all_held_rows_and_few_others(spark):
+    from staylake.operators.membership import rows_maybe_in
+    keys = spark.range(40_000).select("id", F.xxhash64("id").alias("h"))
+    for size in (1, 5, 20_000):
+        batch = spark.range(size).select(F.xxhash64("id").alias("b"))
+        got = rows_maybe_in(keys, "h", batch, "b", size)
+        assert got.columns == ["id", "h"]
+        assert got.where(F.col("id") < size).count() == size
+        assert got.count() <= size + 4_000

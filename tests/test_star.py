@@ -124,6 +124,39 @@ def test_streamed_star_does_not_depend_on_batching(spark, scratch):
     assert len(seen[0][0]) >= 5
 
 
+def test_a_stopped_merge_of_the_stream_is_made_up(spark, scratch, monkeypatch):
+    """Batches are merged while the next is read: an error is raised, nothing is lost."""
+    from staylake.plans import star
+    from staylake.streaming.incremental import incremental_star
+    df = listings_df(spark)
+    for part in (df.where(F.col("property_id") < "p"), df, df.withColumn("city", F.lit("Fes"))):
+        write_csv(part.coalesce(1), f"{scratch}/landing", mode="append")
+    incremental_star(spark, f"{scratch}/landing", f"{scratch}/whole", f"{scratch}/ckpt0",
+                     max_files_per_trigger=1)
+    real, calls = star.build_star, []
+
+    def second_fails(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("stopped")
+        return real(*args, **kwargs)
+
+    def stream():
+        incremental_star(spark, f"{scratch}/landing", f"{scratch}/wh", f"{scratch}/ckpt1",
+                         max_files_per_trigger=1)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(star, "build_star", second_fails)
+        try:
+            stream()
+        except Exception as stopped:
+            assert "stopped" in str(stopped)
+        else:
+            raise AssertionError("the error was not raised")
+    stream()
+    assert _natural(read_star(spark, f"{scratch}/wh")) == _natural(read_star(spark, f"{scratch}/whole"))
+
+
 def test_partly_present_fact_load_is_completed(spark, scratch):
     from staylake.plans.clean import clean_listings
     from staylake.plans.star import MATCH_TIMESTAMP, StarOptions, build_star, load_staging
